@@ -10,7 +10,7 @@ from importlib import import_module
 
 from .base import Query
 
-TOPICS = ("market",)
+TOPICS = ("market", "warehouse")
 
 
 def _sets():

@@ -13,7 +13,8 @@ from tests import oracle  # noqa: E402
 if __name__ == "__main__":
     sf_dir, names = sys.argv[1], sys.argv[2:]
     spark = build_session(
-        "check", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__driver__memory="8g"
+        "check", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false",
+        spark__ui__showConsoleProgress="false", spark__driver__memory="8g"
     )
     spark.sparkContext.setLogLevel("ERROR")
     con = oracle.connect(sf_dir)
