@@ -29,31 +29,25 @@ def read_csv(
     """``(good, quarantined)`` rows of a CSV file or folder.
 
     A row with too many or too few fields, or with a value that does not fit
-    its type, goes to the second table as its raw text with its file; nothing
-    is dropped. Column pruning inside the parser is off: with it, a bad value in
-    a column nobody reads would go unnoticed, and the split would depend on the
-    query behind it.
+    its type, goes to the second table as text with its file; nothing is
+    dropped. The fields are read as text and cast here: Spark's own parser only
+    notices a bad value in columns the query reads, so the split would depend
+    on what is selected later.
     """
-    tagged = (
-        spark.read.schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]))
-        .options(
-            header=header,
-            mode="PERMISSIVE",
-            columnNameOfCorruptRecord=CORRUPT,
-            columnPruning=False,
-            encoding="UTF-8",
-            escape='"',
-        )
-        .csv(path)
-    )
-    good = tagged.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    # Spark refuses a CSV scan that needs the corrupt column alone, so the
-    # always-true second condition keeps one data column in the scan.
-    first = F.coalesce(F.col(schema.fieldNames()[0]).cast("string"), F.lit(""))
-    bad = tagged.filter(F.col(CORRUPT).isNotNull() & (F.length(first) >= 0)).select(
-        F.col(CORRUPT).alias("raw_line"), F.col("_metadata.file_path").alias("file")
-    )
-    return good, bad
+    names = schema.fieldNames()
+    as_text = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
+    options = dict(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, columnPruning=False, encoding="UTF-8", escape='"')
+    lines = spark.read.schema(as_text).options(header=header, **options).csv(path)
+    typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields}
+    # Spark refuses a CSV scan that needs the corrupt column alone, so this
+    # always-false term keeps one data column in the scan.
+    bad = F.col(CORRUPT).isNotNull() | (F.length(F.coalesce(F.col(names[0]), F.lit(""))) < 0)
+    for f in schema.fields:
+        if not isinstance(f.dataType, T.StringType):
+            bad = bad | (F.col(f.name).isNotNull() & typed[f.name].isNull())
+    good = lines.filter(~bad).select(*[typed[n].alias(n) for n in names])
+    raw = F.coalesce(F.col(CORRUPT), F.to_csv(F.struct(*names)))
+    return good, lines.filter(bad).select(raw.alias("raw_line"), F.col("_metadata.file_path").alias("file"))
 
 
 def write_result(df: DataFrame, path: str, format: str = "csv") -> bool:
