@@ -10,7 +10,7 @@ from importlib import import_module
 
 from .base import Query
 
-TOPICS = ("market", "warehouse")
+TOPICS = ("market", "warehouse", "text")
 
 
 def _sets():
