@@ -3,13 +3,19 @@
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator
 from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# Executors get the helper below by value; they need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Polynomial 7.1.26 of Abramowitz and Stegun for erf.
 ERF_P = 0.3275911
@@ -77,7 +83,7 @@ def t_tail_values(t: np.ndarray, df: np.ndarray) -> np.ndarray:
     return out
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _t_two_sided(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
     for t, df in batches:
         yield pd.Series(t_tail_values(t.to_numpy(), df.to_numpy())).replace({np.nan: None})
