@@ -73,6 +73,11 @@ def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol="features").transform(df)
 
 
+def compact(df: DataFrame, rows: int, rows_per_task: int = 50_000) -> DataFrame:
+    """Fewer partitions for a small training table: each fit runs many short jobs."""
+    return df.coalesce(max(1, -(-rows // rows_per_task)))
+
+
 def fit_predict(
     kind: str, train: DataFrame, test: DataFrame, params: Mapping[str, float], width: int, rows: int, seed: int = V.SEED
 ) -> DataFrame:
@@ -89,7 +94,7 @@ def grid_search(
     width: int,
     fold_col: str = "fold",
     seed: int = V.SEED,
-    parallelism: int = 4,
+    parallelism: int = 8,
 ) -> DataFrame:
     """One row per setting and fold: (model, setting, params, fold, auc, accuracy).
 
@@ -163,7 +168,7 @@ def run_models(
     grids: Mapping[str, Mapping[str, Sequence]] = GRIDS,
     k: int = V.FOLDS,
     seed: int = V.SEED,
-    parallelism: int = 4,
+    parallelism: int = 8,
 ) -> tuple[DataFrame, DataFrame] | None:
     """Tuned cross-validation and hold-out results, and importances.
 
@@ -182,15 +187,14 @@ def run_models(
             return None
         stats = zscore_fit(train, features)
 
-        def prepare(part: DataFrame) -> DataFrame:
+        def prepare(part: DataFrame, *keep: str) -> DataFrame:
             raw = assemble(part, features).withColumnRenamed("features", "raw")
             scaled = assemble(zscore_apply(raw, stats, features, eps=1e-9), features)
-            return scaled.select(id_col, "label", "raw", F.col("features").alias("scaled"))
+            ready = scaled.select("label", *keep, "raw", F.col("features").alias("scaled"))
+            return compact(ready, rows).persist(StorageLevel.MEMORY_AND_DISK)
 
-        # Gaps between ids of folds and classes survive the row-wise scaling.
-        folded = stratified_folds(train.drop("is_train"), id_col, "label", k, seed)
-        folds = prepare(folded).join(folded.select(id_col, "fold"), id_col).persist(StorageLevel.MEMORY_AND_DISK)
-        held = prepare(test).persist(StorageLevel.MEMORY_AND_DISK)
+        folds = prepare(stratified_folds(train.drop("is_train"), id_col, "label", k, seed), "fold")
+        held = prepare(test)
         try:
             results = None
             for kind, grid in grids.items():

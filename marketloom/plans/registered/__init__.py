@@ -10,7 +10,7 @@ from importlib import import_module
 
 from .base import Query
 
-TOPICS = ("market", "warehouse", "text", "stats", "forecast", "models")
+TOPICS = ("market", "warehouse", "text", "stats", "forecast", "models", "kpi")
 
 
 def _sets():

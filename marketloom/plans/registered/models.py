@@ -302,7 +302,7 @@ MODEL_FEATURES = ["log_total", "urgent", "year", "balance", "nation"]
 SMALL_GRIDS = {
     ML.LR: {"C": [0.1, 1.0], "elastic": [0.0]},
     ML.RF: {"trees": [20], "depth": [4, 8], "min_leaf": [1]},
-    ML.MLP: {"hidden": [8], "step": [0.05, 0.1], "epochs": [50]},
+    ML.MLP: {"hidden": [8], "step": [0.05, 0.1], "epochs": [20]},
 }
 
 
@@ -327,7 +327,8 @@ def model_cv(spark, sf_dir):
     folded = SP.stratified_folds(customer_labels(spark, sf_dir), "custkey", "label")
     stats = FE.zscore_fit(folded, MODEL_FEATURES)
     scaled = FE.zscore_apply(folded, stats, MODEL_FEATURES, eps=1e-9)
-    inputs = ML.assemble(scaled, MODEL_FEATURES).select("features", F.col("label").cast("double"), "fold").persist()
+    inputs = ML.assemble(scaled, MODEL_FEATURES).select("features", F.col("label").cast("double"), "fold")
+    inputs = ML.compact(inputs, folded.count()).persist()
     parts = [ML.grid_search(inputs, kind, grid, len(MODEL_FEATURES)) for kind, grid in SMALL_GRIDS.items()]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
@@ -348,4 +349,5 @@ def feature_importance(spark, sf_dir):
     inputs = ML.assemble(scaled, MODEL_FEATURES).select(
         F.col("label").cast("double"), F.col("features").alias("scaled"), F.col("raw").alias("features")
     )
-    return ML.top_importances(ML.feature_importance(inputs, MODEL_FEATURES, inputs.count()))
+    n = rows.count()
+    return ML.top_importances(ML.feature_importance(ML.compact(inputs, n).persist(), MODEL_FEATURES, n))
