@@ -95,7 +95,8 @@ def plain_tokens(c: Column, stopwords: Sequence[str] = (), min_length: int = 3)
     keep = lambda w: F.length(w) >= min_length
     if stopwords:
         keep = lambda w: (F.length(w) >= min_length) & ~w.isin(list(stopwords))
-    return F.filter(F.split(cleaned, " +"), keep)
+    # A single blank needs no pattern matching; the empty pieces are too short to stay.
+    return F.filter(F.split(cleaned, " "), keep)
 
 
 def thousands(c: Column, digits: int = 1) -> Column:

@@ -3,19 +3,10 @@
 from __future__ import annotations
 
 import math
-import sys
-from collections.abc import Iterator
 from statistics import NormalDist
 
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-# Executors get the helper below by value; they need not have the package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Polynomial 7.1.26 of Abramowitz and Stegun for erf.
 ERF_P = 0.3275911
@@ -45,54 +36,72 @@ def normal_quantile(p: float) -> float:
     return NormalDist().inv_cdf(p)
 
 
-def _beta_fraction(a: np.ndarray, b: float, x: np.ndarray) -> np.ndarray:
-    """Continued fraction of the incomplete beta function (modified Lentz)."""
-    tiny = 1e-300
-    c = np.ones_like(x)
-    d = 1.0 - (a + b) * x / (a + 1.0)
-    d = 1.0 / np.where(np.abs(d) < tiny, tiny, d)
-    h = d.copy()
-    for m in range(1, 400):
-        for step in (
-            m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)),
-            -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1)),
-        ):
-            d = 1.0 + step * d
-            d = 1.0 / np.where(np.abs(d) < tiny, tiny, d)
-            c = 1.0 + step / c
-            c = np.where(np.abs(c) < tiny, tiny, c)
-            h = h * d * c
-    return h
-
-
-def t_tail_values(t: np.ndarray, df: np.ndarray) -> np.ndarray:
-    """Two-sided Student-t tail probability."""
-    t, df = np.abs(np.asarray(t, float)), np.asarray(df, float)
-    out = np.full(t.shape, np.nan)
-    ok = np.isfinite(t) & np.isfinite(df) & (df > 0)
-    t, df = t[ok], df[ok]
-    a, b = df / 2.0, np.full(df.shape, 0.5)
-    x = df / (df + t * t)
-    log_beta = np.array([math.lgamma(v) + math.lgamma(0.5) - math.lgamma(v + 0.5) for v in a])
-    with np.errstate(divide="ignore", invalid="ignore"):
-        front = np.exp(a * np.log(x) + b * np.log1p(-x) - log_beta)
-        direct = front * _beta_fraction(a, 0.5, x) / a
-        mirrored = 1.0 - front * _beta_fraction(b, a, 1.0 - x) / b
-    value = np.where(x < (a + 1.0) / (a + b + 2.0), direct, mirrored)
-    out[ok] = np.where(t == 0.0, 1.0, np.clip(value, 0.0, 1.0))
-    return out
+def _log_gamma(x: Column) -> Column:
+    """Logarithm of the gamma function by Stirling's series at ``x + 8``."""
+    s = x + F.lit(8.0)
+    product = x
+    for k in range(1, 8):
+        product = product * (x + F.lit(float(k)))
+    r = F.lit(1.0) / s
+    series = r / 12.0 - r * r * r / 360.0 + F.pow(r, F.lit(5.0)) / 1260.0 - F.pow(r, F.lit(7.0)) / 1680.0
+    return (s - 0.5) * F.log(s) - s + F.lit(0.5 * math.log(2.0 * math.pi)) + series - F.log(product)
+
+
+def _beta_fraction(a: Column, b: Column, x: Column) -> Column:
+    """Continued fraction of the incomplete beta function, modified Lentz method."""
+    tiny = F.lit(1e-300)
+
+    def away_from_zero(c: Column) -> Column:
+        return F.when(F.abs(c) < tiny, tiny).otherwise(c)
+
+    def state(c: Column, d: Column, h: Column) -> Column:
+        return F.struct(c.alias("c"), d.alias("d"), h.alias("h"))
 
+    def extend(coefficient, acc: Column, m: Column) -> Column:
+        k = coefficient(m.cast("double"))
+        d = F.lit(1.0) / away_from_zero(F.lit(1.0) + k * acc["d"])
+        c = away_from_zero(F.lit(1.0) + k / acc["c"])
+        return state(c, d, acc["h"] * d * c)
 
-@F.pandas_udf(T.DoubleType())
-def _t_two_sided(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    for t, df in batches:
-        yield pd.Series(t_tail_values(t.to_numpy(), df.to_numpy())).replace({np.nan: None})
+    def even(m: Column) -> Column:
+        return m * (b - m) * x / ((a + m * 2 - 1) * (a + m * 2))
+
+    def odd(m: Column) -> Column:
+        return -(a + m) * (a + b + m) * x / ((a + m * 2) * (a + m * 2 + 1))
+
+    first = F.lit(1.0) / away_from_zero(F.lit(1.0) - (a + b) * x / (a + 1))
+    # Terms 1..2n of the fraction: even ones first within each pair.
+    terms = F.sequence(F.lit(2), F.lit(2 * FRACTION_PAIRS + 1))
+    half = lambda m: (m - m % 2) / 2
+    step = lambda acc, m: extend(lambda _: F.when(m % 2 == 0, even(half(m))).otherwise(odd(half(m))), acc, m)
+    return F.aggregate(terms, state(F.lit(1.0), first, first), step, lambda acc: acc["h"])
+
+
+FRACTION_PAIRS = 300
+# Beyond this many degrees of freedom the corrected normal tail is as exact.
+NORMAL_ABOVE = 1e6
 
 
 def student_t_two_sided(t: Column, df: Column) -> Column:
-    """P(|T| >= |t|) with ``df`` degrees of freedom.
+    """P(|T| >= |t|) with ``df`` degrees of freedom; NULL unless ``df > 0``.
 
-    Meant for rows that are already aggregated (one per comparison): it is the
-    only expression of the package that leaves the JVM.
+    The fraction takes some hundred steps per row, so this is meant for rows
+    that are already aggregated, one per comparison.
     """
-    return _t_two_sided(t, df)
+    t, df = F.abs(t), df.cast("double")
+    a, b = df / 2.0, F.lit(0.5)
+    x = df / (df + t * t)
+    log_beta = _log_gamma(a) + F.lit(math.lgamma(0.5)) - _log_gamma(a + 0.5)
+    # log1p(-x) loses its digits for small t; 1 - x is known exactly instead.
+    rest = t * t / (df + t * t)
+    front = F.exp(a * F.log(x) + b * F.log(rest) - log_beta)
+    direct = front * _beta_fraction(a, b, x) / a
+    mirrored = F.lit(1.0) - front * _beta_fraction(b, a, rest) / b
+    exact = F.when(x < (a + 1) / (a + b + 2), direct).otherwise(mirrored)
+    z = t * (F.lit(1.0) - F.lit(1.0) / (df * 4)) / F.sqrt(F.lit(1.0) + t * t / (df * 2))
+    return (
+        F.when(~(df > 0) | t.isNull(), F.lit(None))
+        .when(t == 0, F.lit(1.0))
+        .when(df > NORMAL_ABOVE, normal_two_sided(z))
+        .otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), exact)))
+    )

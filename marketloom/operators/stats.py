@@ -17,6 +17,7 @@ from marketloom.functions import vocabulary as V
 from marketloom.functions.columns import ratio
 from marketloom.functions.probability import normal_quantile, normal_two_sided, student_t_two_sided
 
+# Executors get the one UDF below by value; they need not have the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 

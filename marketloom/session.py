@@ -75,3 +75,12 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether Spark's own size estimate of ``df`` is within its broadcast limit."""
+    limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    if limit.startswith("-"):
+        return False
+    allowed = df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit)
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= allowed

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from marketloom.functions.probability import normal_cdf, t_tail_values
+from marketloom.functions.probability import normal_cdf, student_t_two_sided
 from marketloom.operators import stats as S
 
 
@@ -24,9 +24,16 @@ def t_density_tail(t, df):
     return 1 - 2 * float(np.trapezoid(y, x))
 
 
-@pytest.mark.parametrize("t, df", [(0.0, 5.0), (0.3, 1.5), (2.0523, 1416.91), (1.0, 3.0), (4.0, 88.0), (-2.5, 10.2)])
-def test_t_tail(t, df):
-    assert t_tail_values(np.array([t]), np.array([df]))[0] == pytest.approx(t_density_tail(t, df), abs=1e-8)
+TAILS = [(0.3, 1.5), (2.0523, 1416.91), (1.0, 3.0), (4.0, 88.0), (-2.5, 10.2), (1.92, 9956.9), (1.1, 1e5), (0.01, 7.0)]
+
+
+def test_t_tail(spark):
+    df = spark.createDataFrame(TAILS, "t double, df double").coalesce(1)
+    got = [r[0] for r in df.select(student_t_two_sided(F.col("t"), F.col("df"))).collect()]
+    assert got == pytest.approx([t_density_tail(t, d) for t, d in TAILS], abs=1e-8)
+    edge = spark.createDataFrame([(0.0, 5.0), (None, 5.0), (1.0, 0.0), (1.96, 1e7)], "t double, df double").coalesce(1)
+    one, missing, none, far = (r[0] for r in edge.select(student_t_two_sided(F.col("t"), F.col("df"))).collect())
+    assert (one, missing, none) == (1.0, None, None) and far == pytest.approx(0.05, abs=1e-4)
 
 
 def test_normal_cdf(spark):

@@ -138,3 +138,21 @@ def test_partition_invariance(spark, partitions):
     per_year = {r.y: r.s for r in shares.groupBy("y").agg(F.sum("share_pct").alias("s")).collect()}
     assert all(abs(s - 100) < 0.05 for s in per_year.values())
     assert sum(r.v for r in totals.collect()) == sum(v for _, _, v in data)
+
+
+def test_totals_are_the_same_with_and_without_broadcast(spark):
+    lines = spark.createDataFrame([(0 if i % 3 else i, i % 4, i) for i in range(300)], "k int, y int, v long")
+    names = spark.range(300).select(F.col("id").cast("int").alias("k"), F.concat(F.lit("b"), F.col("id") % 5).alias("b"))
+
+    def totals():
+        return market.period_totals(lines, ["b", "y"], {"v": F.col("v")}, names, on="k", fact_cols=["y"])
+
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    small = sorted(rows(totals()))
+    assert "BroadcastHashJoin" in totals()._jdf.queryExecution().toString()
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10")
+        assert sorted(rows(totals())) == small
+        assert "SortMergeJoin" in totals()._jdf.queryExecution().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
