@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from marketloom.functions import vocabulary as V
 from marketloom.operators import market
 from marketloom.operators.warehouse import real_only
-from marketloom.sources.delimited import write_result
+from marketloom.sources.delimited import scan_csv, write_result
 
 Tables = Mapping[str, DataFrame]
 CatalogueQuery = Callable[[Tables], DataFrame]
@@ -102,3 +102,14 @@ def run_all(
             state, message = "failed", f"{type(exc).__name__}: {str(exc).splitlines()[0]}"
         status.append((position, name, state, message, round(time.monotonic() - start, 3)))
     return spark.createDataFrame(status, "position int, query string, state string, message string, seconds double")
+
+
+def stored_results(
+    spark: SparkSession, tables: Tables, out_dir: str, status: DataFrame, catalogue: Mapping[str, CatalogueQuery] = CATALOGUE
+) -> dict[str, DataFrame]:
+    """The CSV results ``run_all`` has written, with the queries' own types.
+
+    Later steps read these small tables instead of running the queries again.
+    """
+    written = [r["query"] for r in status.filter("state = 'written'").select("query").collect()]
+    return {name: scan_csv(spark, f"{out_dir}/{name}", catalogue[name](tables).schema) for name in written}

@@ -15,7 +15,7 @@ from marketloom.operators.features import trial_feature_names, trial_features
 from marketloom.operators.reshape import segment_profile
 from marketloom.operators.text import top_keywords
 from marketloom.operators.warehouse import build_star, real_only, refresh
-from marketloom.plans.catalogue import CATALOGUE, run_all
+from marketloom.plans.catalogue import run_all, stored_results
 from marketloom.sources.delimited import read_csv, scan_csv, write_result
 from marketloom.sources.landed import ingest_events, ingest_trials
 
@@ -61,12 +61,13 @@ def run(
     """Run every stage, write tables and results below ``out_dir``, return the results.
 
     Steps without enough data (models below 30 trials) or without their input
-    are left out. Malformed rows of the trial sample are written to
-    ``quarantine``. Runs jobs.
+    are left out. If the trial sample is used, its malformed rows are written
+    to ``quarantine``. Runs jobs.
     """
     trials = ingest_trials(spark, inputs.trial_pages, inputs.trial_sample)
-    quarantined = read_csv(spark, inputs.trial_sample, schemas.FACT_TRIALS)[1]
-    write_result(quarantined, f"{out_dir}/quarantine/trials")
+    taken = trials.select("_source").first()
+    if taken is None or taken[0] == "fallback":
+        write_result(read_csv(spark, inputs.trial_sample, schemas.FACT_TRIALS)[1], f"{out_dir}/quarantine/trials")
     sources = {
         "sales": scan_csv(spark, inputs.sales, schemas.RAW_SALES),
         "market": scan_csv(spark, inputs.market, schemas.RAW_MARKET),
@@ -75,7 +76,7 @@ def run(
     }
     star = refresh(build_star(sources), f"{out_dir}/warehouse")
     status = run_all(spark, star, f"{out_dir}/query_results")
-    results: dict[str, DataFrame] = {name: query(star) for name, query in CATALOGUE.items()}
+    results = stored_results(spark, star, f"{out_dir}/query_results", status)
     results["status"] = status
     results["keywords"] = top_keywords(star["fact_trials"], "indication", "molecule")
     results["sample_sizes"] = sample_sizes(spark)
@@ -95,8 +96,10 @@ def run(
         campaign = spark.read.parquet(inputs.campaign)
         results["ab_summary"] = stats.ab_summary(campaign, "arm", "converted", ["user_id"])
     # The brief shows the penetration next to the market's size.
-    penetration = sources["market"].select("year", "penetration_pct")
-    brief = {**results, "simulated_market": results["simulated_market"].join(penetration, "year")}
+    brief = dict(results)
+    if "simulated_market" in brief:
+        penetration = sources["market"].select("year", "penetration_pct")
+        brief["simulated_market"] = brief["simulated_market"].join(penetration, "year")
     results["kpi"] = kpi.kpi_table(brief)
     for name in ("keywords", "sample_sizes", "forecast", "model_results", "importances", "segments", "segment_profile", "ab_summary", "kpi"):
         if name in results:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.storagelevel import StorageLevel
 
 CORRUPT = "_corrupt_record"
 
@@ -50,14 +52,28 @@ def read_csv(
     return good, lines.filter(bad).select(raw.alias("raw_line"), F.col("_metadata.file_path").alias("file"))
 
 
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """``scan_csv``, or no rows if there is nothing at ``path``."""
+    try:
+        return scan_csv(spark, path, schema)
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def write_result(df: DataFrame, path: str, format: str = "csv") -> bool:
     """Write a result table with a header row; an empty one writes nothing.
 
-    Runs a job, and returns whether there was anything to write. The test looks
-    at one row only.
+    Runs a job, and returns whether there was anything to write. The table is
+    kept while it is tested and written, so its plan runs once.
     """
-    if df.isEmpty():
-        return False
-    writer = df.write.mode("overwrite")
-    writer.option("header", True).csv(path) if format == "csv" else writer.format(format).save(path)
-    return True
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if kept.isEmpty():
+            return False
+        writer = kept.write.mode("overwrite")
+        writer.option("header", True).csv(path) if format == "csv" else writer.format(format).save(path)
+        return True
+    finally:
+        kept.unpersist()

@@ -48,6 +48,17 @@ def test_small_trial_set_leaves_models_out(spark, tmp_path):
     results = pipeline.run(spark, inputs, str(tmp_path / "out"))
     assert "model_results" not in results and "segments" not in results
     assert results["forecast"].count() == 43
+    assert not (tmp_path / "out" / "quarantine").exists()
+
+
+def test_malformed_trials_do_not_stop_the_run(spark, tmp_path):
+    paths = csv_files(tmp_path)
+    (tmp_path / "trials.csv").write_text(X.trials_csv(quoted=False))
+    inputs = pipeline.Inputs(paths["sales"], paths["market"], str(tmp_path / "no"), paths["trials"], str(tmp_path / "no"), paths["events"])
+    results = pipeline.run(spark, inputs, str(tmp_path / "out"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "out" / "quarantine" / "trials")).count() == 10
+    states = {r.query: r.state for r in results["status"].collect()}
+    assert states["trial_pipeline"] == "empty" and states["brand_share"] == "written"
 
 
 def test_leader_is_of_the_latest_year(spark):

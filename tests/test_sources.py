@@ -45,6 +45,14 @@ def test_typed_cast(spark):
         spark.createDataFrame([("x",)], "v string").select(int_or_default(F.col("v"), strict=True)).collect()
 
 
+def test_missing_file_is_empty(spark, tmp_path):
+    assert delimited.read_or_empty(spark, str(tmp_path / "none.csv"), schemas.RAW_MARKET).collect() == []
+    found = delimited.read_or_empty(spark, write(tmp_path / "m.csv", X.MARKET), schemas.RAW_MARKET)
+    assert found.count() == 8
+    with pytest.raises(Exception, match="CSV"):
+        delimited.read_or_empty(spark, write(tmp_path / "x.csv", "a,b\n1,2\n"), schemas.RAW_MARKET).collect()
+
+
 def test_empty_result_writes_nothing(spark, tmp_path):
     df = spark.range(3)
     assert delimited.write_result(df, str(tmp_path / "a"))
