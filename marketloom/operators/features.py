@@ -75,6 +75,12 @@ def fill_median(
     return df.withColumn(column, F.when(valid, value).otherwise(F.coalesce(median, F.lit(default))))
 
 
+def with_label(trials: DataFrame) -> DataFrame:
+    """Trials that have a status, with ``label`` 1 for completed ones."""
+    known = trials.filter(F.trim(text_or_empty(F.col("status"))) != "")
+    return known.withColumn("label", flag(F.lower(F.trim("status")) == V.COMPLETED))
+
+
 def trial_features(
     trials: DataFrame,
     flags: Sequence[FlagRule] = V.TRIAL_FLAGS,
@@ -89,9 +95,8 @@ def trial_features(
     the vocabulary to training rows. ``normalize`` also sees phase codes such
     as ``PHASE3``, which the plain keyword rule misses.
     """
-    known = trials.filter(F.trim(text_or_empty(F.col("status"))) != "")
     fitted = trials if fit_on is None else fit_on
-    filled = fill_median(known, "start_year", fit_on=fitted)
+    filled = fill_median(with_label(trials), "start_year", fit_on=fitted)
     if normalize:
         spaced = F.regexp_replace(F.lower(text_or_empty(F.col("phase"))), r"phase[\s_-]*", "phase ")
         filled = filled.withColumn("phase", spaced)
@@ -99,7 +104,6 @@ def trial_features(
         "phase_depth": max_digit(F.col("phase")),
         "log_enrollment": F.log1p(F.coalesce(F.col("enrollment").cast("double"), F.lit(0.0))),
         "log_duration_days": F.log1p(duration_days(F.col("indication"), F.col("phase"))),
-        "label": flag(F.lower(F.trim("status")) == V.COMPLETED),
     }
     featured = rule_features(filled, flags, numeric)
     names = list(V.TRIAL_FEATURES)

@@ -99,8 +99,9 @@ def grid_search(
     """One row per setting and fold: (model, setting, params, fold, auc, accuracy).
 
     ``df`` has ``features``, ``label`` and a fold column, and should be cached.
-    The fits run ``parallelism`` at a time; all predictions are then ranked in
-    one job, grouped by setting and fold. A fold with one class has a NULL auc.
+    The fits run ``parallelism`` at a time; all predictions are then ranked
+    together, grouped by setting and fold. A fold with one class has a NULL auc.
+    Runs jobs; what comes back to the driver is one row per setting and fold.
     """
     sizes = dict(df.groupBy(fold_col).count().collect())
     total = sum(sizes.values())
@@ -118,11 +119,16 @@ def grid_search(
     for part in parts[1:]:
         together = together.unionByName(part)
     named = together.withColumns({"model": F.col("setting").cast("string"), "fold": (F.col("fold") + 1).cast("string")})
-    measured = metrics.model_table(named)
-    listed = [(str(i), json.dumps(p)) for i, p in enumerate(settings(grid))]
-    texts = df.sparkSession.createDataFrame(listed, "model string, params string")
-    return measured.join(F.broadcast(texts), "model").select(
-        F.lit(kind).alias("model"), F.col("model").cast("int").alias("setting"), "params", "fold", "auc", "accuracy"
+    # The metrics pass over the predictions several times; the models run once.
+    predictions = named.select("model", "fold", "score", "label").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        measured = metrics.model_table(predictions).collect()
+    finally:
+        predictions.unpersist()
+    params = [json.dumps(p) for p in settings(grid)]
+    listed = [(kind, int(r["model"]), params[int(r["model"])], r["fold"], r["auc"], r["accuracy"]) for r in measured]
+    return df.sparkSession.createDataFrame(
+        listed, "model string, setting int, params string, fold string, auc double, accuracy double"
     )
 
 
@@ -202,7 +208,6 @@ def run_models(
                 vector = "raw" if kind == RF else "scaled"
                 inputs = folds.select("label", "fold", F.col(vector).alias("features"))
                 searched = grid_search(inputs, kind, grid, len(features), seed=seed, parallelism=parallelism)
-                searched = searched.persist(StorageLevel.MEMORY_AND_DISK)
                 params, _ = best_setting(searched)
                 wanted = F.lit(json.dumps(params))
                 cv = searched.filter(F.col("params") == wanted).select("model", "fold", "auc", "accuracy")
@@ -212,7 +217,6 @@ def run_models(
                 part = cv.unionByName(metrics.model_table(named))
                 # The result is a handful of rows; fixing them here frees the caches.
                 fixed = df.sparkSession.createDataFrame(part.collect(), part.schema)
-                searched.unpersist()
                 results = fixed if results is None else results.unionByName(fixed)
             importances = feature_importance(
                 folds.select("label", "scaled", F.col("raw").alias("features")), features, rows, seed

@@ -11,8 +11,9 @@ from marketloom import schemas
 from marketloom.functions import vocabulary as V
 from marketloom.operators import forecast, kpi, metrics, models, stats
 from marketloom.operators.cluster import kmeans_segments
-from marketloom.operators.features import trial_feature_names, trial_features
+from marketloom.operators.features import trial_feature_names, trial_features, with_label
 from marketloom.operators.reshape import segment_profile
+from marketloom.operators.split import stratified_holdout
 from marketloom.operators.text import top_keywords
 from marketloom.operators.warehouse import build_star, real_only, refresh
 from marketloom.plans.catalogue import run_all, stored_results
@@ -83,7 +84,9 @@ def run(
     series = real_only(star["fact_brand_sales"]).groupBy("brand_id", "year").agg(F.sum("revenue_usd_m").alias("revenue_usd_m"))
     results["forecast"] = forecast.forecast_table(series, ["brand_id"], "year", "revenue_usd_m", start=horizon_start)
 
-    featured = trial_features(star["fact_trials"])
+    # The models split the same rows by the same hash, so the hold-out stays unseen here too.
+    split = stratified_holdout(with_label(star["fact_trials"]), "nct_id", "label")
+    featured = trial_features(star["fact_trials"], fit_on=split.filter("is_train"))
     fitted = models.run_models(featured, "nct_id", trial_feature_names(), grids=grids)
     if fitted:
         results["model_results"], results["importances"] = fitted

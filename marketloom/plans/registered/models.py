@@ -269,7 +269,7 @@ def assign_nearest(spark, sf_dir):
 @SET.add(
     "lloyd_step",
     f"""
-    SELECT segment, pos, COUNT(*)::BIGINT AS n, ROUND(AVG(x), 6) AS x FROM (
+    SELECT segment, CAST(pos AS INTEGER) AS pos, COUNT(*)::BIGINT AS n, ROUND(AVG(x), 6) AS x FROM (
       SELECT segment, unnest(embedding)::DOUBLE AS x, unnest(range(64)) AS pos FROM ({NEAREST_SQL})) GROUP BY 1, 2
     """,
 )

@@ -73,7 +73,10 @@ def write_result(df: DataFrame, path: str, format: str = "csv") -> bool:
         if kept.isEmpty():
             return False
         writer = kept.write.mode("overwrite")
-        writer.option("header", True).csv(path) if format == "csv" else writer.format(format).save(path)
+        if format == "csv":
+            writer.options(header=True, escape='"').csv(path)
+        else:
+            writer.format(format).save(path)
         return True
     finally:
         kept.unpersist()

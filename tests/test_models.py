@@ -141,3 +141,16 @@ def test_too_few_rows_and_default_setting(spark, labelled):
     assert ML.best_setting(none) == ({}, None)
     tie = spark.createDataFrame([(1, '{"C": 2}', 0.7), (0, '{"C": 1}', 0.7)], "setting int, params string, auc double")
     assert ML.best_setting(tie) == ({"C": 1}, 0.7)
+
+
+def test_holdout_is_the_same_for_features_and_models(spark):
+    """The split depends on ids and classes only, not on the other columns or their types."""
+    rows = [(f"NCT{i}", "Completed" if i % 3 else "Active", float(i)) for i in range(90)]
+    trials = spark.createDataFrame(rows, "nct_id string, status string, x double")
+    from marketloom.operators.features import with_label
+
+    labelled = with_label(trials)
+    first = {r.nct_id for r in SP.stratified_holdout(labelled, "nct_id", "label").collect() if r.is_train}
+    doubled = labelled.select("x", "nct_id", F.col("label").cast("double")).repartition(9)
+    assert first == {r.nct_id for r in SP.stratified_holdout(doubled, "nct_id", "label").collect() if r.is_train}
+    assert len(first) == 72

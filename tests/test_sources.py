@@ -45,6 +45,13 @@ def test_typed_cast(spark):
         spark.createDataFrame([("x",)], "v string").select(int_or_default(F.col("v"), strict=True)).collect()
 
 
+def test_result_round_trip_keeps_quotes_and_gaps(spark, tmp_path):
+    rows = [(1, 'say "x", twice', 0.1), (2, "", None), (3, None, 1e-9), (4, "back\\slash", 123456789.125)]
+    df = spark.createDataFrame(rows, "k int, t string, v double")
+    delimited.write_result(df, str(tmp_path / "r"))
+    assert sorted(tuple(r) for r in delimited.scan_csv(spark, str(tmp_path / "r"), df.schema).collect()) == rows
+
+
 def test_missing_file_is_empty(spark, tmp_path):
     assert delimited.read_or_empty(spark, str(tmp_path / "none.csv"), schemas.RAW_MARKET).collect() == []
     found = delimited.read_or_empty(spark, write(tmp_path / "m.csv", X.MARKET), schemas.RAW_MARKET)
