@@ -12,7 +12,10 @@ CORRUPT = "_corrupt_record"
 
 
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType, mode: str = "FAILFAST") -> DataFrame:
-    """CSV with a header row, quoted fields and a fixed schema; bad rows raise."""
+    """CSV with a header row, quoted fields and a fixed schema; bad rows raise.
+
+    An empty field is NULL, quoted or not.
+    """
     return (
         spark.read.schema(schema)
         .options(header=True, mode=mode, encoding="UTF-8", escape='"', enforceSchema=False)
