@@ -18,10 +18,17 @@ def _score_cuts(df: DataFrame, score: str, buckets: int) -> list[float]:
 
 
 def auc(
-    df: DataFrame, score: str, label: str, group: Sequence[str] = (), buckets: int | None = None
+    df: DataFrame,
+    score: str,
+    label: str,
+    group: Sequence[str] = (),
+    buckets: int | None = None,
+    cut: float | None = None,
 ) -> DataFrame:
     """Area under the ROC curve, ties counted half; NULL with one class only.
 
+    ``cut`` adds the accuracy of ``score >= cut`` from the same counts.
+
     Rows are counted per distinct score first. The scores are then cut into
     ranges at approximate quantiles; each range ranks its own scores, and only
     one row per range is put in order overall. Any cuts give the exact result,
@@ -48,16 +55,23 @@ def auc(
     per_range = (
         ranged.withColumn("_wins", F.col("_pos") * (below + F.col("_neg") / 2.0))
         .groupBy(*keys, "_range")
-        .agg(F.sum("_wins").alias("_wins"), F.sum("_pos").alias("_pos"), F.sum("_neg").alias("_neg"))
+        .agg(
+            F.sum("_wins").alias("_wins"),
+            F.sum("_pos").alias("_pos"),
+            F.sum("_neg").alias("_neg"),
+            F.sum(F.when(F.col("_score") >= (cut or 0.0), F.col("_pos")).otherwise(F.col("_neg"))).alias("_hits"),
+        )
     )
     # One row per range and group from here on.
     across = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     ranges_below = F.coalesce(F.sum("_neg").over(across), F.lit(0.0))
     total = per_range.withColumn("_wins", F.col("_wins") + F.col("_pos") * ranges_below).groupBy(*keys)
+    accuracy = [] if cut is None else [ratio(F.sum("_hits"), F.sum("_pos") + F.sum("_neg")).alias("accuracy")]
     return total.agg(
         F.sum("_pos").cast("bigint").alias("n_pos"),
         F.sum("_neg").cast("bigint").alias("n_neg"),
         ratio(F.sum("_wins"), F.sum("_pos") * F.sum("_neg")).alias("auc"),
+        *accuracy,
     )
 
 
@@ -97,9 +111,8 @@ def model_table(predictions: DataFrame, score: str = "score", label: str = "labe
     ``fold`` is text: the number of a fold or ``holdout``.
     """
     keys = ["model", "fold"]
-    ranked = auc(predictions, score, label, keys).select(*keys, F.round("auc", 4).alias("auc"))
-    exact = accuracy_at(predictions, score, label, cut, keys).select(*keys, F.round("accuracy", 4).alias("accuracy"))
-    return ranked.join(exact, keys)
+    measured = auc(predictions, score, label, keys, cut=cut)
+    return measured.select(*keys, F.round("auc", 4).alias("auc"), F.round("accuracy", 4).alias("accuracy"))
 
 
 def model_summary(results: DataFrame, by: str = "holdout") -> DataFrame:
@@ -114,5 +127,7 @@ def model_summary(results: DataFrame, by: str = "holdout") -> DataFrame:
         F.max(F.when(held, F.col("auc"))).alias("holdout_auc"),
     )
     column = {"holdout": "holdout_auc", "cv": "cv_auc"}[by]
-    best = per_model.agg(F.min_by("model", F.struct(-F.coalesce(F.col(column), F.lit(-1.0)), F.col("model"))).alias("m")).scalar()
+    # One row per model is left, so one window over all of them is small.
+    rank = F.struct(-F.coalesce(F.col(column), F.lit(-1.0)), F.col("model"))
+    best = F.min_by("model", rank).over(Window.partitionBy(F.lit(0)))
     return per_model.withColumn("best", F.col("model") == best)
