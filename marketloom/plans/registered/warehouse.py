@@ -22,7 +22,7 @@ SET = QuerySet()
 def csv_scan_roundtrip(spark, sf_dir):
     customers = table(spark, sf_dir, "customer")
     path = scratch_path(spark, "customer-csv")
-    delimited.write_result(customers, path)
+    delimited.write_result(customers, path, keep=False)
     return delimited.scan_csv(spark, path, customers.schema)
 
 

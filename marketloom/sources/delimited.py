@@ -65,13 +65,14 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         return spark.createDataFrame([], schema)
 
 
-def write_result(df: DataFrame, path: str, format: str = "csv") -> bool:
+def write_result(df: DataFrame, path: str, format: str = "csv", keep: bool = True) -> bool:
     """Write a result table with a header row; an empty one writes nothing.
 
     Runs a job, and returns whether there was anything to write. The table is
-    kept while it is tested and written, so its plan runs once.
+    kept while it is tested and written, so its plan runs once; ``keep=False``
+    is for big tables whose first row is found at once, such as plain scans.
     """
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK) if keep else df
     try:
         if kept.isEmpty():
             return False
@@ -82,4 +83,5 @@ def write_result(df: DataFrame, path: str, format: str = "csv") -> bool:
             writer.format(format).save(path)
         return True
     finally:
-        kept.unpersist()
+        if keep:
+            kept.unpersist()

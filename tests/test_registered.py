@@ -6,7 +6,6 @@ import __spark_entry__ as entry
 from tests import oracle
 
 SF = "/root/testdata/sf0.01"
-CON = None
 # Fitted models have no oracle and are tested on their own below.
 FITTED = {"model_cv", "model_holdout", "feature_importance", "kmeans_segments", "bootstrap_ci_counts"}
 
