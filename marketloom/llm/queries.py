@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import secrets, sharding
+from marketloom.llm import repeats, secrets, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -79,6 +79,14 @@ FROM placed, crc_table
 """
 
 
+@query
+def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document outside passages of 35 words that occur elsewhere too."""
+    found = repeats.repeated_spans(table(spark, sf_dir, "documents"))
+    gone = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + (x["end"] - x["start"]))
+    return found.select("doc_id", "n_words", gone.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def all_queries() -> dict[str, Query]:
     return dict(QUERIES)
 
