@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import repeats, secrets, sharding
+from marketloom.llm import near, repeats, secrets, sharding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -79,6 +79,12 @@ FROM placed, crc_table
 """
 
 
+@query
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents with 75 % of their five-word shingles in common."""
+    return near.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document outside passages of 35 words that occur elsewhere too."""

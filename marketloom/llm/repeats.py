@@ -22,11 +22,10 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.llm import words
+from marketloom.llm import texts, words
 from marketloom.session import materialise
 
 ANCHOR = 8
@@ -80,37 +79,24 @@ def cut(hashes: np.ndarray, first: np.ndarray, length: int) -> Blocks:
     return Blocks(row[begin], at, size, lead, grams[place], content)
 
 
-def _documents(batch: pa.RecordBatch) -> Iterator[tuple[words.Chunk, words.Words, np.ndarray, np.ndarray]]:
-    """Chunks with words, word hashes and a fingerprint of each text."""
-    for chunk in words.chunks(batch.column("text")):
-        found = words.split(chunk)
-        hashes = words.span_hashes(chunk.data, found.start, found.end)
-        prints = words.span_hashes(chunk.data, chunk.offsets[:-1], chunk.offsets[1:])
-        yield chunk, found, hashes, prints
-
-
-def _signed(x: np.ndarray) -> pa.Array:
-    return pa.array(x.astype(np.uint64, copy=False).view(np.int64))
-
-
 def _blocks(source: DataFrame, length: int, kind: str) -> DataFrame:
     """One row per block; ``start`` counts words of the document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk, found, hashes, prints in _documents(batch):
+            for chunk, found, hashes, prints in texts.documents(batch):
                 b = cut(hashes, found.first, length)
                 if not len(b.row):
                     continue
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("key").take(pa.array(b.row + chunk.first)),
-                        _signed(prints[b.row]),
+                        texts.signed(prints[b.row]),
                         pa.array((b.start - found.first[b.row]).astype(np.int32)),
                         pa.array(b.windows.astype(np.int16)),
                         pa.array(b.lead.astype(np.int16)),
-                        _signed(b.anchor),
-                        _signed(b.content),
+                        texts.signed(b.anchor),
+                        texts.signed(b.content),
                     ],
                     ["key", "print", "start", "windows", "lead", "anchor", "content"],
                 )
@@ -118,37 +104,12 @@ def _blocks(source: DataFrame, length: int, kind: str) -> DataFrame:
     return source.mapInArrow(run, f"key {kind}, print long, start int, windows smallint, lead smallint, anchor long, content long")
 
 
-def _packed(source: DataFrame, kind: str) -> DataFrame:
-    """Each text compressed, with its fingerprint; what is shuffled instead of the text."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
-            for chunk, _, _, prints in _documents(batch):
-                o, raw = chunk.offsets.tolist(), chunk.data.tobytes()
-                packed = [squeeze.compress(raw[i:j]) for i, j in zip(o, o[1:])]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("key").slice(chunk.first, chunk.last - chunk.first), _signed(prints), pa.array(packed, pa.binary())],
-                    ["key", "print", "packed"],
-                )
-
-    return source.mapInArrow(run, f"key {kind}, print long, packed binary")
-
-
-def _unpacked(batch: pa.RecordBatch, rows: int = 256) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """The batch a few rows at a time, with the texts."""
-    loosen = zstandard.ZstdDecompressor()
-    for at in range(0, batch.num_rows, rows):
-        part = batch.slice(at, rows)
-        yield part, [loosen.decompress(x.as_py()) for x in part.column("packed")]
-
-
 def _edge_windows(asked: DataFrame, length: int) -> DataFrame:
     """Hash of every window of the asked blocks of packed documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pieces = ((p, c) for p, texts in _unpacked(batch) for c in words.chunks(pa.array(texts, pa.large_binary()).view(pa.large_string())))
+            pieces = ((p, c) for p, raw in texts.unpacked(batch) for c in words.chunks(pa.array(raw, pa.large_binary()).view(pa.large_string())))
             for piece, chunk in pieces:
                 found = words.split(chunk)
                 hashes = words.span_hashes(chunk.data, found.start, found.end)
@@ -168,7 +129,7 @@ def _edge_windows(asked: DataFrame, length: int) -> DataFrame:
                         flat.field("copies").take(pa.array(block)),
                         pa.array(step.astype(np.int16)),
                         pa.array((part("lead")[block] - step).astype(np.int16)),
-                        _signed(words.long_hashes(hashes, at, at + length)),
+                        texts.signed(words.long_hashes(hashes, at, at + length)),
                     ],
                     ["anchor", "content", "copies", "step", "offset", "window"],
                 )
@@ -219,9 +180,9 @@ def _kept(joined: DataFrame, length: int, kind: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spans_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
         for batch in batches:
-            for part, texts in _unpacked(batch):
+            for part, own_texts in texts.unpacked(batch):
                 counts, spans, kept = [], [], []
-                for text, hits in zip(texts, part.column("hits")):
+                for text, hits in zip(own_texts, part.column("hits")):
                     own = text.split()  # of bytes: at the same characters as elsewhere here
                     counts.append(len(own))
                     found = hits.as_py()
@@ -254,9 +215,8 @@ def repeated_spans(df: DataFrame, key: str = "doc_id", text: str = "text", lengt
     """
     if length < ANCHOR:
         raise ValueError(f"length must be at least {ANCHOR}")
-    source = df.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
-    kind = source.schema["key"].dataType.simpleString()
-    blocks, packed = _blocks(source, length, kind), _packed(source, kind)
+    source, kind = texts.keyed(df, key, text)
+    blocks, packed = _blocks(source, length, kind), texts.packed(source, kind)
     anchors = blocks.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
     likely = materialise(blocks.join(anchors, "anchor", "left_semi"), "repeats-blocks")
     repeated = _repeated_blocks(likely, packed, length)

@@ -145,27 +145,19 @@ def shingle_sets(hashes: np.ndarray, first: np.ndarray, size: int = 5) -> tuple[
     row without words none.
     """
     count = np.diff(first)
+    size_of = np.where(count >= size, count - size + 1, np.minimum(count, 1))
+    begin = np.concatenate([[0], np.cumsum(size_of)])
+    row = np.repeat(np.arange(len(count)), size_of)
     grams = gram_hashes(hashes, size)
-    n_grams = np.where(count >= size, count - size + 1, 0)
-    row = np.repeat(np.arange(len(count)), n_grams)
-    begin = np.cumsum(n_grams) - n_grams
-    pick = np.arange(len(row)) - begin[row] + first[:-1][row]
-    values = grams[pick]
+    at = np.arange(len(row)) - begin[row] + first[:-1][row]
     short = np.flatnonzero((count > 0) & (count < size))
+    values = grams[np.minimum(at, len(grams) - 1)] if len(grams) else np.zeros(len(row), np.uint64)
     if len(short):
-        values = np.concatenate([values, long_hashes(hashes, first[:-1][short], first[1:][short])])
-        row = np.concatenate([row, short])
-    order = np.lexsort((values, row)) if len(short) else _sorted_within(values, begin, n_grams)
-    values, row = values[order], row[order]
+        values[begin[:-1][short]] = long_hashes(hashes, first[:-1][short], first[1:][short])
+    for b, e in zip(begin.tolist(), begin[1:].tolist()):
+        if e - b > 1:
+            values[b:e].sort()
     new = np.ones(len(values), bool)
     new[1:] = (values[1:] != values[:-1]) | (row[1:] != row[:-1])
     values, row = values[new], row[new]
     return values, np.searchsorted(row, np.arange(len(count) + 1))
-
-
-def _sorted_within(values: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
-    order = np.empty(len(values), np.int64)
-    for b, s in zip(begin.tolist(), size.tolist()):
-        if s:
-            order[b : b + s] = np.argsort(values[b : b + s]) + b
-    return order
