@@ -27,12 +27,22 @@ class Banding(NamedTuple):
     bands: int = 48
     rows: int = 6
 
+    @property
+    def sketch_longs(self) -> int:
+        return -(-self.bands * self.rows // 32)
+
+    def least_agreeing(self, percent: int, deviations: float = 4.5) -> int:
+        """Agreeing two-bit values of a pair at the threshold, less so many standard deviations."""
+        n, p = self.bands * self.rows, 0.25 + 0.75 * percent / 100
+        return int(n * p - deviations * (n * p * (1 - p)) ** 0.5)
+
 
 _rng = np.random.Generator(np.random.PCG64(7))
 _FACTOR = (_rng.integers(0, 2**31, 4096, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
 _SHIFT = _rng.integers(0, 2**32, 4096, dtype=np.uint32)
 _COLUMNS = 4096  # shingles evaluated at a time
 CLASS = "decimal(38,0)"
+_EVEN_BITS = 0x5555555555555555
 
 
 def min_max(values: np.ndarray, permutations: int) -> tuple[np.ndarray, np.ndarray]:
@@ -47,14 +57,17 @@ def min_max(values: np.ndarray, permutations: int) -> tuple[np.ndarray, np.ndarr
     return low, high
 
 
-def band_keys(values: np.ndarray, banding: Banding) -> np.ndarray:
-    """A 64-bit key for each band, different between bands."""
+def band_keys(values: np.ndarray, banding: Banding) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit key for each band, different between bands, and two bits of every value."""
     low, high = min_max(values, banding.bands * banding.rows // 2)
-    parts = np.concatenate([low, high]).reshape(banding.bands, banding.rows).astype(np.uint64)
+    both = np.concatenate([low, high])
+    parts = both.reshape(banding.bands, banding.rows).astype(np.uint64)
     keys = np.arange(1, banding.bands + 1, dtype=np.uint64)
     for j in range(banding.rows):
         keys = words.mix(keys * np.uint64(0x9E3779B97F4A7C15) + parts[:, j])
-    return keys
+    bits = np.zeros(banding.sketch_longs * 32, np.uint64)
+    bits[: len(both)] = (both >> np.uint32(9)) & np.uint32(3)
+    return keys, (bits.reshape(-1, 32) << (2 * np.arange(32, dtype=np.uint64))).sum(axis=1, dtype=np.uint64)
 
 
 def class_ids(values: np.ndarray, first: np.ndarray) -> pa.Array:
@@ -99,8 +112,11 @@ def _sketches(source: DataFrame, kind: str, banding: Banding, size: int) -> Data
                 n = np.diff(first)
                 full = np.flatnonzero(n)
                 keys = [band_keys(values[first[i] : first[i + 1]], banding) for i in full.tolist()]
-                flat = np.concatenate(keys) if keys else np.empty(0, np.uint64)
-                ends = np.concatenate([[0], np.cumsum(np.where(n > 0, banding.bands, 0))]).astype(np.int32)
+                lists = []
+                for i, per_row in enumerate((banding.bands, banding.sketch_longs)):
+                    flat = np.concatenate([k[i] for k in keys]) if keys else np.empty(0, np.uint64)
+                    ends = np.concatenate([[0], np.cumsum(np.where(n > 0, per_row, 0))]).astype(np.int32)
+                    lists.append(pa.ListArray.from_arrays(pa.array(ends), texts.signed(flat)))
                 classes = class_ids(values, first)
                 if len(full) < len(n):
                     classes = pa.array([c.as_py() if m else None for c, m in zip(classes, n)], classes.type)
@@ -110,12 +126,12 @@ def _sketches(source: DataFrame, kind: str, banding: Banding, size: int) -> Data
                         texts.signed(prints),
                         pa.array(n.astype(np.int32)),
                         classes,
-                        pa.ListArray.from_arrays(pa.array(ends), texts.signed(flat)),
+                        *lists,
                     ],
-                    ["key", "print", "n", "class", "bands"],
+                    ["key", "print", "n", "class", "bands", "sketch"],
                 )
 
-    return source.mapInArrow(run, f"key {kind}, print long, n int, class {CLASS}, bands array<long>")
+    return source.mapInArrow(run, f"key {kind}, print long, n int, class {CLASS}, bands array<long>, sketch array<long>")
 
 
 def confirm(pairs: DataFrame, held: DataFrame, percent: int, size: int) -> DataFrame:
@@ -156,8 +172,29 @@ def components(links: DataFrame, low: str = "a", high: str = "b") -> DataFrame:
             return labels
 
 
-def _sizes_fit(a: Column, b: Column, percent: int) -> Column:
-    return (F.lit(100) * F.least(a, b)) >= F.lit(percent) * F.greatest(a, b)
+def _unshared(held: DataFrame, size: int) -> DataFrame:
+    """(class, alone): how many shingles of each class no other class here has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, raw in texts.unpacked(batch):
+                sets = _sets(raw, size)
+                row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+                yield pa.RecordBatch.from_arrays([part.column("class").take(pa.array(row)), texts.signed(np.concatenate(sets))], ["class", "shingle"])
+
+    shingles = held.mapInArrow(run, f"class {CLASS}, shingle long")
+    once = shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("k"), F.min("class").alias("class")).filter("k = 1")
+    return once.groupBy("class").agg(F.count(F.lit(1)).alias("alone"))
+
+
+def _agreeing(a: str, b: str, banding: Banding) -> Column:
+    """At how many of their values two sketches agree in the two bits kept."""
+    total = F.lit(0)
+    for i in range(banding.sketch_longs):
+        differ = F.col(f"{a}.sketch")[i].bitwiseXOR(F.col(f"{b}.sketch")[i])
+        differ = differ.bitwiseOR(F.shiftright(differ, 1)).bitwiseAND(F.lit(_EVEN_BITS))
+        total = total + F.bit_count(differ)
+    return F.lit(banding.bands * banding.rows) - total
 
 
 def near_duplicates(
@@ -175,8 +212,9 @@ def near_duplicates(
     Documents of equal sets are one class from the start. Classes that share a
     key are first compared with the key's smallest and largest class only;
     links found join components. Pairs of a key that are then still in
-    different components are compared in full, so no candidate is left out and
-    no group of near copies is expanded into pairs.
+    different components are compared too, unless their sizes without the
+    shingles that nothing else here has rule a link out, or their sketches do
+    (``Banding.least_agreeing``); no group of near copies is expanded.
 
     Returns ``key``, ``n_shingles``, ``component_id`` (the smallest key
     reachable; null keys count only where there is no other) and ``kept`` (key
@@ -185,7 +223,7 @@ def near_duplicates(
     """
     source, kind = texts.keyed(df, key, text)
     sketches = materialise(_sketches(source, kind, banding, size), "near-sketches")
-    classes = sketches.filter("n > 0").select("class", "n", "key", "print", "bands").dropDuplicates(["class"])
+    classes = sketches.filter("n > 0").select("class", "n", "key", "print", "bands", "sketch").dropDuplicates(["class"])
     members = classes.select("class", "n", F.explode("bands").alias("band"))
     ends = members.groupBy("band").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low <> high")
     shared = materialise(members.join(ends, "band"), "near-members")
@@ -206,14 +244,21 @@ def near_duplicates(
     )
     open_bands = placed.groupBy("band").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).filter("c0 <> c1").select("band")
     rest = materialise(placed.join(open_bands, "band", "left_semi"), "near-rest")
+    alone = _unshared(held.join(rest.select("class").distinct(), "class", "left_semi"), size)
+    common = F.col("n") - F.coalesce("alone", F.lit(0))
+    rest = rest.join(alone, "class", "left").withColumn("common", common).filter(100 * common >= percent * F.col("n"))
+    rest = rest.join(classes.select("class", "sketch"), "class")
+    rest = materialise(rest.select("band", "class", "component", "n", "common", "sketch"), "near-rest")
     x, y = rest.alias("x"), rest.alias("y")
+    most = F.least("x.common", "y.common")  # bounds what the two have in common
     crossing = (
         x.join(
             y,
             (F.col("x.band") == F.col("y.band"))
             & (F.col("x.class") < F.col("y.class"))
             & (F.col("x.component") != F.col("y.component"))
-            & _sizes_fit(F.col("x.n"), F.col("y.n"), percent),
+            & (100 * most >= percent * (F.col("x.n") + F.col("y.n") - most))
+            & (_agreeing("x", "y", banding) >= banding.least_agreeing(percent)),
         )
         .select(F.col("x.class").alias("a"), F.col("y.class").alias("b"))
         .distinct()
