@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import near, repeats, secrets, sharding
+from marketloom.llm import near, repeats, secrets, sharding, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -85,6 +85,22 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place and ids in token files, read back from them."""
+    folder = tokens.new_folder(spark)
+    docs = table(spark, sf_dir, "documents")
+    parts = tokens.write_token_files(docs, tokenizer_file("byte_bpe_50k.json"), 0, folder)
+    found = tokens.crc_of_tokens(tokens.read_token_files(spark, folder, len(parts)))
+    return found.withColumnRenamed("key", "doc_id")
+
+
 @query
 def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document outside passages of 35 words that occur elsewhere too."""

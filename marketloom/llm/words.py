@@ -24,6 +24,7 @@ _LOWER[ord("A") : ord("Z") + 1] += 32
 
 _rng = np.random.Generator(np.random.PCG64(20240229))
 _SYMBOL = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_SYMBOL_AGAIN = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACE = _rng.integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15 | 5  # odd, and not 1 modulo 8
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -109,12 +110,12 @@ def lowered(chunk: Chunk) -> Chunk:
     return chunk._replace(data=_LOWER[chunk.data])
 
 
-def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte span, from prefix sums of a polynomial."""
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, again: bool = False) -> np.ndarray:
+    """A 64-bit hash of each byte span, from prefix sums of a polynomial; ``again`` gives a second one."""
     n = len(data)
     up, down = powers(n + 1)
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(_SYMBOL[data] * up[:n], out=sums[1:])
+    np.cumsum((_SYMBOL_AGAIN if again else _SYMBOL)[data] * up[:n], out=sums[1:])
     return mix((sums[end] - sums[start]) * down[start])
 
 
