@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import near, repeats, secrets, sharding, tokens
+from marketloom.llm import contained, lines, near, repeats, search, secrets, sharding, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -79,6 +79,31 @@ FROM placed, crc_table
 """
 
 
+@query
+def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without later copies of three consecutive lines."""
+    found = lines.without_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_lines", "n_removed", "text")
+
+
+ORACLES["op4_lines"] = """
+WITH split AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
+windows AS (
+  SELECT doc_id, pos, array_to_string(lines[pos + 1:pos + 3], chr(10)) AS run
+  FROM (SELECT doc_id, lines, unnest(range(len(lines) - 2)) AS pos FROM split)
+), later AS (
+  SELECT doc_id, pos FROM (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, pos) AS n FROM windows) WHERE n > 1
+), gone AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + 3)) AS pos FROM later),
+kept AS (
+  SELECT s.doc_id, string_agg(s.line, chr(10) ORDER BY s.pos) AS text, count(*) AS n
+  FROM (SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM split) s
+  ANTI JOIN gone g ON g.doc_id = s.doc_id AND g.pos = s.pos GROUP BY s.doc_id
+)
+SELECT s.doc_id, CAST(len(s.lines) AS BIGINT) AS n_lines, CAST(len(s.lines) - coalesce(k.n, 0) AS BIGINT) AS n_removed, coalesce(k.text, '') AS text
+FROM split s LEFT JOIN kept k ON k.doc_id = s.doc_id
+"""
+
+
 @query
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents with 75 % of their five-word shingles in common."""
@@ -101,6 +126,12 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("key", "doc_id")
 
 
+@query
+def op7_benchmark_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items with three quarters of their five-word shingles in a document."""
+    return contained.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document outside passages of 35 words that occur elsewhere too."""
@@ -109,6 +140,24 @@ def op8_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", gone.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op9_top_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten highest inner products of every hundredth vector with all others."""
+    return search.top_inner_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+ORACLES["op9_top_vectors"] = """
+WITH sound AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM sound q JOIN sound c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
+), ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+
 def all_queries() -> dict[str, Query]:
     return dict(QUERIES)
 
