@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import contained, lines, near, repeats, search, secrets, sharding, tokens
+from marketloom.llm import contained, language, lines, near, repeats, search, secrets, sharding, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    out = language.held_out(F.col("doc_id"))
+    found = language.identify(docs, language.fit(docs.filter(~out)))
+    return found.select("doc_id", out.alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
+
+
 @query
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document, counted and digested per kind."""
