@@ -91,13 +91,13 @@ class Index:
         return out
 
 
-def _passes(items: DataFrame, key: str, text: str) -> Iterator[tuple[list, list[bytes]]]:
+def _passes(items: DataFrame, key: str, text: str) -> Iterator[tuple[pa.Array, list[bytes]]]:
     """Keys and texts of the items, a bounded number at a time."""
     named = items.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).filter("text is not null").distinct()
     count = -(-named.count() // (ITEMS_PER_PASS // 2))
     for i in range(count):
-        rows = named.filter(F.pmod(F.xxhash64("key", "text"), F.lit(count)) == i).collect() if count > 1 else named.collect()
-        yield [r.key for r in rows], [r.text.encode() for r in rows]
+        rows = named.filter(F.pmod(F.xxhash64("key", "text"), F.lit(count)) == i).toArrow()
+        yield rows.column("key").combine_chunks(), [t.encode() for t in rows.column("text").to_pylist()]
 
 
 def _searched(batch: pa.RecordBatch, column: str, index: Index) -> Iterator[tuple[int, int, int]]:
@@ -137,7 +137,7 @@ def contained_items(
                     row, item, shared = zip(*hits)
                     columns = [
                         batch.column("key").take(pa.array(row)),
-                        pa.array([names[i] for i in item]),
+                        names.take(pa.array(item)),
                         pa.array([len(index.sets[i]) for i in item], pa.int64()),
                         pa.array(shared, pa.int64()),
                     ]

@@ -149,7 +149,11 @@ class Model:
 
     def __init__(self, langs: list[str], codes: list[np.ndarray], counts: list[np.ndarray]) -> None:
         self.langs = langs
+        self.grams: list[Table] = []
+        self.weights: list[Table] = []
         n_langs = len(langs)
+        if not langs:
+            return
         seen = [{} for _ in langs]
         for i, (code, count) in enumerate(zip(codes, counts)):
             seen[i][ORDER] = (code, count.astype(np.float64))
@@ -157,8 +161,6 @@ class Model:
                 shorter = seen[i][k + 1][0][:, 1:]
                 _, at, back = np.unique(gram_keys(shorter, k), return_index=True, return_inverse=True)
                 seen[i][k] = (shorter[at], np.bincount(back).astype(np.float64))
-        self.grams: list[Table] = []
-        self.weights: list[Table] = []
         for k in range(1, ORDER + 1):
             code = np.concatenate([s[k][0] for s in seen])
             keys, at = np.unique(gram_keys(code, k), return_index=True)
@@ -209,8 +211,8 @@ class Model:
         n = np.diff(first) - (ORDER - 1)
         total = np.zeros((len(n), len(self.langs)))
         begin = np.cumsum(n) - n
-        table = self.grams[-1]
         if len(where) and self.langs:
+            table = self.grams[-1]
             at, hit = table.find(gram_keys(code, ORDER)[where])
             full = np.flatnonzero(n)
             miss = np.flatnonzero(~hit)
@@ -237,7 +239,7 @@ class Identifier(NamedTuple):
         h, n = self.model.entropies(chunk)
         rows = np.arange(len(n))
         if not self.model.langs:
-            return [UNKNOWN] * len(n), np.zeros(len(n)), np.zeros(len(n)), np.ones(len(n), bool)
+            return [UNKNOWN] * len(n), np.zeros(len(n)), np.zeros(len(n)), n == 0
         best = h.argmin(axis=1)  # the first of equal ones; languages are sorted
         low = h[rows, best]
         odds = np.exp(-(h - low[:, None]) * np.sqrt(np.maximum(n, 1))[:, None])
@@ -303,7 +305,8 @@ def identify(df: DataFrame, identifier: Identifier, key: str = "doc_id", text: s
     first in name order if equal; ``und``, with score 0 and rejected, for null
     texts and texts without letters. ``score`` is the softmax of the negative
     cross-entropies times the root of the number of letters. Only the text is
-    looked at; rows are independent of each other.
+    looked at; rows are independent of each other. Without any learned
+    language all texts are ``und``, and those without letters are rejected.
     """
     from marketloom.llm import texts
 

@@ -221,6 +221,27 @@ def near_duplicates(
     = component_id; of rows that agree in key all are). One row per input row.
     Runs jobs that write to the shared folder.
     """
+    out = _placed(df, key, text, percent, size, banding)
+    return out.select(F.col("key").alias(key), F.col("n").cast("long").alias("n_shingles"), "component_id", "kept")
+
+
+def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 75, size: int = 5, banding: Banding = Banding()) -> DataFrame:
+    """The rows of ``df``, with all columns, of which ``near_duplicates`` keeps one a component.
+
+    Of rows that agree in key and text one stays, any of them.
+    """
+    kept = _placed(df, key, text, percent, size, banding).filter("kept")
+    kept = kept.groupBy(F.col("key").alias("__key"), F.col("print").alias("__same")).agg(F.count(F.lit(1)).alias("__rows"))
+    docs = texts.printed(df, text, "__print")
+    docs = docs.join(kept, F.col(key).eqNullSafe(F.col("__key")) & (F.col("__print") == F.col("__same")))
+    if kept.filter("__rows > 1").isEmpty():
+        return docs.select(*df.columns)
+    again = docs.filter("__rows > 1").dropDuplicates([key, "__print"])
+    return docs.filter("__rows = 1").unionByName(again).select(*df.columns)
+
+
+def _placed(df: DataFrame, key: str, text: str, percent: int, size: int, banding: Banding) -> DataFrame:
+    """(key, print, n, component_id, kept) of every row, written to the shared folder."""
     source, kind = texts.keyed(df, key, text)
     sketches = materialise(_sketches(source, kind, banding, size), "near-sketches")
     classes = sketches.filter("n > 0").select("class", "n", "key", "print", "bands", "sketch").dropDuplicates(["class"])
@@ -269,10 +290,8 @@ def near_duplicates(
         labels = components(links.unionByName(more))
 
     named = sketches.join(labels.select(F.col("node").alias("class"), "component"), "class", "left").select(
-        "key", "n", F.coalesce("component", "class").alias("component")
+        "key", "print", "n", F.coalesce("component", "class").alias("component")
     )
     lowest = named.filter("component is not null").groupBy("component").agg(F.min("key").alias("lowest"))
     out = named.join(lowest, "component", "left").withColumn("component_id", F.when(F.col("n") > 0, F.col("lowest")).otherwise(F.col("key")))
-    return out.select(
-        F.col("key").alias(key), F.col("n").cast("long").alias("n_shingles"), "component_id", F.col("key").eqNullSafe(F.col("component_id")).alias("kept")
-    )
+    return out.select("key", "print", "n", "component_id", F.col("key").eqNullSafe(F.col("component_id")).alias("kept"))

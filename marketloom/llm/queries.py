@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import contained, language, lines, near, repeats, search, secrets, sharding, tokens
+from marketloom.llm import contained, language, lines, near, pieces, repeats, search, secrets, sharding, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -167,6 +167,20 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 """
 
 
+@query
+def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sampled segmentation of every document, and whether it decodes to the text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = tokenizer_file("piece_bpe_32k.model")
+    found = pieces.decode(pieces.encode(docs, model, seed=1), model)
+    return found.select(
+        "doc_id",
+        F.coalesce(F.size("pieces"), F.lit(0)).cast("long").alias("n_pieces"),
+        F.sha2(F.array_join("pieces", ","), 256).alias("pieces_sha256"),
+        F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"),
+    )
+
+
 def all_queries() -> dict[str, Query]:
     return dict(QUERIES)
 

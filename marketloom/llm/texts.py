@@ -9,6 +9,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marketloom.llm import words
 
@@ -50,6 +51,18 @@ def packed(source: DataFrame, kind: str) -> DataFrame:
     return source.mapInArrow(run, f"key {kind}, print long, packed binary")
 
 
+def printed(df: DataFrame, text: str, name: str) -> DataFrame:
+    """The rows with a fingerprint of the text, the one that ``packed`` gives."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            prints = [words.span_hashes(c.data, c.offsets[:-1], c.offsets[1:]) for c in words.chunks(batch.column(text))]
+            own = signed(np.concatenate(prints)) if prints else pa.array([], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, own], [*batch.schema.names, name])
+
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(name, T.LongType())]))
+
+
 def unpacked(batch: pa.RecordBatch, rows: int = 256) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """The batch a few rows at a time, with the texts."""
     loosen = zstandard.ZstdDecompressor()

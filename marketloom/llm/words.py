@@ -30,6 +30,11 @@ _BASE = 0x9E3779B97F4A7C15 | 5  # odd, and not 1 modulo 8
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
+def symbols() -> np.ndarray:
+    """The value of each byte in span hashes."""
+    return _SYMBOL
+
+
 class Chunk(NamedTuple):
     """Rows ``first`` to ``last`` (exclusive) of a batch, their bytes, and each row's first byte."""
 
