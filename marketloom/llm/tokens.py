@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 from collections.abc import Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from marketloom.llm import texts, words
 from marketloom.session import scratch_path
 
-_KEPT_SEGMENTS = 400_000  # distinct segments a task keeps the ids of
+_KEPT_SEGMENTS = 600_000  # distinct segments a Python worker keeps the ids of
 _NO_KEY = -(2**63)  # stands for a null key in the files
 
 # Bytes after a space that are surely no white space: visible ASCII, and leads of U+00C0-07FF and U+4000 up.
@@ -26,6 +27,12 @@ _SOLID = np.zeros(256, bool)
 _SOLID[0x21:0x7F] = True
 _SOLID[0xC3:0xE0] = True
 _SOLID[0xE4:0xF5] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+_MARK = np.zeros(256, bool)  # visible ASCII but letters and digits
+_MARK[0x21:0x7F] = True
+_MARK[0x30:0x3A] = False
+_MARK &= ~_LETTER
 
 
 def local_path(uri: str) -> str:
@@ -40,7 +47,10 @@ class Encoder:
     """Byte-level BPE over segments, each distinct segment encoded once.
 
     The pre-tokeniser always starts a new piece at a space before a solid
-    character, so texts may be cut there without a change of the ids.
+    character, at a mark or line break after an ASCII letter, and at a letter
+    after a lone line break, so texts may be cut there without a change of the
+    ids. Of the segments kept, those met in one chunk only go when there are
+    too many.
     """
 
     def __init__(self, path: str) -> None:
@@ -49,63 +59,93 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.clear()
-
-    def clear(self) -> None:
-        self.place: dict[tuple[int, int], int] = {}
-        self.ids = np.empty(0, np.uint32)
-        self.begin, self.size = np.empty(0, np.int64), np.empty(0, np.int64)
-
-    def _add(self, keys: list[tuple[int, int]], segments: list[str]) -> None:
-        made = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(segments, add_special_tokens=False)]
+        self._keep(np.empty(0, np.int64))
+
+    def _keep(self, which: np.ndarray) -> None:
+        if not len(which):
+            self.place: dict[int, int] = {}
+            self.ids = np.empty(0, np.uint32)
+            self.size, self.begin, self.name, self.check, self.met = (np.empty(0, t) for t in (np.int64, np.int64, np.uint64, np.uint64, np.int32))
+            return
+        size = self.size[which]
+        total = np.cumsum(size)
+        at = np.repeat(self.begin[which] - (total - size), size) + np.arange(total[-1])
+        self.ids, self.size, self.begin = self.ids[at], size, total - size
+        self.name, self.check, self.met = self.name[which], self.check[which], np.ones(len(which), np.int32)
+        self.place = dict(zip(self.name.tolist(), range(len(which))))
+
+    def _encoded(self, segments: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(segments, add_special_tokens=False)]
+
+    def _add(self, names: np.ndarray, checks: np.ndarray, segments: list[str]) -> None:
+        made = self._encoded(segments)
         size = np.array([len(x) for x in made], np.int64)
-        begin = len(self.ids) + np.cumsum(size) - size
-        for i, k in enumerate(keys, len(self.size)):
-            self.place[k] = i
+        self.place.update(zip(names.tolist(), range(len(self.size), len(self.size) + len(made))))
+        self.begin = np.concatenate([self.begin, len(self.ids) + np.cumsum(size) - size])
         self.ids = np.concatenate([self.ids, *made])
-        self.begin, self.size = np.concatenate([self.begin, begin]), np.concatenate([self.size, size])
+        self.size, self.name, self.check = np.concatenate([self.size, size]), np.concatenate([self.name, names]), np.concatenate([self.check, checks])
+        self.met = np.concatenate([self.met, np.zeros(len(made), np.int32)])
+
+    def _segments(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        cut = np.zeros(len(data), bool)
+        before, here = data[:-1], data[1:]
+        solid, line = _SOLID[here], before == 0x0A
+        cut[:-1] = (before == 0x20) & solid
+        letter = _LETTER[before]
+        cut[1:] |= letter & (_MARK[here] | (here == 0x0A))
+        cut[2:] |= line[1:] & solid[1:] & (_LETTER[data[:-2]] | _MARK[data[:-2]])
+        cut[offsets[:-1][offsets[:-1] < len(data)]] = True
+        return np.flatnonzero(cut)
 
     def encode(self, chunk: words.Chunk) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows of the chunk, and where each row's begin (one more at the end)."""
         data, offsets = chunk.data, chunk.offsets
-        if len(self.size) > _KEPT_SEGMENTS:
-            self.clear()
         if not len(data):
             return np.empty(0, np.uint32), np.zeros(len(offsets), np.int64)
-        cut = np.zeros(len(data), bool)
-        cut[:-1] = (data[:-1] == 0x20) & _SOLID[data[1:]]
-        cut[offsets[:-1][offsets[:-1] < len(data)]] = True
-        start = np.flatnonzero(cut)
+        if len(self.size) > _KEPT_SEGMENTS:
+            again = np.flatnonzero(self.met > 1)
+            self._keep(again if len(again) < _KEPT_SEGMENTS // 2 else np.empty(0, np.int64))
+        start = self._segments(data, offsets)
         end = np.append(start[1:], len(data))
         one, two = words.span_hashes(data, start, end), words.span_hashes(data, start, end, again=True)
-        code, _ = pd.factorize(one)
-        first = np.empty(code.max() + 1, np.int64)
+        code, name = pd.factorize(one)
+        first = np.empty(len(name), np.int64)
         first[code[::-1]] = np.arange(len(code))[::-1]
-        if not np.array_equal(two, two[first][code]):  # two segments of one hash
-            code, first = np.arange(len(start)), np.arange(len(start))
         raw = data.tobytes()
-        keys = list(zip(one[first].tolist(), two[first].tolist()))
-        new = [(k, i) for k, i in zip(keys, first.tolist()) if k not in self.place]
-        if new:
-            self._add([k for k, _ in new], [raw[start[i] : end[i]].decode() for _, i in new])
-        known = np.array([self.place[k] for k in keys])[code]
+        known = np.array([self.place.get(k, -1) for k in name.tolist()], np.int64)
+        new = np.flatnonzero(known < 0)
+        if len(new):
+            known[new] = np.arange(len(self.size), len(self.size) + len(new))
+            self._add(name[new], two[first[new]], [raw[a:b].decode() for a, b in zip(start[first[new]].tolist(), end[first[new]].tolist())])
+        self.met[known] += 1
+        known = known[code]
+        if not np.array_equal(self.check[known], two):  # two segments of one hash: no use of what is kept
+            made = self._encoded([raw[a:b].decode() for a, b in zip(start.tolist(), end.tolist())])
+            total = np.concatenate([[0], np.cumsum([len(x) for x in made])])
+            return np.concatenate(made), total[np.searchsorted(start, offsets)]
         size = self.size[known]
         total = np.concatenate([[0], np.cumsum(size)])
         at = np.repeat(self.begin[known] - total[:-1], size) + np.arange(total[-1])
         return self.ids[at], total[np.searchsorted(start, offsets)]
 
 
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> Encoder:
+    """One encoder for all tasks of a Python worker."""
+    return Encoder(path)
+
+
 class Part(NamedTuple):
     part: int
     rows: int
     tokens: int
 
 
-def write_token_files(df: DataFrame, tokenizer: str, end_id: int, folder: str, key: str = "doc_id", text: str = "text", width: int = 4) -> list[dict]:
+def write_token_files(df: DataFrame, tokenizer: str, end_id: int, folder: str, key: str = "doc_id", text: str = "text", width: int = 2) -> list[dict]:
     """Write the ids of every text in ascending key order; returns the manifest.
 
     Each part holds ``part-N.ids`` (unsigned little-endian integers of
-    ``width`` bytes), ``part-N.offsets`` (64-bit: where each document begins in
+    ``width`` bytes, 2 for up to 65,536 ids), ``part-N.offsets`` (64-bit: where each document begins in
     the part, and the end) and ``part-N.keys`` (64-bit keys; the smallest
     value stands for null, which comes first). Parts are ranges of keys in
     order; ``manifest.json`` has the ids and rows before each part, the prefix
@@ -127,7 +167,7 @@ def write_token_files(df: DataFrame, tokenizer: str, end_id: int, folder: str, k
         stem = os.path.join(target, f"part-{part:06d}")
         kinds = ("ids", "offsets", "keys")
         files = {k: open(f"{stem}.{k}.{attempt}", "wb") for k in kinds}
-        encoder, tokens, rows = Encoder(tokenizer), 0, 0
+        encoder, tokens, rows = _encoder(tokenizer), 0, 0
         loosen = zstandard.ZstdDecompressor()
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
