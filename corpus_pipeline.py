@@ -42,9 +42,7 @@ def no_benchmark_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def sampled_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a sampled segmentation, and whether it decodes to the text."""
-    model = tokenizer_file("piece_bpe_32k.model")
-    found = pieces.decode(pieces.encode(docs, model, seed=1), model)
-    return found.withColumn("lossless", F.col("decoded").eqNullSafe(F.col("text"))).drop("decoded")
+    return pieces.encode(docs, tokenizer_file("piece_bpe_32k.model"), seed=1, lossless="lossless")
 
 
 STAGES = [

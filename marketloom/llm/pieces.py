@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 
 from marketloom.llm import words
 
-_KEPT_SEGMENTS = 300_000  # distinct segments a task keeps the lattices of
+_KEPT_SEGMENTS = 50_000  # distinct segments a task keeps the lattices of
+_CHUNK_BYTES = 250_000
 _LONGEST = 1_024  # bytes of a segment without a cut; then it is cut between characters
 _BYTE_LOG_P = -20.0  # of each byte of a character without a piece
 _GOLDEN = 0x9E3779B97F4A7C15
@@ -49,6 +50,9 @@ class Pieces:
         self.log_p = np.full(n, -np.inf)
         self.log_p[usable] = log_p / temperature
         self.byte_log_p = _BYTE_LOG_P / temperature
+        self.surface_size = np.array([len(x) for x in self.surface], np.int64)
+        self.surface_first = np.cumsum(self.surface_size) - self.surface_size
+        self.surface_bytes = np.frombuffer(b"".join(self.surface), np.uint8)
         # Every prefix of a usable piece, by length: hash and piece (-1 for a mere prefix).
         prefixes: list[dict[bytes, int]] = []
         for i in usable:
@@ -68,6 +72,13 @@ class Pieces:
             self.tables.append((keys[order], np.fromiter(table.values(), np.int32, len(table))[order]))
 
 
+    def joined(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes of all pieces in a row, and where each piece's begin (one more at the end)."""
+        size = self.surface_size[ids]
+        total = np.concatenate([[0], np.cumsum(size)])
+        return self.surface_bytes[np.repeat(self.surface_first[ids] - total[:-1], size) + np.arange(total[-1])], total
+
+
 def _crosses(surface: bytes) -> bool:
     return b"\n" in surface or b" " in surface.lstrip(b" ") or surface[:2] == b"  " and surface.strip(b" ") != b""
 
@@ -87,12 +98,12 @@ class Sampler:
 
     def clear(self) -> None:
         self.place: dict[tuple[int, int], int] = {}
-        self.last = np.empty(0, np.int64)  # end node of each segment
-        self.node_arc = np.zeros(1, np.int64)  # first arc of each node, one more at the end
-        self.arc_from = np.empty(0, np.int64)  # -1: the start of a segment
+        self.last = np.empty(0, np.int32)  # end node of each segment
+        self.node_arc = np.zeros(1, np.int32)  # first arc of each node, one more at the end
+        self.arc_from = np.empty(0, np.int32)  # -1: the start of a segment
         self.arc_sum = np.empty(0, np.float64)  # cumulative probability within the node
         self.arc_id = np.empty(0, np.int32)  # -n for a character of n bytes
-        self.arc_byte = np.empty(0, np.int64)  # where those bytes are
+        self.arc_byte = np.empty(0, np.int32)  # where those bytes are
         self.bytes = np.empty(0, np.uint8)
 
     def _arcs(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -162,12 +173,12 @@ class Sampler:
         came = np.where(a == segment_start[b - 1], -1, a - 1 + nodes)
         for i, k in enumerate(keys, len(self.last)):
             self.place[k] = i
-        self.last = np.concatenate([self.last, end - 1 + nodes])
-        self.node_arc = np.concatenate([self.node_arc[:-1], first + len(self.arc_id), [len(self.arc_id) + len(a)]])
-        self.arc_from = np.concatenate([self.arc_from, came])
+        self.last = np.concatenate([self.last, (end - 1 + nodes).astype(np.int32)])
+        self.node_arc = np.concatenate([self.node_arc[:-1], first + len(self.arc_id), [len(self.arc_id) + len(a)]]).astype(np.int32)
+        self.arc_from = np.concatenate([self.arc_from, came.astype(np.int32)])
         self.arc_sum = np.concatenate([self.arc_sum, sums])
         self.arc_id = np.concatenate([self.arc_id, piece.astype(np.int32)])
-        self.arc_byte = np.concatenate([self.arc_byte, a + bytes_before])
+        self.arc_byte = np.concatenate([self.arc_byte, (a + bytes_before).astype(np.int32)])
         self.bytes = np.concatenate([self.bytes, data])
 
     def _draw(self, node: np.ndarray, seed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -259,51 +270,66 @@ def row_seeds(keys: pa.Array, seed: int) -> np.ndarray:
     return words.mix(out + np.uint64(seed))
 
 
-def encode(df: DataFrame, model: str, key: str = "doc_id", text: str = "text", seed: int = 0, temperature: float = 1.0) -> DataFrame:
+def encode(
+    df: DataFrame, model: str, key: str = "doc_id", text: str = "text", seed: int = 0, temperature: float = 1.0, lossless: str | None = None
+) -> DataFrame:
     """The rows of ``df``, with all columns, and ``pieces``, a sampled segmentation of the text.
 
     The draw depends on key, text, ``seed`` and ``temperature`` alone, so it
     is the same on every run and in any partitioning; rows of equal key and
     text get equal pieces. A low temperature tends to the likeliest
-    segmentation. A null text has null pieces. ``df`` must not have a column
-    ``pieces``. No shuffle.
+    segmentation. A null text has null pieces. ``lossless`` names a further
+    column that tells whether the pieces decode to the text (of a null text:
+    true). ``df`` must not have columns of these names. No shuffle.
     """
-    if "pieces" in df.columns:
-        raise ValueError("the input has a column pieces")
+    added = [T.StructField("pieces", T.ArrayType(T.IntegerType()))]
+    added += [T.StructField(lossless, T.BooleanType())] if lossless else []
+    if clash := {f.name for f in added} & set(df.columns):
+        raise ValueError(f"the input has columns {sorted(clash)}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sampler = Sampler(Pieces(model, temperature))
+        table = Pieces(model, temperature)
+        sampler = Sampler(table)
         for batch in batches:
-            column = batch.column(text)
             seeds = row_seeds(batch.column(key), seed)
-            for chunk in words.chunks(column, words.CHUNK_BYTES // 2):
+            for chunk in words.chunks(batch.column(text), _CHUNK_BYTES):
                 ids, begin = sampler.sample(chunk, seeds[chunk.first : chunk.last])
                 part = batch.slice(chunk.first, chunk.last - chunk.first)
                 lists = pa.ListArray.from_arrays(pa.array(begin.astype(np.int32)), pa.array(ids.astype(np.int32)), mask=part.column(text).is_null())
-                yield pa.RecordBatch.from_arrays([*part.columns, lists], [*part.schema.names, "pieces"])
+                columns = [*part.columns, lists]
+                if lossless:
+                    columns.append(pa.array(_decodes(table, ids, begin, chunk)))
+                yield pa.RecordBatch.from_arrays(columns, [*part.schema.names, *(f.name for f in added)])
+
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, *added]))
+
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField("pieces", T.ArrayType(T.IntegerType()))]))
+def _decodes(table: Pieces, ids: np.ndarray, begin: np.ndarray, chunk: words.Chunk) -> np.ndarray:
+    """Whether each row's pieces are its text with a space before it."""
+    raw, total = table.joined(ids)
+    at = total[begin]
+    good = np.diff(at) == np.diff(chunk.offsets) + 1
+    for i in np.flatnonzero(good).tolist():
+        a, o = at[i], chunk.offsets[i]
+        n = chunk.offsets[i + 1] - o
+        good[i] = raw[a] == 0x20 and np.array_equal(raw[a + 1 : a + 1 + n], chunk.data[o : o + n])
+    return good
 
 
 def decode(df: DataFrame, model: str, pieces: str = "pieces", to: str = "decoded") -> DataFrame:
     """The rows of ``df``, with all columns, and the text of their pieces; null pieces give null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        surface = Pieces(model, 1.0).surface
-        size = np.array([len(x) for x in surface], np.int64)
-        first = np.cumsum(size) - size
-        flat = np.frombuffer(b"".join(surface), np.uint8)
+        table = Pieces(model, 1.0)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
                 column = part.column(pieces)
-                ids = np.asarray(column.flatten())
+                raw, total = table.joined(np.asarray(column.flatten()))
                 per_row = np.asarray(column.value_lengths().fill_null(0)).astype(np.int64)
-                total = np.concatenate([[0], np.cumsum(size[ids])])
-                raw = flat[np.repeat(first[ids] - total[:-1], size[ids]) + np.arange(total[-1])].tobytes()
                 ends = total[np.concatenate([[0], np.cumsum(per_row)])].tolist()
                 null = column.is_null().to_pylist()
-                out = [None if x else raw[a + 1 : b].decode() for a, b, x in zip(ends, ends[1:], null)]  # without the space before
+                out = [None if x else raw[a + 1 : b].tobytes().decode() for a, b, x in zip(ends, ends[1:], null)]  # without the space before
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.string())], [*part.schema.names, to])
 
     return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(to, T.StringType())]))
