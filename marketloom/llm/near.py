@@ -18,29 +18,31 @@ from marketloom.session import materialise
 class Banding(NamedTuple):
     """``bands`` keys of ``rows`` values each, half of them minima and half maxima.
 
+    Needs ``bands * rows <= screened``.
     A permutation gives its minimum to a band of minima and its maximum to a
-    band of maxima, so ``bands * rows / 2`` hash evaluations a shingle do. A
+    band of maxima, so half as many hash evaluations as values do. A
     pair of similarity s is missed with probability (1 - s**rows)**bands: 8e-5
     at 0.75 and 3e-9 at 0.85 with the defaults.
     """
 
     bands: int = 48
     rows: int = 6
+    screened: int = 576  # values, of further permutations too, of which a sketch keeps two bits
 
     @property
     def sketch_longs(self) -> int:
-        return -(-self.bands * self.rows // 32)
+        return -(-self.screened // 32)
 
     def least_agreeing(self, percent: int, deviations: float = 4.5) -> int:
         """Agreeing two-bit values of a pair at the threshold, less so many standard deviations."""
-        n, p = self.bands * self.rows, 0.25 + 0.75 * percent / 100
+        n, p = self.screened, 0.25 + 0.75 * percent / 100
         return int(n * p - deviations * (n * p * (1 - p)) ** 0.5)
 
 
 _rng = np.random.Generator(np.random.PCG64(7))
 _FACTOR = (_rng.integers(0, 2**31, 4096, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
 _SHIFT = _rng.integers(0, 2**32, 4096, dtype=np.uint32)
-_COLUMNS = 4096  # shingles evaluated at a time
+_COLUMNS = 2048  # shingles evaluated at a time
 CLASS = "decimal(38,0)"
 _EVEN_BITS = 0x5555555555555555
 
@@ -59,9 +61,10 @@ def min_max(values: np.ndarray, permutations: int) -> tuple[np.ndarray, np.ndarr
 
 def band_keys(values: np.ndarray, banding: Banding) -> tuple[np.ndarray, np.ndarray]:
     """A 64-bit key for each band, different between bands, and two bits of every value."""
-    low, high = min_max(values, banding.bands * banding.rows // 2)
+    low, high = min_max(values, banding.screened // 2)
     both = np.concatenate([low, high])
-    parts = both.reshape(banding.bands, banding.rows).astype(np.uint64)
+    half = banding.bands * banding.rows // 2
+    parts = np.concatenate([low[:half], high[:half]]).reshape(banding.bands, banding.rows).astype(np.uint64)
     keys = np.arange(1, banding.bands + 1, dtype=np.uint64)
     for j in range(banding.rows):
         keys = words.mix(keys * np.uint64(0x9E3779B97F4A7C15) + parts[:, j])
@@ -194,7 +197,7 @@ def _agreeing(a: str, b: str, banding: Banding) -> Column:
         differ = F.col(f"{a}.sketch")[i].bitwiseXOR(F.col(f"{b}.sketch")[i])
         differ = differ.bitwiseOR(F.shiftright(differ, 1)).bitwiseAND(F.lit(_EVEN_BITS))
         total = total + F.bit_count(differ)
-    return F.lit(banding.bands * banding.rows) - total
+    return F.lit(banding.screened) - total
 
 
 def near_duplicates(
