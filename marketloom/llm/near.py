@@ -192,11 +192,12 @@ def _unshared(held: DataFrame, size: int) -> DataFrame:
 
 def _agreeing(a: str, b: str, banding: Banding) -> Column:
     """At how many of their values two sketches agree in the two bits kept."""
-    total = F.lit(0)
-    for i in range(banding.sketch_longs):
-        differ = F.col(f"{a}.sketch")[i].bitwiseXOR(F.col(f"{b}.sketch")[i])
-        differ = differ.bitwiseOR(F.shiftright(differ, 1)).bitwiseAND(F.lit(_EVEN_BITS))
-        total = total + F.bit_count(differ)
+    def differing(p: Column, q: Column) -> Column:
+        differ = p.bitwiseXOR(q)
+        return F.bit_count(differ.bitwiseOR(F.shiftright(differ, 1)).bitwiseAND(F.lit(_EVEN_BITS)))
+
+    # Written out for every long, the condition would be too long to be compiled.
+    total = F.aggregate(F.zip_with(f"{a}.sketch", f"{b}.sketch", differing), F.lit(0), lambda n, x: n + x)
     return F.lit(banding.screened) - total
 
 
