@@ -113,8 +113,8 @@ Z_TWO_SIDED_05 = 1.959964
 Z_ONE_SIDED_05 = 1.644854
 Z_POWER_80 = 0.841621
 # The same at four digits, used by the quick power formula.
-Z_QUICK = {"alpha": {0.05: 1.6449}, "power": {0.80: 0.8416}}
-Z_QUICK_OTHER = {"alpha": 1.96, "power": 1.2816}
+Z_QUICK_ALPHA_05 = 1.6449
+Z_QUICK_POWER_80 = 0.8416
 
 # Forecast.
 FORECAST_HORIZON = 6

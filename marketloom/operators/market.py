@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketloom.functions.columns import ratio
-from marketloom.session import fits_broadcast
 
 
 def period_totals(
@@ -26,17 +25,14 @@ def period_totals(
 ) -> DataFrame:
     """Sums of ``measures`` per ``keys``, some of which come from ``dimension``.
 
-    A dimension within Spark's broadcast limit joins where the fact is scanned,
-    and only the partial sums are shuffled. Beyond the limit the fact is summed
-    per (``on``, ``fact_cols``) before the join: however many rows one join key
+    The fact is summed per (``on``, ``fact_cols``) before the join, whose kind
+    is left to Spark: however many rows one join key
     holds, each task sends one row per key and period into the shuffle, and the
     join itself has no skew left.
     """
     sums = [F.sum(c).alias(n) for n, c in measures.items()]
     if dimension is None:
         return fact.groupBy(*keys).agg(*sums)
-    if fits_broadcast(dimension):
-        return fact.join(F.broadcast(dimension), on).groupBy(*keys).agg(*sums)
     partial = fact.groupBy(on, *fact_cols).agg(*sums)
     return partial.join(dimension, on).groupBy(*keys).agg(*[F.sum(n).alias(n) for n in measures])
 

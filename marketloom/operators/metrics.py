@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -12,9 +13,14 @@ from marketloom.functions import vocabulary as V
 from marketloom.functions.columns import flag, ratio
 
 
+# Ranges of scores that are ranked apart; a range holds distinct scores only.
+SCORE_RANGES = 200
+
+
 def _score_cuts(df: DataFrame, score: str, buckets: int) -> list[float]:
     probabilities = [i / buckets for i in range(1, buckets)]
-    return sorted(set(df.approxQuantile(score, probabilities, 0.25 / buckets))) if probabilities else []
+    found = df.approxQuantile(score, probabilities, 0.25 / buckets) if probabilities else []
+    return sorted({c for c in found if math.isfinite(c)})
 
 
 def auc(
@@ -22,11 +28,14 @@ def auc(
     score: str,
     label: str,
     group: Sequence[str] = (),
-    buckets: int | None = None,
+    buckets: int = SCORE_RANGES,
     cut: float | None = None,
 ) -> DataFrame:
     """Area under the ROC curve, ties counted half; NULL with one class only.
 
+    Rows without a score (NULL or NaN) take no part, here and in
+    ``accuracy_at``; infinite scores do.
+
     ``cut`` adds the accuracy of ``score >= cut`` from the same counts.
 
     Rows are counted per distinct score first. The scores are then cut into
@@ -38,8 +47,6 @@ def auc(
     scored = df.select(*keys, F.col(score).cast("double").alias("_score"), F.col(label).alias("_label")).filter(
         F.col("_score").isNotNull() & ~F.isnan("_score")
     )
-    if buckets is None:
-        buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cuts = _score_cuts(scored, "_score", buckets)
     counts = scored.groupBy(*keys, "_score").agg(
         F.count_if(F.col("_label") == 1).cast("double").alias("_pos"),
@@ -76,7 +83,8 @@ def auc(
 
 
 def accuracy_at(df: DataFrame, score: str, label: str, cut: float = 0.5, group: Sequence[str] = ()) -> DataFrame:
-    """Share of rows where ``score >= cut`` agrees with the label."""
+    """Share of the rows with a score where ``score >= cut`` agrees with the label."""
+    df = df.filter(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")))
     hit = (F.col(score) >= cut).cast("int") == F.col(label)
     totals = [F.count(F.lit(1)).alias("n"), F.avg(flag(hit).cast("double")).alias("accuracy")]
     return df.groupBy(*group).agg(*totals) if group else df.agg(*totals)

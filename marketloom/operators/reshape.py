@@ -13,14 +13,23 @@ def pivot_wide(
 ) -> DataFrame:
     """One row per ``x``, one column per series value; the last row by ``order`` wins.
 
-    The series values are given, so no job runs to find them and the width is
-    bounded. Without ``series`` the result has the one column ``y``. Missing
+    The series values are found by a job; Spark limits their number
+    (``spark.sql.pivotMaxValues``). If ``values`` are given they set the
+    columns, and a series that they leave out is an error. Without ``series`` the result has the one column ``y``. Missing
     cells are NULL. Numeric ``x`` sort before text, by value.
     """
     order = [order] if isinstance(order, str) else list(order)
     last = F.max_by(F.col(y), F.struct(*order) if len(order) > 1 else F.col(order[0])) if order else F.last(y)
     grouped = df.groupBy(x)
-    wide = grouped.agg(last.alias(y)) if series is None else grouped.pivot(series, list(values)).agg(last)
+    if series is None:
+        wide = grouped.agg(last.alias(y))
+    elif values:
+        others = df.filter(~F.col(series).isin(list(values))).select(series).distinct().take(5)
+        if others:
+            raise ValueError(f"series without a column: {[r[0] for r in others]}")
+        wide = grouped.pivot(series, list(values)).agg(last)
+    else:
+        wide = grouped.pivot(series).agg(last)
     return wide.orderBy(*axis_order(F.col(x)))
 
 

@@ -87,9 +87,10 @@ def _interval(means: DataFrame, arm: str, n_boot: int, level: float, arms: Seque
     """Order statistics of the mean difference b - a; at most ``n_boot`` values."""
     diffs = _side_by_side(means, arm, ("mean",), arms, ["rep"]).select((F.col("mean_b") - F.col("mean_a")).alias("diff"))
     tail = (1.0 - level) / 2.0
-    low, high = int(round(tail * n_boot, 9)), int(round((1.0 - tail) * n_boot, 9)) - 1
-    ordered = diffs.agg(F.sort_array(F.collect_list("diff")).alias("ordered"))
-    return ordered.select(F.get("ordered", F.lit(low)).alias("ci_low"), F.get("ordered", F.lit(high)).alias("ci_high"))
+    # A replicate that gives an arm no weight has no difference; ranks count the others.
+    ordered = diffs.filter("diff is not null").agg(F.sort_array(F.collect_list("diff")).alias("ordered"))
+    rank = lambda share: F.floor(F.round(F.size("ordered") * share, 9)).cast("int")
+    return ordered.select(F.get("ordered", rank(tail)).alias("ci_low"), F.get("ordered", rank(1.0 - tail) - 1).alias("ci_high"))
 
 
 def bootstrap_ci(
@@ -189,8 +190,9 @@ def bootstrap_ci_counts(
 
 
 def _quick_z(alpha: float, power: float) -> float:
-    table = V.Z_QUICK
-    return table["alpha"].get(alpha, V.Z_QUICK_OTHER["alpha"]) + table["power"].get(power, V.Z_QUICK_OTHER["power"])
+    """Sum of both quantiles; the usual 5 % and 80 % each at four digits."""
+    z_alpha = V.Z_QUICK_ALPHA_05 if alpha == 0.05 else normal_quantile(1.0 - alpha)
+    return z_alpha + (V.Z_QUICK_POWER_80 if power == 0.80 else normal_quantile(power))
 
 
 def needed_per_arm(base: Column, effect: Column, alpha: float = 0.05, power: float = 0.80) -> Column:

@@ -31,14 +31,14 @@ def region_dimension(spark: SparkSession, rows: Sequence[tuple[str, str, str]] =
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The first row of each key by ``order``.
+    """The first row of each key by ``order``; NULL order values come last.
 
     ``min_by`` keeps one candidate row per key and task, so a hot key costs no
     more than a cold one; ``order`` must be unique within a key for the result
     to be repeatable.
     """
     others = [c for c in df.columns if c not in keys]
-    rank = F.struct(*order) if len(order) > 1 else F.col(order[0])
+    rank = F.struct(*[part for i, c in enumerate(order) for part in (F.isnull(c).alias(f"_null{i}"), F.col(c).alias(f"_order{i}"))])
     first = df.groupBy(*keys).agg(F.min_by(F.struct(*others), rank).alias("_first"))
     return first.select(*[F.col(c) if c in keys else F.col(f"_first.{c}").alias(c) for c in df.columns])
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from marketloom.operators import stats as S
-from marketloom.session import spread
 
 from .base import QuerySet, table
 
@@ -79,7 +78,7 @@ def bootstrap_sql(value: str) -> str:
 
 @SET.add("bootstrap_ci", f"SELECT ROUND(ci_low, 6) AS ci_low, ROUND(ci_high, 6) AS ci_high FROM ({bootstrap_sql('value')})")
 def bootstrap_ci(spark, sf_dir):
-    interval = S.bootstrap_ci(spread(arms(spark, sf_dir)), "arm", "value", ["event_id"])
+    interval = S.bootstrap_ci(arms(spark, sf_dir), "arm", "value", ["event_id"])
     return interval.select(F.round("ci_low", 6).alias("ci_low"), F.round("ci_high", 6).alias("ci_high"))
 
 
@@ -105,7 +104,7 @@ BOUGHT = "CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END"
     """,
 )
 def ab_summary(spark, sf_dir):
-    return S.ab_summary(spread(arms(spark, sf_dir)), "arm", "bought", ["event_id"])
+    return S.ab_summary(arms(spark, sf_dir), "arm", "bought", ["event_id"])
 
 
 @SET.add(

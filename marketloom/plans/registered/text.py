@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from marketloom.functions.columns import classify
 from marketloom.operators import text as X
 
-from marketloom.session import spread
 
 from .base import QuerySet, table
 
@@ -15,7 +14,7 @@ SET = QuerySet()
 
 
 def documents(spark, sf_dir):
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    return table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
 
 
 PART_RULES = (("round", ("ring", "rod", "gear")), ("flat", ("plate", "gizmo")), ("cold", ("cold", "blue")))

@@ -65,22 +65,3 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Rebalance a scan that has fewer splits than the cluster has cores.
-
-    Meant for costly row-wise work (text) on a plain scan. A big input already
-    has more splits than cores and is left as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Spark's own size estimate of ``df`` is within its broadcast limit."""
-    limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    if limit.startswith("-"):
-        return False
-    allowed = df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit)
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= allowed

@@ -125,21 +125,17 @@ def rollup_event_pages(pages: DataFrame, serious_values: Sequence[str] | None =
 
 
 def read_with_fallback(
-    spark: SparkSession, primary: str, fallback: str, reader: Reader, fallback_reader: Reader | None = None,
-    verify: str = "all",
+    spark: SparkSession, primary: str, fallback: str, reader: Reader, fallback_reader: Reader | None = None
 ) -> DataFrame:
     """The primary source, or the whole fallback if the primary fails or is empty.
 
-    The two are never mixed; ``_source`` says which one was taken. With
-    ``verify="all"`` the primary is read once, in full, and written to the
-    shared folder before it is trusted, so a broken page found late still leads
-    to the fallback and nothing is parsed twice. ``verify="first"`` only looks
-    for a first row, for tables that are known to be sound. Runs a job.
+    The two are never mixed; ``_source`` says which one was taken. The primary
+    is read once, in full, and written to the shared folder before it is
+    trusted, so a broken page found late still leads to the fallback and
+    nothing is parsed twice. Runs a job.
     """
     try:
-        df = reader(spark, primary)
-        if verify == "all":
-            df = materialise(df, "landed")
+        df = materialise(reader(spark, primary), "landed")
         found = not df.isEmpty()
     except (PySparkException, Py4JJavaError):
         found = False
