@@ -272,8 +272,8 @@ def _placed(df: DataFrame, key: str, text: str, percent: int, size: int, banding
     alone = _unshared(held.join(rest.select("class").distinct(), "class", "left_semi"), size)
     common = F.col("n") - F.coalesce("alone", F.lit(0))
     rest = rest.join(alone, "class", "left").withColumn("common", common).filter(100 * common >= percent * F.col("n"))
-    rest = rest.join(classes.select("class", "sketch"), "class")
-    rest = materialise(rest.select("band", "class", "component", "n", "common", "sketch"), "near-rest")
+    rest = rest.join(classes.select("class", "sketch", "bands"), "class")
+    rest = materialise(rest.select("band", "class", "component", "n", "common", "sketch", "bands"), "near-rest")
     x, y = rest.alias("x"), rest.alias("y")
     most = F.least("x.common", "y.common")  # bounds what the two have in common
     crossing = (
@@ -283,10 +283,11 @@ def _placed(df: DataFrame, key: str, text: str, percent: int, size: int, banding
             & (F.col("x.class") < F.col("y.class"))
             & (F.col("x.component") != F.col("y.component"))
             & (100 * most >= percent * (F.col("x.n") + F.col("y.n") - most))
-            & (_agreeing("x", "y", banding) >= banding.least_agreeing(percent)),
+            & (_agreeing("x", "y", banding) >= banding.least_agreeing(percent))
+            # Of the keys that a pair shares, one gives it.
+            & (F.array_min(F.array_intersect("x.bands", "y.bands")) == F.col("x.band")),
         )
         .select(F.col("x.class").alias("a"), F.col("y.class").alias("b"))
-        .distinct()
         .join(tried, ["a", "b"], "left_anti")
     )
     more = materialise(confirm(crossing, held, percent, size), "near-links")
