@@ -154,25 +154,53 @@ def confirm(pairs: DataFrame, held: DataFrame, percent: int, size: int) -> DataF
     return both.mapInArrow(run, f"a {CLASS}, b {CLASS}")
 
 
-def components(links: DataFrame, low: str = "a", high: str = "b") -> DataFrame:
+def _renamed(edges: DataFrame, labels: DataFrame) -> DataFrame:
+    """Edges between what ``labels`` (node, component) call their ends."""
+    for end in ("low", "high"):
+        names = labels.select(F.col("node").alias(end), F.col("component").alias("name"))
+        edges = edges.join(names, end, "left").withColumn(end, F.coalesce("name", end)).drop("name")
+    return edges
+
+
+def _tops(edges: DataFrame) -> DataFrame:
+    """(node, component): where each node that has a smaller neighbour ends by going on to the smallest one."""
+    up = materialise(edges.groupBy(F.col("high").alias("node")).agg(F.min("low").alias("component")), "labels")
+    while True:
+        further = up.select(F.col("node").alias("component"), F.col("component").alias("further"))
+        jumped = up.join(further, "component", "left").select("node", F.coalesce("further", "component").alias("component"), "further")
+        jumped = materialise(jumped, "labels")
+        up = jumped.drop("further")
+        if jumped.filter("further is not null").isEmpty():
+            return up
+
+
+def components(links: DataFrame, low: str = "a", high: str = "b", labels: DataFrame | None = None) -> DataFrame:
     """(node, component) of an undirected graph; a component is named by its smallest node.
 
-    Each round gives every node the smallest label among its neighbours and
-    then the label of that label, so that chains shrink by halves. Rounds are
+    ``labels``: an earlier result of this function, to which ``links`` are
+    added. Each round moves every node to the end of its path of smallest
+    neighbours, in jumps of doubling length, and keeps only the distinct edges
+    between different ends, so that at most half of the nodes stay. Rounds are
     written to the shared folder.
     """
-    edges = links.select(F.col(low).alias("node"), F.col(high).alias("other"))
-    edges = materialise(edges.unionByName(edges.select(F.col("other").alias("node"), F.col("node").alias("other"))).distinct(), "links")
-    labels = edges.groupBy("node").agg(F.min("other").alias("m")).select("node", F.least("node", "m").alias("component"))
-    labels = materialise(labels, "labels")
+    edges = links.select(F.col(low).alias("low"), F.col(high).alias("high"))
+    if labels is not None:
+        labels = labels.filter("node <> component")
+        edges = _renamed(edges, labels)
     while True:
-        near = edges.join(labels.select(F.col("node").alias("other"), F.col("component").alias("c")), "other").groupBy("node").agg(F.min("c").alias("c"))
-        hop = labels.join(near, "node").select("node", "component", F.least("component", "c").alias("next"))
-        point = labels.select(F.col("node").alias("next"), F.col("component").alias("jump"))
-        moved = materialise(hop.join(point, "next").select("node", F.least("next", "jump").alias("component"), (F.least("next", "jump") < F.col("component")).alias("changed")), "labels")
-        labels = moved.drop("changed")
-        if moved.filter("changed").isEmpty():
-            return labels
+        edges = edges.filter("low <> high").select(F.least("low", "high").alias("low"), F.greatest("low", "high").alias("high"))
+        edges = materialise(edges.distinct(), "links")
+        if labels is not None and edges.isEmpty():
+            break
+        tops = _tops(edges)
+        if labels is None:
+            labels = tops
+        else:
+            onward = tops.select(F.col("node").alias("component"), F.col("component").alias("top"))
+            moved = labels.join(onward, "component", "left").select("node", F.coalesce("top", "component").alias("component"))
+            labels = materialise(moved.unionByName(tops), "labels")
+        edges = _renamed(edges, tops)
+    return labels.unionByName(labels.select(F.col("component").alias("node"), "component").distinct())
 
 
 def _unshared(held: DataFrame, size: int) -> DataFrame:
@@ -292,7 +320,7 @@ def _placed(df: DataFrame, key: str, text: str, percent: int, size: int, banding
     )
     more = materialise(confirm(crossing, held, percent, size), "near-links")
     if not more.isEmpty():
-        labels = components(links.unionByName(more))
+        labels = components(more, labels=labels)
 
     named = sketches.join(labels.select(F.col("node").alias("class"), "component"), "class", "left").select(
         "key", "print", "n", F.coalesce("component", "class").alias("component")

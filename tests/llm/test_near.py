@@ -81,3 +81,20 @@ def test_components_of_a_long_chain(spark):
     n = 300
     links = spark.range(n - 1).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     assert {tuple(r) for r in components(links).collect()} == {(i, 0) for i in range(n)}
+
+
+def test_components_of_links_added_later(spark):
+    r = random.Random(1)
+    links = [(a, b) for a, b in ((r.randrange(80), r.randrange(80)) for _ in range(75)) if a != b]
+    parent = {x: x for link in links for x in link}
+
+    def root(x):
+        return x if parent[x] == x else root(parent[x])
+
+    for a, b in links:
+        a, b = root(a), root(b)
+        parent[max(a, b)] = min(a, b)
+    frame = lambda x: spark.createDataFrame(x, "a int, b int")
+    found = [tuple(x) for x in components(frame(links[50:]), labels=components(frame(links[:50]))).collect()]
+    assert sorted(found) == sorted((x, root(x)) for x in parent)
+    assert components(frame([])).isEmpty()
