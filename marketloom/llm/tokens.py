@@ -11,7 +11,6 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -154,12 +153,13 @@ def write_token_files(df: DataFrame, tokenizer: str, end_id: int, folder: str, k
     written under another name and renamed, so a task that runs again leaves
     the same files.
     """
-    source, kind = texts.keyed(df, key, text)
+    source, _ = texts.keyed(df, key, text)
     source = source.select(F.col("key").cast("long").alias("key"), "text")
     target = local_path(folder)
     os.makedirs(target, exist_ok=True)
-    packed = texts.packed(source, "long").withColumn("spread", F.monotonically_increasing_id())
-    ranged = packed.repartitionByRange("key", "spread").sortWithinPartitions("key", "spread").select("key", "packed")
+    # Texts travel as they are: the sampling of key ranges reads them too, and would pack them once more.
+    spread = source.withColumn("spread", F.monotonically_increasing_id())
+    ranged = spread.repartitionByRange("key", "spread").sortWithinPartitions("key", "spread").select("key", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
@@ -168,12 +168,10 @@ def write_token_files(df: DataFrame, tokenizer: str, end_id: int, folder: str, k
         kinds = ("ids", "offsets", "keys")
         files = {k: open(f"{stem}.{k}.{attempt}", "wb") for k in kinds}
         encoder, tokens, rows = _encoder(tokenizer), 0, 0
-        loosen = zstandard.ZstdDecompressor()
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 piece = batch.slice(at, 1024)
-                column = pa.array([loosen.decompress(x.as_py()) for x in piece.column("packed")], pa.large_binary())
-                for chunk in words.chunks(column.view(pa.large_string())):
+                for chunk in words.chunks(piece.column("text")):
                     ids, begin = encoder.encode(chunk)
                     count = len(begin) - 1
                     out = np.full(len(ids) + count, end_id, f"<u{width}")
