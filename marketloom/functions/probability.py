@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from statistics import NormalDist
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,72 +37,58 @@ def normal_quantile(p: float) -> float:
     return NormalDist().inv_cdf(p)
 
 
-def _log_gamma(x: Column) -> Column:
-    """Logarithm of the gamma function by Stirling's series at ``x + 8``."""
+def _log_gamma_half_step(x: Column) -> Column:
+    """``log(gamma(x + 1/2) / gamma(x))`` for positive ``x``, by its series at ``x + 8``.
+
+    The ratio is taken as one series, since a difference of two large
+    logarithms would lose its digits for large ``x``.
+    """
     s = x + F.lit(8.0)
-    product = x
-    for k in range(1, 8):
-        product = product * (x + F.lit(float(k)))
+    back = F.lit(0.0)
+    for k in range(8):
+        back = back + F.log1p(F.lit(0.5) / (x + F.lit(float(k))))
     r = F.lit(1.0) / s
-    series = r / 12.0 - r * r * r / 360.0 + F.pow(r, F.lit(5.0)) / 1260.0 - F.pow(r, F.lit(7.0)) / 1680.0
-    return (s - 0.5) * F.log(s) - s + F.lit(0.5 * math.log(2.0 * math.pi)) + series - F.log(product)
-
-
-def _beta_fraction(a: Column, b: Column, x: Column) -> Column:
-    """Continued fraction of the incomplete beta function, modified Lentz method."""
-    tiny = F.lit(1e-300)
-
-    def away_from_zero(c: Column) -> Column:
-        return F.when(F.abs(c) < tiny, tiny).otherwise(c)
-
-    def state(c: Column, d: Column, h: Column) -> Column:
-        return F.struct(c.alias("c"), d.alias("d"), h.alias("h"))
-
-    def extend(coefficient, acc: Column, m: Column) -> Column:
-        k = coefficient(m.cast("double"))
-        d = F.lit(1.0) / away_from_zero(F.lit(1.0) + k * acc["d"])
-        c = away_from_zero(F.lit(1.0) + k / acc["c"])
-        return state(c, d, acc["h"] * d * c)
+    cube = r * r * r
+    series = r / 8.0 - cube / 192.0 + cube * r * r / 640.0 - cube * cube * r * (17.0 / 14336.0)
+    return F.log(s) / 2.0 - series - back
 
-    def even(m: Column) -> Column:
-        return m * (b - m) * x / ((a + m * 2 - 1) * (a + m * 2))
 
-    def odd(m: Column) -> Column:
-        return -(a + m) * (a + b + m) * x / ((a + m * 2) * (a + m * 2 + 1))
-
-    first = F.lit(1.0) / away_from_zero(F.lit(1.0) - (a + b) * x / (a + 1))
-    # Terms 1..2n of the fraction: even ones first within each pair.
-    terms = F.sequence(F.lit(2), F.lit(2 * FRACTION_PAIRS + 1))
-    half = lambda m: (m - m % 2) / 2
-    step = lambda acc, m: extend(lambda _: F.when(m % 2 == 0, even(half(m))).otherwise(odd(half(m))), acc, m)
-    return F.aggregate(terms, state(F.lit(1.0), first, first), step, lambda acc: acc["h"])
-
-
-FRACTION_PAIRS = 300
-# Beyond this many degrees of freedom the corrected normal tail is as exact.
-NORMAL_ABOVE = 1e6
+# Points of the quadrature, and the exponent at which the tail is cut off.
+TAIL_POINTS = 64
+TAIL_EXPONENT = 40.0
 
 
 def student_t_two_sided(t: Column, df: Column) -> Column:
     """P(|T| >= |t|) with ``df`` degrees of freedom; NULL unless ``df > 0``.
 
-    The fraction takes some hundred steps per row, so this is meant for rows
-    that are already aggregated, one per comparison.
+    With ``w = sqrt(df log(1 + u^2 / df))`` for ``u`` the density becomes a normal one
+    times ``sqrt(y / (1 - exp(-y)))``, ``y = w^2 / df``, which is smooth for any
+    number of degrees of freedom. The tail is integrated over ``w`` by
+    Gauss-Legendre quadrature: one method for samples of all sizes.
+
+    It takes some hundred steps per row, so this is meant for rows that are
+    already aggregated, one per comparison.
     """
     t, df = F.abs(t), df.cast("double")
-    a, b = df / 2.0, F.lit(0.5)
-    x = df / (df + t * t)
-    log_beta = _log_gamma(a) + F.lit(math.lgamma(0.5)) - _log_gamma(a + 0.5)
-    # log1p(-x) loses its digits for small t; 1 - x is known exactly instead.
-    rest = t * t / (df + t * t)
-    front = F.exp(a * F.log(x) + b * F.log(rest) - log_beta)
-    direct = front * _beta_fraction(a, b, x) / a
-    mirrored = F.lit(1.0) - front * _beta_fraction(b, a, rest) / b
-    exact = F.when(x < (a + 1) / (a + b + 2), direct).otherwise(mirrored)
-    z = t * (F.lit(1.0) - F.lit(1.0) / (df * 4)) / F.sqrt(F.lit(1.0) + t * t / (df * 2))
+    start = F.sqrt(df * F.log1p(t * t / df))
+    # The density at the end of this stretch is exp(-TAIL_EXPONENT) of that at its start.
+    length = F.lit(2.0 * TAIL_EXPONENT) / (start + F.sqrt(start * start + F.lit(2.0 * TAIL_EXPONENT)))
+    nodes, weights = np.polynomial.legendre.leggauss(TAIL_POINTS)
+    points = F.array(
+        *[F.struct(F.lit((1.0 + float(x)) / 2.0).alias("x"), F.lit(float(w) / 2.0).alias("w")) for x, w in zip(nodes, weights)]
+    )
+
+    def height(step: Column) -> Column:
+        w = start + step
+        y = w * w / df
+        bend = F.when(y == 0, F.lit(1.0)).otherwise(F.sqrt(y / -F.expm1(-y)))
+        return F.exp(-step * (start + step / 2.0)) * bend
+
+    area = F.aggregate(points, F.lit(0.0), lambda acc, p: acc + p["w"] * height(length * p["x"]))
+    scale = F.exp(_log_gamma_half_step(df / 2.0) - start * start / 2.0) / F.sqrt(df * F.lit(math.pi))
     return (
         F.when(~(df > 0) | t.isNull(), F.lit(None))
         .when(t == 0, F.lit(1.0))
-        .when(df > NORMAL_ABOVE, normal_two_sided(z))
-        .otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), exact)))
+        .when(start == F.lit(math.inf), F.lit(0.0))
+        .otherwise(F.least(F.lit(1.0), F.lit(2.0) * scale * length * area))
     )

@@ -113,14 +113,22 @@ def leakage_scan(
     return scan.select("feature", "auc", separation.alias("separation"), F.coalesce(suspect, F.lit(False)).alias("leaks"))
 
 
-def model_table(predictions: DataFrame, score: str = "score", label: str = "label", cut: float = 0.5) -> DataFrame:
+def model_table(
+    predictions: DataFrame, score: str = "score", label: str = "label", cut: float = 0.5, digits: int | None = 4
+) -> DataFrame:
     """(model, fold, auc, accuracy) out of predictions keyed by model and fold.
 
-    ``fold`` is text: the number of a fold or ``holdout``.
+    ``fold`` is text: the number of a fold or ``holdout``. ``digits=None`` leaves
+    the figures as they are, for choosing between models.
     """
     keys = ["model", "fold"]
-    measured = auc(predictions, score, label, keys, cut=cut)
-    return measured.select(*keys, F.round("auc", 4).alias("auc"), F.round("accuracy", 4).alias("accuracy"))
+    measured = auc(predictions, score, label, keys, cut=cut).select(*keys, "auc", "accuracy")
+    return measured if digits is None else rounded(measured, digits)
+
+
+def rounded(table: DataFrame, digits: int = 4) -> DataFrame:
+    """A model table with figures for reports."""
+    return table.withColumns({c: F.round(c, digits) for c in ("auc", "accuracy")})
 
 
 def model_summary(results: DataFrame, by: str = "holdout") -> DataFrame:

@@ -100,7 +100,8 @@ def grid_search(
 
     ``df`` has ``features``, ``label`` and a fold column, and should be cached.
     The fits run ``parallelism`` at a time; all predictions are then ranked
-    together, grouped by setting and fold. A fold with one class has a NULL auc.
+    together, grouped by setting and fold, and not rounded, so that close settings
+    do not tie. A fold with one class has a NULL auc.
     Runs jobs; what comes back to the driver is one row per setting and fold.
     """
     sizes = dict(df.groupBy(fold_col).count().collect())
@@ -122,7 +123,7 @@ def grid_search(
     # The metrics pass over the predictions several times; the models run once.
     predictions = named.select("model", "fold", "score", "label").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        measured = metrics.model_table(predictions).collect()
+        measured = metrics.model_table(predictions, digits=None).collect()
     finally:
         predictions.unpersist()
     params = [json.dumps(p) for p in settings(grid)]
@@ -209,8 +210,12 @@ def run_models(
                 inputs = folds.select("label", "fold", F.col(vector).alias("features"))
                 searched = grid_search(inputs, kind, grid, len(features), seed=seed, parallelism=parallelism)
                 params, _ = best_setting(searched)
+                if not params:
+                    # No fold has an AUC: report the folds at the defaults.
+                    searched = grid_search(inputs, kind, {}, len(features), seed=seed, parallelism=parallelism)
                 wanted = F.lit(json.dumps(params))
-                cv = searched.filter(F.col("params") == wanted).select("model", "fold", "auc", "accuracy")
+                chosen = searched.filter(F.col("params") == wanted).select("model", "fold", "auc", "accuracy")
+                cv = metrics.rounded(chosen)
                 outside = held.select("label", F.col(vector).alias("features"))
                 predicted = fit_predict(kind, inputs, outside, params, len(features), rows, seed)
                 named = predicted.select(F.lit(kind).alias("model"), F.lit("holdout").alias("fold"), "score", "label")

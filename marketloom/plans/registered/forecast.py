@@ -1,4 +1,4 @@
-"""Forecast queries; the last, incomplete year of the sales is left out."""
+"""Forecast queries over all years of the sales."""
 
 from __future__ import annotations
 
@@ -13,10 +13,6 @@ SET = QuerySet()
 ARGS = (["brand_id"], "year", "revenue")
 
 
-def yearly(spark, sf_dir):
-    return brand_sales(spark, sf_dir).filter("year < 2001")
-
-
 def per_customer(spark, sf_dir):
     """Ragged series: many customers have orders in a few years only."""
     orders = table(spark, sf_dir, "orders").select(
@@ -27,7 +23,7 @@ def per_customer(spark, sf_dir):
 
 SERIES_SQL = f"""
 SELECT brand_id, year, CAST(revenue AS DOUBLE) AS v, row_number() OVER (PARTITION BY brand_id ORDER BY year) - 1 AS i,
-       COUNT(*) OVER (PARTITION BY brand_id) AS n FROM ({BRAND_SALES_SQL}) WHERE year < 2001
+       COUNT(*) OVER (PARTITION BY brand_id) AS n FROM ({BRAND_SALES_SQL})
 """
 CUSTOMER_SERIES_SQL = """
 SELECT custkey, year, v, row_number() OVER (PARTITION BY custkey ORDER BY year) - 1 AS i,
@@ -112,7 +108,7 @@ FROM (SELECT brand_id, any_value(n) AS n, regr_slope(v, i) AS slope, regr_interc
 
 @SET.add("forecast", f"SELECT brand_id, year, ROUND(revenue, 2) AS revenue FROM ({FORECAST_SQL})")
 def forecast(spark, sf_dir):
-    return FC.forecast(yearly(spark, sf_dir), *ARGS).withColumn("revenue", F.round("revenue", 2))
+    return FC.forecast(brand_sales(spark, sf_dir), *ARGS).withColumn("revenue", F.round("revenue", 2))
 
 
 @SET.add(
@@ -125,4 +121,4 @@ def forecast(spark, sf_dir):
     """,
 )
 def forecast_table(spark, sf_dir):
-    return FC.forecast_table(yearly(spark, sf_dir), *ARGS)
+    return FC.forecast_table(brand_sales(spark, sf_dir), *ARGS)

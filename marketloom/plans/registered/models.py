@@ -299,6 +299,8 @@ def kmeans_segments(spark, sf_dir):
 
 
 MODEL_FEATURES = ["log_total", "urgent", "year", "balance", "nation"]
+
+
 SMALL_GRIDS = {
     ML.LR: {"C": [0.1, 1.0], "elastic": [0.0]},
     ML.RF: {"trees": [20], "depth": [4, 8], "min_leaf": [1]},

@@ -250,9 +250,9 @@ def event_pages(spark, sf_dir):
 @SET.add(
     "source_fallback",
     """
-    SELECT 'missing' AS wanted, 'fallback' AS _source, CAST(COUNT(*) AS BIGINT) AS n FROM orders
-    UNION ALL SELECT 'empty', 'fallback', CAST(COUNT(*) AS BIGINT) FROM orders
-    UNION ALL SELECT 'sound', 'primary', CAST(COUNT(*) AS BIGINT) FROM customer
+    SELECT 'missing' AS wanted, 'fallback' AS _source, 'PATH_NOT_FOUND' AS _reason, CAST(COUNT(*) AS BIGINT) AS n FROM orders
+    UNION ALL SELECT 'empty', 'fallback', 'EMPTY', CAST(COUNT(*) AS BIGINT) FROM orders
+    UNION ALL SELECT 'sound', 'primary', NULL, CAST(COUNT(*) AS BIGINT) FROM customer
     """,
 )
 def source_fallback(spark, sf_dir):
@@ -270,7 +270,8 @@ def source_fallback(spark, sf_dir):
         "sound": landed.read_with_fallback(spark, customers, orders, parquet),
     }
     counts = [
-        df.groupBy(F.lit(wanted).alias("wanted"), "_source").agg(F.count(F.lit(1)).alias("n")) for wanted, df in taken.items()
+        df.groupBy(F.lit(wanted).alias("wanted"), "_source", "_reason").agg(F.count(F.lit(1)).alias("n"))
+        for wanted, df in taken.items()
     ]
     return counts[0].union(counts[1]).union(counts[2])
 

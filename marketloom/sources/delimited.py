@@ -33,16 +33,24 @@ def read_csv(
 ) -> tuple[DataFrame, DataFrame]:
     """``(good, quarantined)`` rows of a CSV file or folder.
 
-    A row with too many or too few fields, or with a value that does not fit
+    With a header, columns are taken by name: their order is free, others may
+    lie between them, and a missing one raises ``ValueError``. All files of a
+    folder must have the same header, else the scan fails. A row with too many or too few fields, or with a value that does not fit
     its type, goes to the second table as text with its file; nothing is
     dropped. The fields are read as text and cast here: Spark's own parser only
     notices a bad value in columns the query reads, so the split would depend
     on what is selected later.
     """
     names = schema.fieldNames()
-    as_text = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
-    options = dict(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, columnPruning=False, encoding="UTF-8", escape='"')
-    lines = spark.read.schema(as_text).options(header=header, **options).csv(path)
+    layout = dict(header=header, encoding="UTF-8", escape='"')
+    # Reads the first line only; a source without any line has no columns and no rows.
+    present = (spark.read.options(**layout).csv(path).columns if header else []) or names
+    missing = [n for n in names if n not in present]
+    if missing:
+        raise ValueError(f"columns missing in {path}: {', '.join(missing)}")
+    as_text = T.StructType([T.StructField(n, T.StringType()) for n in [*present, CORRUPT]])
+    options = dict(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, columnPruning=False, enforceSchema=not header)
+    lines = spark.read.schema(as_text).options(**layout, **options).csv(path)
     typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields}
     # Spark refuses a CSV scan that needs the corrupt column alone, so this
     # always-false term keeps one data column in the scan.
@@ -51,7 +59,7 @@ def read_csv(
         if not isinstance(f.dataType, T.StringType):
             bad = bad | (F.col(f.name).isNotNull() & typed[f.name].isNull())
     good = lines.filter(~bad).select(*[typed[n].alias(n) for n in names])
-    raw = F.coalesce(F.col(CORRUPT), F.to_csv(F.struct(*names)))
+    raw = F.coalesce(F.col(CORRUPT), F.to_csv(F.struct(*present)))
     return good, lines.filter(bad).select(raw.alias("raw_line"), F.col("_metadata.file_path").alias("file"))
 
 

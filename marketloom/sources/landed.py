@@ -124,24 +124,39 @@ def rollup_event_pages(pages: DataFrame, serious_values: Sequence[str] | None =
     return rolled.withColumn("is_simulated", F.lit(0))
 
 
+# Error conditions that say the data is absent or broken, not that the cluster failed.
+DATA_FAULTS = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "MALFORMED_RECORD_IN_PARSING", "MALFORMED_CSV_RECORD")
+
+
+def data_fault(error: Exception) -> str | None:
+    """The condition of ``DATA_FAULTS`` that an error or one of its causes has."""
+    text = str(error)  # of a failed job: with the causes
+    return next((c for c in DATA_FAULTS if f"[{c}" in text), None)
+
+
 def read_with_fallback(
     spark: SparkSession, primary: str, fallback: str, reader: Reader, fallback_reader: Reader | None = None
 ) -> DataFrame:
-    """The primary source, or the whole fallback if the primary fails or is empty.
+    """The primary source, or the whole fallback if the primary is missing, empty or malformed.
 
-    The two are never mixed; ``_source`` says which one was taken. The primary
-    is read once, in full, and written to the shared folder before it is
-    trusted, so a broken page found late still leads to the fallback and
+    The two are never mixed; ``_source`` says which one was taken and
+    ``_reason`` why it was the fallback (the error condition, or ``EMPTY``).
+    Any other error, such as a full disk or a lost cluster, is raised. The
+    primary is read once, in full, and written to the shared folder before it
+    is trusted, so a broken page found late still leads to the fallback and
     nothing is parsed twice. Runs a job.
     """
     try:
         df = materialise(reader(spark, primary), "landed")
-        found = not df.isEmpty()
-    except (PySparkException, Py4JJavaError):
-        found = False
-    if found:
-        return df.withColumn("_source", F.lit("primary"))
-    return (fallback_reader or reader)(spark, fallback).withColumn("_source", F.lit("fallback"))
+        reason = "EMPTY" if df.isEmpty() else None
+    except (PySparkException, Py4JJavaError) as error:
+        reason = data_fault(error)
+        if reason is None:
+            raise
+    if reason is None:
+        return df.withColumns({"_source": F.lit("primary"), "_reason": F.lit(None).cast("string")})
+    taken = (fallback_reader or reader)(spark, fallback)
+    return taken.withColumns({"_source": F.lit("fallback"), "_reason": F.lit(reason)})
 
 
 def ingest_trials(spark: SparkSession, landed: str, sample_csv: str) -> DataFrame:

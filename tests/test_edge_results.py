@@ -1,8 +1,11 @@
 """Results at the edges: missing order values, infinite scores, small samples, other test levels."""
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
+from marketloom.functions.probability import student_t_two_sided
 from marketloom.operators import metrics, reshape, stats, warehouse
 
 
@@ -39,3 +42,22 @@ def test_pivot_finds_its_series(spark):
     assert reshape.pivot_wide(df, "x", "s", "y").columns == ["x", "a", "b"]
     with pytest.raises(ValueError, match="b"):
         reshape.pivot_wide(df, "x", "s", "y", ["a"])
+
+
+def test_t_tail_is_one_method_for_all_sizes(spark):
+    rows = [(1.0, 1.0), (2.0, 2.0), (8.0, 1e13), (5.5, 2e6), (0.0, 3.0), (float("inf"), 4.0), (1e200, 1.0)]
+    df = spark.createDataFrame(rows, "t double, df double")
+    p = [r[0] for r in df.select(student_t_two_sided(F.col("t"), F.col("df"))).collect()]
+    normal = math.erfc(5.5 / math.sqrt(2))
+    second_order = normal * (1 + (5.5**4 + 5.5**2) / (4 * 2e6))
+    want = [0.5, 1 - 2 / math.sqrt(6), math.erfc(8 / math.sqrt(2)), second_order, 1.0, 0.0, 0.0]
+    assert p == pytest.approx(want, rel=1e-5)
+    assert p[:3] == pytest.approx(want[:3], rel=1e-9)
+
+
+def test_close_settings_are_not_rounded_into_a_tie(spark):
+    df = spark.range(40001).select(
+        F.lit("m").alias("model"), F.lit("1").alias("fold"), F.col("id").cast("double").alias("score"), (F.col("id") == 20001).cast("int").alias("label")
+    )
+    assert metrics.model_table(df).first().auc == 0.5
+    assert metrics.model_table(df, digits=None).first().auc == pytest.approx(20001 / 40000)

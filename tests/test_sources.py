@@ -125,6 +125,28 @@ def test_fallback_is_all_or_nothing(spark, tmp_path, page, source):
     assert df.count() == (10 if source == "fallback" else 2)
 
 
+def test_fallback_says_why_and_other_errors_are_raised(spark, tmp_path):
+    sample = write(tmp_path / "t.csv", X.trials_csv())
+    missing = landed.ingest_trials(spark, str(tmp_path / "none"), sample)
+    assert {r[0] for r in missing.select("_reason").collect()} == {"PATH_NOT_FOUND"}
+
+    def broken(session, path):
+        return session.range(3).select(F.raise_error(F.lit("disk full")).cast("long").alias("id"))
+
+    with pytest.raises(Exception, match="disk full"):
+        landed.read_with_fallback(spark, "x", "y", broken, lambda s, p: s.range(1))
+
+
+def test_columns_are_read_by_name(spark, tmp_path):
+    schema = T.StructType([T.StructField("year", T.IntegerType()), T.StructField("brand", T.StringType())])
+    path = write(tmp_path / "a.csv", "brand,note,year\nx,n,2020\ny,n,20z0\n")
+    good, bad = delimited.read_csv(spark, path, schema)
+    assert [tuple(r) for r in good.collect()] == [(2020, "x")]
+    assert [r.raw_line for r in bad.collect()] == ["y,n,20z0"]
+    with pytest.raises(ValueError, match="year"):
+        delimited.read_csv(spark, write(tmp_path / "b.csv", "brand\nx\n"), schema)
+
+
 def test_shared_folder_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     df = materialise(spark.range(5), "t")
