@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -9,13 +10,17 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.llm import words
+from marketloom.session import materialise, scratch_path
 
 ORDER = 4
-MAX_GRAMS = 1_000_000  # grams of the highest order that all models hold together, the most frequent
+PART_GRAMS = 1 << 17  # grams of a file of the stored model, more if there would be over 2**_MOST_BITS files
+_MOST_BITS = 10
+_BLOCK = 250_000  # letters whose probabilities are looked up together
 CALIBRATION_ROWS = 4_000  # labelled rows that set the rejection
 UNKNOWN = "und"
 _SPACE = 32
@@ -135,6 +140,54 @@ class Table(NamedTuple):
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         return at, self.keys[at] == keys
 
+    def look(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The values of each hash, and whether it is there."""
+        at, hit = self.find(keys)
+        return self.values[at] if len(self.keys) else np.zeros((len(keys), self.values.shape[1])), hit
+
+
+@lru_cache(maxsize=4 << _MOST_BITS)
+def _mapped(path: str, kind: str, width: int) -> np.ndarray:
+    found = np.asarray(np.memmap(path, kind, "r"))
+    return found.reshape(-1, width) if width else found
+
+
+class Parts(NamedTuple):
+    """A table like ``Table`` in memory-mapped files; the first ``bits`` bits of a hash tell its file."""
+
+    stem: str
+    field: str
+    bits: int
+    width: int
+    sizes: tuple[int, ...]
+
+    def path(self, part: int, field: str) -> str:
+        return f"{self.stem}-{part:04d}.{field}"
+
+    def keys(self, part: int) -> np.ndarray:
+        return _mapped(self.path(part, "keys"), "<u8", 0)
+
+    def look(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The values of each hash (zeros if it is not there), and whether it is there."""
+        out, hit = np.zeros((len(keys), self.width)), np.zeros(len(keys), bool)
+        order = np.argsort(keys)
+        keys = keys[order]
+        bounds = np.searchsorted(_part_of(keys, self.bits), np.arange(len(self.sizes) + 1))
+        for part in np.flatnonzero(np.diff(bounds)).tolist():
+            if not self.sizes[part]:
+                continue
+            own, mine, place = self.keys(part), keys[bounds[part] : bounds[part + 1]], order[bounds[part] : bounds[part + 1]]
+            at = np.minimum(np.searchsorted(own, mine), len(own) - 1)
+            good = own[at] == mine
+            place = place[good]
+            out[place] = _mapped(self.path(part, self.field), "<f8", self.width)[at[good]]
+            hit[place] = True
+        return out, hit
+
+
+def _part_of(keys: np.ndarray, bits: int) -> np.ndarray:
+    return (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
+
 
 class Model:
     """Kneser-Ney models of all languages over one alphabet.
@@ -145,6 +198,8 @@ class Model:
     distribution. ``grams[k]`` holds log probabilities of order k + 1,
     interpolated in full, of every gram seen in any language; ``weights[k]``
     the log weight that a context of k letters leaves to the lower order.
+    The constructor takes counts in memory; ``stored_model`` makes the same
+    from counts of any size.
     """
 
     def __init__(self, langs: list[str], codes: list[np.ndarray], counts: list[np.ndarray]) -> None:
@@ -188,20 +243,27 @@ class Model:
             self.grams.append(Table(keys, np.log(p)))
             self.weights.append(Table(contexts, np.log(weight)))
 
+    @classmethod
+    def stored(cls, langs: list[str], floor: float, first: np.ndarray, grams: Parts, weights: Parts) -> Model:
+        """A model in files; ``first`` has the log weights of the empty context. One table holds the grams of all orders."""
+        model = cls([], [], [])
+        model.langs, model.floor = langs, floor
+        model.grams = [grams] * ORDER
+        model.weights = [Table(np.zeros(1, np.uint64), first[None]), *[weights] * (ORDER - 1)]
+        return model
+
     def log_p(self, code: np.ndarray) -> np.ndarray:
         """Natural log probability of the last letter of each row of codes, per language."""
         order = code.shape[1]
-        table = self.grams[order - 1]
-        at, hit = table.find(gram_keys(code, order))
-        out = table.values[at] if len(table.keys) else np.zeros((len(code), len(self.langs)))
+        out, hit = self.grams[order - 1].look(gram_keys(code, order))
         miss = np.flatnonzero(~hit)
         if len(miss):
             rest = code[miss]
             if order == 1:
                 out[miss] = self.weights[0].values[0] + self.floor
             else:
-                spot, known = self.weights[order - 1].find(gram_keys(rest[:, :-1], order - 1))
-                out[miss] = np.where(known[:, None], self.weights[order - 1].values[spot], 0.0) + self.log_p(rest[:, 1:])
+                weight, known = self.weights[order - 1].look(gram_keys(rest[:, :-1], order - 1))
+                out[miss] = np.where(known[:, None], weight, 0.0) + self.log_p(rest[:, 1:])
         return out
 
     def entropies(self, chunk: words.Chunk) -> tuple[np.ndarray, np.ndarray]:
@@ -210,21 +272,174 @@ class Model:
         where = _positions(first)
         n = np.diff(first) - (ORDER - 1)
         total = np.zeros((len(n), len(self.langs)))
-        begin = np.cumsum(n) - n
-        if len(where) and self.langs:
-            table = self.grams[-1]
-            at, hit = table.find(gram_keys(code, ORDER)[where])
-            full = np.flatnonzero(n)
-            miss = np.flatnonzero(~hit)
-            late = self.log_p(code[where[miss][:, None] + np.arange(ORDER)]) if len(miss) else None
-            for i in range(len(self.langs)):
-                value = table.values[:, i][at]
-                if late is not None:
-                    value[miss] = late[:, i]
-                total[full, i] = np.add.reduceat(value, begin[full])
+        if not len(where) or not self.langs:
+            return total, n
+        keys, done = gram_keys(code, ORDER)[where], np.concatenate([[0], np.cumsum(n)])
+        row = 0
+        while row < len(n):  # whole rows, so that a sum does not depend on the rows before
+            last = max(row + 1, int(np.searchsorted(done, done[row] + _BLOCK, "right")) - 1)
+            a, b = done[row], done[last]
+            if a < b:
+                value, hit = self.grams[-1].look(keys[a:b])
+                miss = np.flatnonzero(~hit)
+                if len(miss):
+                    value[miss] = self.log_p(code[where[a:b][miss][:, None] + np.arange(ORDER)])
+                full = row + np.flatnonzero(n[row:last])
+                total[full] = np.add.reduceat(value, done[full] - a)
+            row = last
         return -total / np.maximum(n, 1)[:, None], n
 
 
+def stored_model(counts: DataFrame, part_grams: int = PART_GRAMS) -> Model:
+    """The model of all (lang, gram, n) in ``counts``, computed in tasks and kept in files of the shared folder.
+
+    The folder has to be mounted on all executors, since the files are
+    memory-mapped. The driver only sees a row for each language and order.
+    Runs jobs.
+    """
+    from marketloom.llm.tokens import local_path
+
+    spark = counts.sparkSession
+    counts = materialise(counts, "language-counts")
+    # Suffixes of the grams; then how many different grams end in each.
+    shorter = counts.select("lang", F.explode(F.array(F.expr("substring(gram, 2)"), F.expr("substring(gram, 3)"))).alias("gram")).distinct()
+    ends = counts.select("lang", "gram").unionByName(shorter).groupBy("lang", F.expr("substring(gram, 2)").alias("gram")).agg(F.count(F.lit(1)).alias("n"))
+    every = materialise(counts.unionByName(ends).withColumn("order", F.length("gram")), "language-orders")
+    seen = every.groupBy("order", "lang").agg(
+        F.count_if(F.col("n") == 1).alias("ones"), F.count_if(F.col("n") == 2).alias("twos"), F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("total")
+    ).collect()
+    langs = sorted({r.lang for r in seen})
+    if not langs:
+        return Model([], [], [])
+    index, n_langs = {x: i for i, x in enumerate(langs)}, len(langs)
+    discount, first, total_first = np.zeros((ORDER, n_langs)), np.zeros(n_langs), np.zeros(n_langs)
+    for r in seen:
+        i, d = index[r.lang], min(0.95, max(0.05, r.ones / max(1.0, r.ones + 2.0 * r.twos)))
+        discount[r.order - 1, i] = d
+        if r.order == 1:
+            first[i], total_first[i] = d * r.kinds / r.total, r.total
+    floor = -np.log(every.filter("order = 1").select("gram").distinct().count() + 1.0)
+    parts = -(-sum(r.kinds for r in seen) // part_grams)
+    bits = min(_MOST_BITS, max(0, (parts - 1).bit_length()))
+    folder = local_path(scratch_path(spark, "language-model"))
+    os.makedirs(folder)
+
+    def level(k: int, grams: list[str], lang: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Shares of grams of one order, and weights of their contexts; grams are in order."""
+        code = np.frombuffer("".join(grams).encode("utf-32-le"), np.uint32).reshape(-1, k)
+        differ = code[1:] != code[:-1]
+        new, fresh = np.ones(len(code), bool), np.ones(len(code), bool)
+        new[1:], fresh[1:] = differ.any(axis=1), differ[:, :-1].any(axis=1)
+        gram, context = np.cumsum(new) - 1, np.cumsum(fresh) - 1
+        own = np.zeros((gram[-1] + 1, n_langs))
+        own[gram, lang] = n
+        if k == 1:
+            total, of = total_first[None], np.zeros(len(own), np.int64)
+        else:
+            total, kinds = np.zeros((context[-1] + 1, n_langs)), np.zeros((context[-1] + 1, n_langs))
+            np.add.at(total, (context, lang), n)
+            np.add.at(kinds, (context, lang), 1.0)
+            weight = np.where(total > 0, discount[k - 1] * kinds / np.maximum(total, 1), 1.0)
+            of = context[new]
+            yield rows(1, gram_keys(code[fresh][:, :-1], k - 1), np.zeros((context[-1] + 1, ORDER), np.uint32), np.log(weight))
+        padded = np.zeros((len(own), ORDER), np.uint32)
+        padded[:, ORDER - k :] = code[new]
+        yield rows(0, gram_keys(code[new], k), padded, np.maximum(own - discount[k - 1], 0) / np.maximum(total, 1)[of])
+
+    def rows(kind: int, keys: np.ndarray, code: np.ndarray, value: np.ndarray) -> pa.RecordBatch:
+        flat = lambda x, size: pa.FixedSizeBinaryArray.from_buffers(pa.binary(size), len(keys), [None, pa.py_buffer(np.ascontiguousarray(x).tobytes())]).cast(pa.binary())
+        signed = (keys ^ np.uint64(1 << 63)).view(np.int64)  # in the order of the hashes
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(keys), kind, np.int32)), pa.array(_part_of(keys, bits).astype(np.int32)), pa.array(signed), flat(code.astype("<u4"), 4 * ORDER), flat(value.astype("<f8"), 8 * n_langs)],
+            ["kind", "part", "key", "code", "value"],
+        )
+
+    def shares(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pd.DataFrame | None = None
+
+        def done(df: pd.DataFrame) -> Iterator[pa.RecordBatch]:
+            for k, own in df.groupby("order"):
+                yield from level(int(k), own.gram.tolist(), own.lang.map(index).to_numpy(), own.n.to_numpy(np.float64))
+
+        for batch in batches:
+            df = batch.to_pandas()
+            if not len(df):
+                continue
+            df = df if held is None else pd.concat([held, df], ignore_index=True)
+            last = (df.order == df.order.iloc[-1]) & (df.context == df.context.iloc[-1])  # may go on in the next batch
+            held = df[last]
+            yield from done(df[~last])
+        if held is not None:
+            yield from done(held)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        attempt = TaskContext.get().taskAttemptId()
+        now, files, size = None, {}, 0
+
+        def close() -> Iterator[pa.RecordBatch]:
+            for path, f in files.items():
+                f.close()
+                os.replace(f"{path}.{attempt}", path)
+            if now is not None:
+                yield pa.RecordBatch.from_arrays([pa.array([now[0]], pa.int32()), pa.array([now[1]], pa.int32()), pa.array([size], pa.int64())], ["kind", "part", "rows"])
+
+        for batch in batches:
+            kind, part = np.asarray(batch.column("kind")).astype(np.int64), np.asarray(batch.column("part")).astype(np.int64)
+            edges = np.flatnonzero(np.diff(kind) | np.diff(part)) + 1
+            for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(kind)]):
+                if a == b:
+                    continue
+                if now != (kind[a], part[a]):
+                    yield from close()
+                    now, size = (kind[a], part[a]), 0
+                    files = {p: open(f"{p}.{attempt}", "wb") for p in (f"{folder}/{('grams', 'weights')[kind[a]]}-{part[a]:04d}.{x}" for x in ("keys", "codes", "value"))}
+                keys, codes, value = files.values()
+                own = batch.slice(a, b - a)
+                keys.write((np.asarray(own.column("key")).view(np.uint64) ^ np.uint64(1 << 63)).astype("<u8").tobytes())
+                codes.write(b"".join(own.column("code").to_pylist()))
+                value.write(b"".join(own.column("value").to_pylist()))
+                size += b - a
+        yield from close()
+
+    context = F.expr("if(order = 1, gram, substring(gram, 1, order - 1))")
+    # Rows of one gram or context are together, a context has a row for each letter and language at most.
+    ordered = every.withColumn("context", context).repartition("order", "context").sortWithinPartitions("order", "context", "gram")
+    made = ordered.mapInArrow(shares, "kind int, part int, key long, code binary, value binary")
+    files = made.repartition(2 << bits, "kind", "part").sortWithinPartitions("kind", "part", "key").mapInArrow(write, "kind int, part int, rows long").collect()
+    sizes = [[0] * (1 << bits) for _ in range(2)]
+    for r in files:
+        sizes[r.kind][r.part] = r.rows
+    raw = Parts(f"{folder}/grams", "value", bits, n_langs, tuple(sizes[0]))
+    weights = Parts(f"{folder}/weights", "value", bits, n_langs, tuple(sizes[1]))
+
+    def interpolated(code: np.ndarray) -> np.ndarray:
+        k = code.shape[1]
+        share, _ = raw.look(gram_keys(code, k))
+        if k == 1:
+            return share + first * np.exp(floor)
+        weight, known = weights.look(gram_keys(code[:, :-1], k - 1))
+        return share + np.where(known[:, None], np.exp(weight), 1.0) * interpolated(code[:, 1:])
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in batch.column("id").to_pylist():
+                if raw.sizes[part]:
+                    codes = _mapped(raw.path(part, "codes"), "<u4", ORDER)
+                    name = f"{raw.path(part, 'log')}.{TaskContext.get().taskAttemptId()}"
+                    with open(name, "wb") as f:
+                        for at in range(0, len(codes), 50_000):
+                            code = codes[at : at + 50_000]
+                            order, p = (code > 0).sum(axis=1), np.empty((len(code), n_langs))
+                            for k in set(order.tolist()):
+                                p[order == k] = interpolated(code[order == k][:, ORDER - k :])
+                            f.write(np.log(p).astype("<f8").tobytes())
+                    os.replace(name, raw.path(part, "log"))
+            yield batch
+
+    spark.range(0, 1 << bits, 1, 1 << bits).mapInArrow(whole, "id long").collect()
+    return Model.stored(langs, floor, np.log(first), raw._replace(field="log"), weights)
+
+
 class Identifier(NamedTuple):
     """A model and, per language, the mean, spread per root letter and margin that rejection uses."""
 
@@ -254,27 +469,15 @@ def fit(
 ) -> Identifier:
     """Models of every language in ``labelled`` (null texts and languages are left out).
 
-    Grams are counted over all rows; the models hold the ``MAX_GRAMS`` most
-    frequent, the same number for each language. Rejection is calibrated on up
+    Grams are counted over all rows, and the models hold every gram, in files
+    of the shared folder (``stored_model``). Rejection is calibrated on up
     to ``CALIBRATION_ROWS`` rows, those of the smallest text hash: a text is
     rejected if its best cross-entropy exceeds that language's mean there by
     ``deviations`` spreads over the root of its letters and ``margin`` nats.
     """
-    from pyspark.sql import Window
-
     rows = labelled.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
-    counts = gram_counts(rows, "text", "lang").cache()
-    langs = sorted(r.lang for r in counts.select("lang").distinct().collect())
-    each = MAX_GRAMS // max(1, len(langs))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("n").desc(), "gram"))
-    top = counts.withColumn("rank", rank).filter(F.col("rank") <= each).drop("rank").toPandas()
-    counts.unpersist()
-    codes, sizes = [], []
-    for name in langs:
-        own = top[top.lang == name]
-        codes.append(np.frombuffer("".join(own.gram).encode("utf-32-le"), np.uint32).reshape(-1, ORDER))
-        sizes.append(own.n.to_numpy())
-    model = Model(langs, codes, sizes)
+    model = stored_model(gram_counts(rows, "text", "lang"))
+    langs = model.langs
     sample = rows.filter("text is not null and lang is not null").withColumn("h", F.xxhash64("text")).orderBy("h", "lang").limit(CALIBRATION_ROWS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
