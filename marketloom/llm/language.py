@@ -21,7 +21,7 @@ ORDER = 4
 PART_GRAMS = 1 << 17  # grams of a file of the stored model, more if there would be over 2**_MOST_BITS files
 _MOST_BITS = 10
 _BLOCK = 250_000  # letters whose probabilities are looked up together
-CALIBRATION_ROWS = 4_000  # labelled rows that set the rejection
+CALIBRATION_TEXTS = 100  # different texts of a language from which on their spread sets its rejection
 UNKNOWN = "und"
 _SPACE = 32
 _STEP = np.uint64(0x9FB21C651E98DF25)
@@ -289,6 +289,19 @@ class Model:
             row = last
         return -total / np.maximum(n, 1)[:, None], n
 
+    def strange(self, chunk: words.Chunk, lang: np.ndarray) -> np.ndarray:
+        """Share of each row's letters that the row's language, by number, was never seen with."""
+        code, first = letters(chunk)
+        where = _positions(first)
+        row = np.searchsorted(first, where, "right") - 1
+        own = code[where] != _SPACE
+        row, letter = row[own], code[where][own]
+        kinds, back = np.unique(letter, return_inverse=True)
+        value, hit = self.grams[0].look(gram_keys(kinds[:, None], 1))
+        unseen = ~hit[:, None] | (value <= self.weights[0].values[0] + self.floor + 1e-9)
+        n = np.bincount(row, minlength=len(lang))
+        return np.bincount(row, unseen[back, lang[row]], len(lang)) / np.maximum(n, 1)
+
 
 def stored_model(counts: DataFrame, part_grams: int = PART_GRAMS) -> Model:
     """The model of all (lang, gram, n) in ``counts``, computed in tasks and kept in files of the shared folder.
@@ -441,11 +454,12 @@ def stored_model(counts: DataFrame, part_grams: int = PART_GRAMS) -> Model:
 
 
 class Identifier(NamedTuple):
-    """A model and, per language, the mean, spread per root letter and margin that rejection uses."""
+    """A model and, per language, the mean, spread per root letter and margin that rejection uses, and which have too few texts for that."""
 
     model: Model
     mean: np.ndarray
     spread: np.ndarray
+    few: np.ndarray
     deviations: float
     margin: float
 
@@ -460,8 +474,11 @@ class Identifier(NamedTuple):
         odds = np.exp(-(h - low[:, None]) * np.sqrt(np.maximum(n, 1))[:, None])
         score = np.where(n > 0, 1.0 / odds.sum(axis=1), 0.0)
         bound = self.mean[best] + self.deviations * self.spread[best] / np.sqrt(np.maximum(n, 1)) + self.margin
+        bad = low > bound
+        if self.few[best].any():
+            bad = np.where(self.few[best], self.model.strange(chunk, best) > 0.5, bad)
         names = [self.model.langs[b] if k else UNKNOWN for b, k in zip(best.tolist(), n.tolist())]
-        return names, score, np.where(n > 0, low, 0.0), (n == 0) | (low > bound)
+        return names, score, np.where(n > 0, low, 0.0), (n == 0) | bad
 
 
 def fit(
@@ -470,35 +487,43 @@ def fit(
     """Models of every language in ``labelled`` (null texts and languages are left out).
 
     Grams are counted over all rows, and the models hold every gram, in files
-    of the shared folder (``stored_model``). Rejection is calibrated on up
-    to ``CALIBRATION_ROWS`` rows, those of the smallest text hash: a text is
-    rejected if its best cross-entropy exceeds that language's mean there by
+    of the shared folder (``stored_model``). Rejection is calibrated per
+    language on all its labelled rows, each distinct text once: a text is
+    rejected if its best cross-entropy exceeds that language's mean by
     ``deviations`` spreads over the root of its letters and ``margin`` nats.
+    A language of fewer than ``CALIBRATION_TEXTS`` different texts has no
+    spread to go by; only texts most of whose letters were never seen in it
+    are rejected there. Runs jobs.
     """
     rows = labelled.select(F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
     model = stored_model(gram_counts(rows, "text", "lang"))
     langs = model.langs
-    sample = rows.filter("text is not null and lang is not null").withColumn("h", F.xxhash64("text")).orderBy("h", "lang").limit(CALIBRATION_ROWS)
+    index = {x: i for i, x in enumerate(langs)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = batch.column("lang").to_pylist()
             for chunk in words.chunks(batch.column("text")):
                 h, n = model.entropies(chunk)
-                own = np.array([langs.index(x) if x in langs else -1 for x in names[chunk.first : chunk.last]])
+                own = np.array([index.get(x, -1) for x in names[chunk.first : chunk.last]])
                 good = np.flatnonzero((n > 0) & (own >= 0))
+                one, two = (words.span_hashes(chunk.data, chunk.offsets[:-1], chunk.offsets[1:], again=x)[good].view(np.int64) for x in (False, True))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(own[good].astype(np.int32)), pa.array(h[good, own[good]]), pa.array(n[good].astype(np.int64))], ["lang", "h", "n"]
+                    [pa.array(own[good].astype(np.int32)), pa.array(one), pa.array(two), pa.array(h[good, own[good]]), pa.array(n[good].astype(np.int64))],
+                    ["lang", "one", "two", "h", "n"],
                 )
 
-    seen = sample.select("text", "lang").mapInArrow(run, "lang int, h double, n long").toPandas() if langs else pd.DataFrame({"lang": [], "h": [], "n": []})
-    mean, spread = np.zeros(len(langs)), np.zeros(len(langs))
-    whole = float(np.average(seen.h, weights=seen.n)) if len(seen) else 0.0
-    for i in range(len(langs)):
-        own = seen[seen.lang == i]
-        mean[i] = np.average(own.h, weights=own.n) if len(own) else whole
-        spread[i] = np.sqrt(np.mean((own.h - mean[i]) ** 2 * own.n)) if len(own) else 3.0
-    return Identifier(model, mean, spread, deviations, margin)
+    mean, spread, texts = np.zeros(len(langs)), np.zeros(len(langs)), np.zeros(len(langs), np.int64)
+    if langs:
+        scored = rows.filter("text is not null and lang is not null").mapInArrow(run, "lang int, one long, two long, h double, n long")
+        distinct = scored.groupBy("lang", "one", "two").agg(F.min("h").alias("h"), F.min("n").alias("n"))
+        sums = distinct.groupBy("lang").agg(
+            F.count(F.lit(1)).alias("texts"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("h")).alias("nh"), F.sum(F.col("n") * F.col("h") * F.col("h")).alias("nhh")
+        )
+        for r in sums.collect():
+            mean[r.lang], texts[r.lang] = r.nh / r.n, r.texts
+            spread[r.lang] = np.sqrt(max(0.0, r.nhh - r.nh * r.nh / r.n) / r.texts)
+    return Identifier(model, mean, spread, texts < CALIBRATION_TEXTS, deviations, margin)
 
 
 def identify(df: DataFrame, identifier: Identifier, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -49,3 +49,22 @@ def test_every_gram_is_kept(spark):
     assert got.grams[-1].look(want.grams[-1].keys)[1].all()
     probe = [r[0][:50] for r in rows[:3]] + [rows[0][0][5:9][::-1]]
     np.testing.assert_allclose(entropies(got, probe), entropies(want, probe), rtol=1e-12)
+
+
+def test_rejection_is_calibrated_per_language_on_distinct_texts(spark):
+    """Each text counts once, all rows count, and a few texts set no spread."""
+    r = np.random.default_rng(3)
+    vocabulary = ["".join(r.choice(list("abcdefghij"), 5)) for _ in range(40)]
+    many = [(" ".join(r.choice(vocabulary, r.integers(3, 40))), "aa") for _ in range(400)]
+    rare = "кот и пёс живут в доме у реки " * 4
+    rows = many + [(many[0][0], "aa")] * 5_000 + [(rare, "bb")] * 50
+    found = language.fit(spark.createDataFrame(rows, "text string, lang string").repartition(5))
+    texts = sorted({t for t, x in rows if x == "aa"})
+    (chunk,) = words.chunks(pa.array(texts))
+    h, n = found.model.entropies(chunk)
+    mean = np.average(h[:, 0], weights=n)
+    assert np.isclose(found.mean[0], mean) and np.isclose(found.spread[0], np.sqrt(np.mean((h[:, 0] - mean) ** 2 * n)))
+    assert found.few.tolist() == [False, True]
+    (probe,) = words.chunks(pa.array(["пёс у дома", "кот и пёс живут в доме у реки и там им всегда хорошо", "漢字の文章はここにある" * 20]))
+    names, _, _, rejected = found.predict(probe)
+    assert names[:2] == ["bb", "bb"] and rejected.tolist() == [False, False, True]
