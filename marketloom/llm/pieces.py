@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,7 +15,8 @@ from marketloom.llm import words
 
 _KEPT_SEGMENTS = 50_000  # distinct segments a task keeps the lattices of
 _CHUNK_BYTES = 250_000
-_LONGEST = 1_024  # bytes of a segment without a cut; then it is cut between characters
+_LONGEST = 1_024  # bytes of a segment whose lattice is kept; longer ones are gone through in blocks
+_BLOCK = 65_536  # bytes of such a block
 _BYTE_LOG_P = -20.0  # of each byte of a character without a piece
 _GOLDEN = 0x9E3779B97F4A7C15
 
@@ -89,7 +91,9 @@ class Sampler:
     A segment's lattice has a node at every byte; an arc is a piece, or all
     bytes of a character that is no piece. Forward filtering sums the weights
     of all ways to each node; each arc then has its probability given the
-    node it ends at, from which backward sampling draws.
+    node it ends at, from which backward sampling draws. Of a segment of over
+    ``_LONGEST`` bytes only the sums are held, and its arcs are made again in
+    blocks on the way back; the draw is from the lattice of all of it.
     """
 
     def __init__(self, pieces: Pieces) -> None:
@@ -203,6 +207,78 @@ class Sampler:
         order = np.argsort(place[::-1], kind="stable")  # by occurrence, the last arc drawn first
         return place[::-1][order], arcs[::-1][order]
 
+    def _blocks(self, data: np.ndarray) -> list[tuple[int, int]]:
+        """Where blocks of a segment begin and end, between characters."""
+        cuts = [0]
+        while cuts[-1] < len(data):
+            cut = min(cuts[-1] + _BLOCK, len(data))
+            while cut < len(data) and (data[cut] & 0xC0) == 0x80:
+                cut += 1
+            cuts.append(cut)
+        return list(zip(cuts, cuts[1:]))
+
+    def _ending(self, data: np.ndarray, lo: int, hi: int) -> tuple[list, list, list, list]:
+        """Arcs that end after ``lo`` and up to ``hi``, by end: from, to, piece, log weight."""
+        low = max(0, lo - len(self.pieces.tables))  # no piece is longer
+        while low and (data[low] & 0xC0) == 0x80:
+            low -= 1
+        part = data[low:hi]
+        a, b, piece, weight = self._arcs(part, np.array([0]), np.array([len(part)]))
+        own = np.flatnonzero(b > lo - low)
+        own = own[np.lexsort((-weight[own], b[own]))]
+        return (a[own] + low).tolist(), (b[own] + low).tolist(), piece[own].tolist(), weight[own].tolist()
+
+    def _long(self, data: np.ndarray, seeds: list[int]) -> list[np.ndarray]:
+        """Piece ids of a long segment, drawn once for each seed."""
+        blocks = self._blocks(data)
+        alpha = np.full(len(data) + 1, -np.inf)  # of the node after byte j - 1, at j
+        alpha[0] = 0.0
+        for lo, hi in blocks:
+            low = max(0, lo - len(self.pieces.tables) - 4)
+            sums = alpha[low : hi + 1].tolist()
+            came, to, _, weight = self._ending(data, lo, hi)
+            at = 0
+            while at < len(to):
+                y, first = to[at], at
+                ways = []
+                while at < len(to) and to[at] == y:
+                    ways.append(sums[came[at] - low] + weight[at])
+                    at += 1
+                best = max(ways)
+                sums[y - low] = best if at == first + 1 or best == -math.inf else best + math.log(sum(math.exp(x - best) for x in ways))
+            alpha[lo + 1 : hi + 1] = sums[lo + 1 - low :]
+        node = [len(data)] * len(seeds)
+        step = [0] * len(seeds)
+        drawn: list[list[int]] = [[] for _ in seeds]
+        for lo, hi in reversed(blocks):
+            low = max(0, lo - len(self.pieces.tables) - 4)
+            sums = alpha[low : hi + 1].tolist()
+            came, to, piece, weight = self._ending(data, lo, hi)
+            begin = np.searchsorted(to, np.arange(lo + 1, hi + 2)).tolist()
+            for i, seed in enumerate(seeds):
+                y, n, out = node[i], step[i], drawn[i]
+                values: list[float] = []
+                used = 0
+                while y > lo:
+                    if used == len(values):
+                        counter = np.arange(n, n + 256).astype(np.uint64) * np.uint64(_GOLDEN)
+                        values = ((words.mix(np.uint64(seed) + counter) >> np.uint64(11)).astype(np.float64) * 2.0**-53).tolist()
+                        used, n = 0, n + 256
+                    u, total = values[used], sums[y - low]
+                    used += 1
+                    k, stop = begin[y - lo - 1], begin[y - lo] - 1
+                    u -= math.exp(sums[came[k] - low] + weight[k] - total)
+                    while u >= 0 and k < stop:
+                        k += 1
+                        u -= math.exp(sums[came[k] - low] + weight[k] - total)
+                    if piece[k] >= 0:
+                        out.append(piece[k])
+                    else:
+                        out.extend(self.pieces.byte_id[data[came[k] : y]][::-1].tolist())
+                    y = came[k]
+                node[i], step[i] = y, n
+        return [np.array(x[::-1], np.int64) for x in drawn]
+
     def sample(self, chunk: words.Chunk, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Piece ids of all rows of the chunk, and where each row's begin (one more at the end)."""
         offsets = chunk.offsets
@@ -221,17 +297,6 @@ class Sampler:
         cut[1:] |= line[:-1]
         cut[offsets[:-1]] = True
         start = np.flatnonzero(cut)
-        long = np.flatnonzero(np.diff(np.append(start, len(data))) > _LONGEST)
-        for i in long.tolist():
-            stop = int(start[i + 1]) if i + 1 < len(start) else len(data)
-            own = np.arange(start[i] + _LONGEST, stop, _LONGEST)
-            for p in own.tolist():
-                while p < stop and (data[p] & 0xC0) == 0x80:
-                    p += 1
-                if p < stop:
-                    cut[p] = True
-        if len(long):
-            start = np.flatnonzero(cut)
         end = np.append(start[1:], len(data))
         one, two = words.span_hashes(data, start, end), words.span_hashes(data, start, end, again=True)
         code, _ = pd.factorize(one)
@@ -240,25 +305,39 @@ class Sampler:
         if not np.array_equal(two, two[first][code]):  # two segments of one hash
             code, first = np.arange(len(start)), np.arange(len(start))
         keys = list(zip(one[first].tolist(), two[first].tolist()))
-        new = [(k, i) for k, i in zip(keys, first.tolist()) if k not in self.place]
+        long = end - start > _LONGEST
+        new = [(k, i) for k, i in zip(keys, first.tolist()) if k not in self.place and not long[i]]
         if new:
             raw = data.tobytes()
             self._add([k for k, _ in new], [raw[start[i] : end[i]] for _, i in new])
-        known = np.array([self.place[k] for k in keys])[code]
         row = np.searchsorted(offsets, start, "right") - 1
         nth = np.arange(len(start)) - np.searchsorted(start, offsets)[row]
         seed = words.mix(seeds[row] + nth.astype(np.uint64) * np.uint64(0xD1342543DE82EF95))
-        place, arcs = self._draw(self.last[known], seed)
-        piece = self.arc_id[arcs]
-        count = np.where(piece < 0, -piece, 1)
-        total = np.concatenate([[0], np.cumsum(count)])
-        out = np.repeat(piece, count)
-        lone = np.flatnonzero(out < 0)
-        if len(lone):
-            arc = np.repeat(np.arange(len(arcs)), count)[lone]
-            out[lone] = self.pieces.byte_id[self.bytes[self.arc_byte[arcs[arc]] + lone - total[arc]]]
-        begin = np.searchsorted(place, np.searchsorted(start, offsets))
-        return out, total[begin]
+        short = np.flatnonzero(~long)
+        out, owner = np.empty(0, np.int64), np.empty(0, np.int64)
+        if len(short):
+            known = np.array([self.place.get(k, -1) for k in keys])[code[short]]
+            place, arcs = self._draw(self.last[known], seed[short])
+            piece = self.arc_id[arcs]
+            count = np.where(piece < 0, -piece, 1)
+            total = np.concatenate([[0], np.cumsum(count)])
+            out, owner = np.repeat(piece, count), np.repeat(short[place], count)
+            lone = np.flatnonzero(out < 0)
+            if len(lone):
+                arc = np.repeat(np.arange(len(arcs)), count)[lone]
+                out[lone] = self.pieces.byte_id[self.bytes[self.arc_byte[arcs[arc]] + lone - total[arc]]]
+        if len(short) < len(start):
+            outs, owners = [out], [owner]
+            which = np.flatnonzero(long)
+            for c in np.unique(code[which]).tolist():
+                same = which[code[which] == c]
+                for i, ids in zip(same.tolist(), self._long(data[start[same[0]] : end[same[0]]], seed[same].tolist())):
+                    outs.append(ids)
+                    owners.append(np.full(len(ids), i))
+            owner = np.concatenate(owners)
+            order = np.argsort(owner, kind="stable")
+            out, owner = np.concatenate(outs)[order], owner[order]
+        return out, np.searchsorted(owner, np.searchsorted(start, offsets))
 
 
 def row_seeds(keys: pa.Array, seed: int) -> np.ndarray:
