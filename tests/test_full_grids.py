@@ -1,0 +1,22 @@
+"""The registered model queries search every setting."""
+
+from marketloom.operators import models as ML
+from marketloom.plans.registered import all_queries
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_model_queries_use_the_full_grids(spark, monkeypatch):
+    seen = {}
+
+    def search(df, kind, grid, *args, **kwargs):
+        seen[kind] = grid
+        return df.sparkSession.createDataFrame([], "model string")
+
+    def run(*args, grids=ML.GRIDS, **kwargs):
+        return grids, None
+
+    monkeypatch.setattr(ML, "grid_search", search)
+    monkeypatch.setattr(ML, "run_models", run)
+    all_queries()["model_cv"](spark, SF)
+    assert seen == ML.GRIDS and all_queries()["model_holdout"](spark, SF) == ML.GRIDS
