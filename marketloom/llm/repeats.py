@@ -1,10 +1,10 @@
-"""Repeated passages: greedy factoring of documents against an index of reference blocks.
+"""Repeated passages: minimiser blocks of all documents, and window hashes where blocks differ.
 
-Every document is cut into blocks at content-defined anchors and factored
-against the blocks of all documents, in the manner of relative Lempel-Ziv
-parsing. A block that occurs whole elsewhere continues a factor at once;
-where a factor ends inside a block, the block is checked window by window.
-The spans of all factors of at least ``length`` words are the repeated words.
+This takes the place of relative Lempel-Ziv parsing: no document is parsed
+from left to right against reference blocks, and there are no factors. Which
+windows repeat does not depend on a parse, and a parse would need an index of
+all blocks in every task. Blocks equal to another are repeated whole; of the
+other blocks of a repeated anchor all windows are hashed and counted.
 
 The anchor of a window of ``length`` words is the smallest hash among its runs
 of ``ANCHOR`` words, the leftmost if equal. It depends on the window's words
