@@ -130,7 +130,7 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place and ids in token files, read back from them."""
     folder = tokens.new_folder(spark)
     docs = table(spark, sf_dir, "documents")
-    parts = tokens.write_token_files(docs, tokenizer_file("byte_bpe_50k.json"), 0, folder)
+    parts = tokens.write_token_files(docs, tokenizer_file("byte_bpe_50k.json"), 0, folder, added=True)
     found = tokens.crc_of_tokens(tokens.read_token_files(spark, folder, len(parts)))
     return found.withColumnRenamed("key", "doc_id")
 

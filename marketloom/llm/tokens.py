@@ -49,15 +49,18 @@ class Encoder:
     character, at a mark or line break after an ASCII letter, and at a letter
     after a lone line break, so texts may be cut there without a change of the
     ids. Of the segments kept, those met in one chunk only go when there are
-    too many.
+    too many. With ``added``, strings of added tokens in a text get their ids,
+    as in a plain call; texts that hold one are encoded whole.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, added: bool = False) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.plain = Tokenizer.from_file(path) if added else None
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()] if added else []
         self._keep(np.empty(0, np.int64))
 
     def _keep(self, which: np.ndarray) -> None:
@@ -97,6 +100,19 @@ class Encoder:
         return np.flatnonzero(cut)
 
     def encode(self, chunk: words.Chunk) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all rows of the chunk, and where each row's begin (one more at the end)."""
+        ids, begin = self._by_segment(chunk)
+        raw = chunk.data.tobytes() if self.added else b""
+        if not any(x in raw for x in self.added):
+            return ids, begin
+        o = chunk.offsets.tolist()
+        parts = [ids[a:b] for a, b in zip(begin, begin[1:])]
+        for i, text in enumerate(raw[a:b] for a, b in zip(o, o[1:])):
+            if any(x in text for x in self.added):
+                parts[i] = np.array(self.plain.encode(text.decode(), add_special_tokens=False).ids, np.uint32)
+        return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(x) for x in parts])])
+
+    def _by_segment(self, chunk: words.Chunk) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows of the chunk, and where each row's begin (one more at the end)."""
         data, offsets = chunk.data, chunk.offsets
         if not len(data):
@@ -129,9 +145,9 @@ class Encoder:
 
 
 @lru_cache(maxsize=1)
-def _encoder(path: str) -> Encoder:
+def _encoder(path: str, added: bool) -> Encoder:
     """One encoder for all tasks of a Python worker."""
-    return Encoder(path)
+    return Encoder(path, added)
 
 
 class Part(NamedTuple):
@@ -140,7 +156,9 @@ class Part(NamedTuple):
     tokens: int
 
 
-def write_token_files(df: DataFrame, tokenizer: str, end_id: int, folder: str, key: str = "doc_id", text: str = "text", width: int = 2) -> list[dict]:
+def write_token_files(
+    df: DataFrame, tokenizer: str, end_id: int, folder: str, key: str = "doc_id", text: str = "text", width: int = 2, added: bool = False
+) -> list[dict]:
     """Write the ids of every text in ascending key order; returns the manifest.
 
     Each part holds ``part-N.ids`` (unsigned little-endian integers of
@@ -151,7 +169,9 @@ def write_token_files(df: DataFrame, tokenizer: str, end_id: int, folder: str, k
     sums of the parts' counts. ``end_id`` ends every document; a null text is
     empty. Rows that agree in the key may lie in several parts. Files are
     written under another name and renamed, so a task that runs again leaves
-    the same files.
+    the same files. ``added`` gives strings of added tokens their ids, as the
+    tokenizer's plain call does; else they are ordinary text. Ids that do not
+    fit ``width`` are an error.
     """
     source, _ = texts.keyed(df, key, text)
     source = source.select(F.col("key").cast("long").alias("key"), "text")
@@ -167,7 +187,9 @@ def write_token_files(df: DataFrame, tokenizer: str, end_id: int, folder: str, k
         stem = os.path.join(target, f"part-{part:06d}")
         kinds = ("ids", "offsets", "keys")
         files = {k: open(f"{stem}.{k}.{attempt}", "wb") for k in kinds}
-        encoder, tokens, rows = _encoder(tokenizer), 0, 0
+        encoder, tokens, rows = _encoder(tokenizer, added), 0, 0
+        if max(end_id, max(encoder.tokenizer.get_vocab(with_added_tokens=True).values())) >= 256**width:
+            raise ValueError(f"ids of {tokenizer} do not fit {width} bytes")
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 piece = batch.slice(at, 1024)
