@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import contained, language, lines, near, pieces, repeats, search, secrets, sharding, tokens
+from marketloom.llm import contained, language, lines, near, periods, pieces, repeats, search, secrets, sharding, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -181,6 +181,75 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def run_digests(found: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Number, longest and digests of the runs of ``periods.periodic_runs``."""
+    best = F.array_min(F.transform("runs", lambda x: F.struct((-x["length"]).alias("size"), x["start"], x["period"])))
+    line = lambda x: F.concat_ws(",", x["start"], x["length"], x["period"])
+    listed = F.array_join(F.transform("runs", lambda x: F.concat(line(x), F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        key,
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        (-F.col("best.size")).alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("(-1000 * best.size) div best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words of every document, and its text with each run cut to one period."""
+    docs = table(spark, sf_dir, "documents")
+    h = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8"))
+    return run_digests(periods.periodic_runs(docs, repeat=F.when(h % 10 == 0, F.floor(h / 10))))
+
+
+ORACLES["op11_periodic_runs"] = """
+WITH RECURSIVE crc_step(i, k, c) AS (
+  SELECT i, 0, i FROM range(256) t(i)
+  UNION ALL
+  SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END FROM crc_step WHERE k < 8
+), crc_table AS (SELECT list(c ORDER BY i) AS steps FROM crc_step WHERE k = 8),
+hashed AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+         xor(4294967295, list_reduce(
+           list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(length(CAST(doc_id AS VARCHAR))),
+             lambda i: CAST(ascii(substr(CAST(doc_id AS VARCHAR), i + 1, 1)) AS BIGINT))),
+           lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1]))) AS h
+  FROM documents, crc_table
+), asked AS (
+  SELECT *, len(ws) AS n, h // 10 AS g, h % 10 = 0 AND len(ws) > 0 AS again, (h // 10) % greatest(1, len(ws)) AS a FROM hashed
+), bent AS (
+  SELECT doc_id, n, CASE WHEN again THEN list_transform(range(n), lambda i:
+           ws[CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END + 1]) ELSE ws END AS ws
+  FROM asked
+), grams AS (
+  SELECT doc_id, i, array_to_string(ws[i + 1:i + 6], ' ') AS gram FROM (SELECT doc_id, ws, unnest(range(n - 5)) AS i FROM bent)
+), pairs AS (SELECT x.doc_id, x.i, x.i - y.i AS lag FROM grams x JOIN grams y ON x.doc_id = y.doc_id AND x.gram = y.gram AND y.i < x.i),
+stretches AS (
+  SELECT doc_id, lag, min(i) - lag AS start, lag + count(*) + 5 AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, lag ORDER BY i) AS island FROM pairs) GROUP BY doc_id, lag, island
+), runs AS (
+  SELECT doc_id, start, length, min(lag) AS period FROM stretches WHERE length >= 12 AND length >= 2 * lag GROUP BY doc_id, start, length
+), sums AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listed,
+         first({'s': start, 'l': length, 'p': period} ORDER BY length DESC, start, period) AS best
+  FROM runs GROUP BY doc_id
+), gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (
+  SELECT w.doc_id, string_agg(w.word, ' ' ORDER BY w.i) AS collapsed
+  FROM (SELECT doc_id, unnest(ws) AS word, unnest(range(n)) AS i FROM bent) w
+  ANTI JOIN gone g ON g.doc_id = w.doc_id AND g.i = w.i GROUP BY w.doc_id
+)
+SELECT b.doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, best.l AS length, best.p AS period,
+       1000 * best.l // best.p AS exponent_milli,
+       sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM bent b LEFT JOIN sums s ON s.doc_id = b.doc_id LEFT JOIN kept k ON k.doc_id = b.doc_id
+"""
+
+
 def all_queries() -> dict[str, Query]:
     return dict(QUERIES)
 
