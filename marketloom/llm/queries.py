@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import contained, language, lines, near, periods, pieces, repeats, search, secrets, sharding, tokens
+from marketloom.llm import contained, language, lines, merkle, near, periods, pieces, repeats, search, secrets, sharding, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -206,18 +207,22 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_digests(periods.periodic_runs(docs, repeat=F.when(h % 10 == 0, F.floor(h / 10))))
 
 
-ORACLES["op11_periodic_runs"] = """
-WITH RECURSIVE crc_step(i, k, c) AS (
+# crc32 of a decimal doc_id.
+_CRC_TABLE = """RECURSIVE crc_step(i, k, c) AS (
   SELECT i, 0, i FROM range(256) t(i)
   UNION ALL
   SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END FROM crc_step WHERE k < 8
-), crc_table AS (SELECT list(c ORDER BY i) AS steps FROM crc_step WHERE k = 8),
-hashed AS (
-  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
-         xor(4294967295, list_reduce(
+), crc_table AS (SELECT list(c ORDER BY i) AS steps FROM crc_step WHERE k = 8)"""
+_KEY_CRC = """xor(4294967295, list_reduce(
            list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(length(CAST(doc_id AS VARCHAR))),
              lambda i: CAST(ascii(substr(CAST(doc_id AS VARCHAR), i + 1, 1)) AS BIGINT))),
-           lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1]))) AS h
+           lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1])))"""
+
+ORACLES["op11_periodic_runs"] = f"""
+WITH {_CRC_TABLE},
+hashed AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+         {_KEY_CRC} AS h
   FROM documents, crc_table
 ), asked AS (
   SELECT *, len(ws) AS n, h // 10 AS g, h % 10 = 0 AND len(ws) > 0 AS again, (h // 10) % greatest(1, len(ws)) AS a FROM hashed
@@ -235,7 +240,7 @@ stretches AS (
   SELECT doc_id, start, length, min(lag) AS period FROM stretches WHERE length >= 12 AND length >= 2 * lag GROUP BY doc_id, start, length
 ), sums AS (
   SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listed,
-         first({'s': start, 'l': length, 'p': period} ORDER BY length DESC, start, period) AS best
+         first({{'s': start, 'l': length, 'p': period}} ORDER BY length DESC, start, period) AS best
   FROM runs GROUP BY doc_id
 ), gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
 kept AS (
@@ -250,6 +255,57 @@ FROM bent b LEFT JOIN sums s ON s.doc_id = b.doc_id LEFT JOIN kept k ON k.doc_id
 """
 
 
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document; each fifth is presented in lower case."""
+    docs = table(spark, sf_dir, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    lower = F.translate("text", ascii_uppercase, ascii_lowercase)
+    tampered = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 5 == 0
+    seen = merkle.leaf_hash([*[F.col(c) for c in fields[:-1]], F.when(tampered, lower).otherwise(F.col("text"))])
+    return merkle.manifest(docs, fields, presented=seen).drop("rank")
+
+
+def _merkle_sql() -> str:
+    """Both trees level by level; a tree of one node stays as it is, so that six levels hold 16 ** 6 leaves."""
+    field = lambda x: f"coalesce(octet_length(encode(CAST({x} AS VARCHAR))) || ':' || {x}, '-')"
+    leaf = lambda text: f"sha256({' || '.join(field(x) for x in ('doc_id', 'source', 'lang', 'n_chars', text))})"
+    steps = [
+        _CRC_TABLE,
+        f"""leaves AS (
+  SELECT doc_id, source, {leaf("text")} AS leaf,
+         CASE WHEN {_KEY_CRC} % 5 = 0 THEN {leaf(f"translate(text, '{ascii_uppercase}', '{ascii_lowercase}')")} ELSE {leaf("text")} END AS cur
+  FROM documents, crc_table
+)""",
+        """f0 AS (SELECT *, '' AS proof, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM leaves)""",
+        """t0 AS (SELECT source, pos, leaf AS digest, count(*) OVER (PARTITION BY source) AS n FROM f0)""",
+    ]
+
+    def climb(f: str, t: str, levels: int, by: str) -> None:
+        same = f"x.{by} IS NOT DISTINCT FROM r.{by}"
+        cut = "CAST(64 * (x.pos % 16) AS BIGINT)"
+        for k in range(levels):
+            steps.append(f"r{t}{k} AS (SELECT {by}, pos // 16 AS grp, string_agg(digest, '' ORDER BY pos) AS run, any_value(n) AS n FROM {t}{k} GROUP BY {by}, pos // 16)")
+            steps.append(f"{t}{k + 1} AS (SELECT {by}, grp AS pos, CASE WHEN n > 1 THEN sha256(run) ELSE run END AS digest, (n + 15) // 16 AS n FROM r{t}{k})")
+            left, right = f"left(r.run, {cut})", f"substr(r.run, {cut} + 65)"
+            steps.append(
+                f"{f}{k + 1} AS (SELECT x.* REPLACE (x.pos // 16 AS pos, CASE WHEN r.n > 1 THEN sha256({left} || x.cur || {right}) ELSE x.cur END AS cur, "
+                f"CASE WHEN r.n > 1 THEN x.proof || {left} || {right} ELSE x.proof END AS proof) FROM {f}{k} x JOIN r{t}{k} r ON {same} AND r.grp = x.pos // 16)"
+            )
+
+    climb("f", "t", 6, "source")
+    steps.append("tops AS (SELECT source, digest, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM t6)")
+    steps.append("s0 AS (SELECT 0 AS one, pos, digest, n FROM tops)")
+    steps.append("g0 AS (SELECT 0 AS one, f.* REPLACE (t.pos AS pos), t.digest AS subroot FROM f6 f JOIN tops t ON t.source IS NOT DISTINCT FROM f.source)")
+    climb("g", "s", 6, "one")
+    return (
+        "WITH " + ",\n".join(steps) + "\nSELECT doc_id, leaf, subroot, s.digest AS root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = s.digest AS verified FROM g6, s6 s"
+    )
+
+
+ORACLES["op13_merkle_manifest"] = _merkle_sql()
+
+
 def all_queries() -> dict[str, Query]:
     return dict(QUERIES)
 
