@@ -8,7 +8,7 @@ from string import ascii_lowercase, ascii_uppercase
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import contained, language, lines, merkle, near, periods, pieces, repeats, search, secrets, sharding, tokens
+from marketloom.llm import contained, language, lines, merkle, near, periods, pieces, quality, repeats, search, secrets, sharding, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -255,6 +255,15 @@ FROM bent b LEFT JOIN sums s ON s.doc_id = b.doc_id LEFT JOIN kept k ON k.doc_id
 """
 
 
+@query
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from the labels that are not held out."""
+    out = F.coalesce(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 5 == 0, F.lit(False))
+    labels = table(spark, sf_dir, "labels").filter(~out)
+    found = quality.classify(table(spark, sf_dir, "documents"), labels)
+    return found.select("doc_id", out.alias("held_out"), "score", "predicted")
+
+
 @query
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, roots and proof of every document; each fifth is presented in lower case."""
