@@ -165,10 +165,10 @@ def fit(
     """
     size = len(STATISTICS)
     wide = labelled.select(array_to_vector("stats").alias("v"))
-    moments = wide.agg(F.count("v").alias("n"), vector_to_array(Summarizer.mean(F.col("v"))).alias("mean"), vector_to_array(Summarizer.std(F.col("v"))).alias("std")).first()
+    moments = wide.groupBy(F.lit(0)).agg(vector_to_array(Summarizer.mean(F.col("v"))).alias("mean"), vector_to_array(Summarizer.std(F.col("v"))).alias("std")).first()
     rng = np.random.Generator(np.random.PCG64(seed))
     directions, phases = rng.standard_normal((size, features)) / width, rng.uniform(0, 2 * np.pi, features)
-    if not moments.n:
+    if moments is None:  # no rows, no group
         return Model(Features(np.zeros(size), np.ones(size), directions, phases), np.zeros(features + 1), np.zeros(1), np.full(1, 0.5))
     scale = np.array(moments.std)
     space = Features(np.array(moments.mean), np.where(scale > 1e-9, scale, 1.0), directions, phases)
