@@ -164,8 +164,8 @@ def fit(
     stored.
     """
     size = len(STATISTICS)
-    wide = labelled.select(array_to_vector("stats").alias("v"))
-    moments = wide.groupBy(F.lit(0)).agg(vector_to_array(Summarizer.mean(F.col("v"))).alias("mean"), vector_to_array(Summarizer.std(F.col("v"))).alias("std")).first()
+    wide = labelled.select(F.lit(0).alias("all"), array_to_vector("stats").alias("v"))
+    moments = wide.groupBy("all").agg(vector_to_array(Summarizer.mean(F.col("v"))).alias("mean"), vector_to_array(Summarizer.std(F.col("v"))).alias("std")).first()
     rng = np.random.Generator(np.random.PCG64(seed))
     directions, phases = rng.standard_normal((size, features)) / width, rng.uniform(0, 2 * np.pi, features)
     if moments is None:  # no rows, no group
