@@ -143,7 +143,7 @@ def contained_items(
                     ]
                     yield pa.RecordBatch.from_arrays(columns, ["key", "item", "n_shingles", "n_shared"])
 
-        found = source.mapInArrow(run, schema)
+        found = source.mapInArrow(words.freed(run), schema)
         out = found if out is None else out.unionByName(found)
     if out is None:
         out = df.sparkSession.createDataFrame([], schema)
@@ -163,5 +163,5 @@ def without_contained(
                 keep[[row for row, _, _ in _searched(batch, text, index)]] = False
                 yield batch.filter(pa.array(keep))
 
-        df = df.mapInArrow(run, df.schema)
+        df = df.mapInArrow(words.freed(run), df.schema)
     return df

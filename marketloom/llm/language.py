@@ -125,7 +125,7 @@ def gram_counts(df: DataFrame, text: str, lang: str) -> DataFrame:
         yield from out()
 
     source = df.select(F.col(text).alias("text"), F.col(lang).alias("lang")).filter("text is not null and lang is not null")
-    return source.mapInArrow(run, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    return source.mapInArrow(words.freed(run), "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 class Table(NamedTuple):
@@ -417,8 +417,8 @@ def stored_model(counts: DataFrame, part_grams: int = PART_GRAMS) -> Model:
     context = F.expr("if(order = 1, gram, substring(gram, 1, order - 1))")
     # Rows of one gram or context are together, a context has a row for each letter and language at most.
     ordered = every.withColumn("context", context).repartition("order", "context").sortWithinPartitions("order", "context", "gram")
-    made = ordered.mapInArrow(shares, "kind int, part int, key long, code binary, value binary")
-    files = made.repartition(2 << bits, "kind", "part").sortWithinPartitions("kind", "part", "key").mapInArrow(write, "kind int, part int, rows long").collect()
+    made = ordered.mapInArrow(words.freed(shares), "kind int, part int, key long, code binary, value binary")
+    files = made.repartition(2 << bits, "kind", "part").sortWithinPartitions("kind", "part", "key").mapInArrow(words.freed(write), "kind int, part int, rows long").collect()
     sizes = [[0] * (1 << bits) for _ in range(2)]
     for r in files:
         sizes[r.kind][r.part] = r.rows
@@ -449,7 +449,7 @@ def stored_model(counts: DataFrame, part_grams: int = PART_GRAMS) -> Model:
                     os.replace(name, raw.path(part, "log"))
             yield batch
 
-    spark.range(0, 1 << bits, 1, 1 << bits).mapInArrow(whole, "id long").collect()
+    spark.range(0, 1 << bits, 1, 1 << bits).mapInArrow(words.freed(whole), "id long").collect()
     return Model.stored(langs, floor, np.log(first), raw._replace(field="log"), weights)
 
 
@@ -515,7 +515,7 @@ def fit(
 
     mean, spread, texts = np.zeros(len(langs)), np.zeros(len(langs)), np.zeros(len(langs), np.int64)
     if langs:
-        scored = rows.filter("text is not null and lang is not null").mapInArrow(run, "lang int, one long, two long, h double, n long")
+        scored = rows.filter("text is not null and lang is not null").mapInArrow(words.freed(run), "lang int, one long, two long, h double, n long")
         distinct = scored.groupBy("lang", "one", "two").agg(F.min("h").alias("h"), F.min("n").alias("n"))
         sums = distinct.groupBy("lang").agg(
             F.count(F.lit(1)).alias("texts"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("h")).alias("nh"), F.sum(F.col("n") * F.col("h") * F.col("h")).alias("nhh")
@@ -550,7 +550,7 @@ def identify(df: DataFrame, identifier: Identifier, key: str = "doc_id", text: s
                     ["key", "lang_pred", "score", "cross_entropy", "rejected"],
                 )
 
-    found = source.mapInArrow(run, f"key {kind}, lang_pred string, score double, cross_entropy double, rejected boolean")
+    found = source.mapInArrow(words.freed(run), f"key {kind}, lang_pred string, score double, cross_entropy double, rejected boolean")
     return found.withColumnRenamed("key", key)
 
 
@@ -563,7 +563,7 @@ def without_rejected(df: DataFrame, identifier: Identifier, text: str = "text")
             rejected = [sent.value.predict(chunk)[3] for chunk in words.chunks(batch.column(text))]
             yield batch.filter(pa.array(~np.concatenate(rejected))) if rejected else batch
 
-    return df.mapInArrow(run, df.schema)
+    return df.mapInArrow(words.freed(run), df.schema)
 
 
 def held_out(key: Column) -> Column:

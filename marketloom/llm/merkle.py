@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketloom.llm import words
 from marketloom.session import materialise
 
 _PLACE_BITS = (1 << 33) - 1  # of monotonically_increasing_id(), within a partition
@@ -89,7 +90,7 @@ def _block_roots(placed: DataFrame, fanout: int, levels: int) -> DataFrame:
             )
 
     rows = placed.select("g", _block(width), "rank", "n", "leaf").repartition("g", "block").sortWithinPartitions("g", "block", "rank")
-    return rows.mapInArrow(run, f"g {kind}, block long, blocks long, digest string")
+    return rows.mapInArrow(words.freed(run), f"g {kind}, block long, blocks long, digest string")
 
 
 def _block(width: int) -> Column:
@@ -187,7 +188,7 @@ def _proved(placed: DataFrame, upper: DataFrame, fanout: int, levels: int, paths
     leaves = placed.select("g", _block(width), F.lit(1).alias("kind"), "rank", "n", "key", "leaf", "presented")
     heads = upper.select("g", "block", F.lit(0).alias("kind"), "subroot", "root", "path")
     both = leaves.unionByName(heads, allowMissingColumns=True).repartition("g", "block").sortWithinPartitions("g", "block", "kind", "rank")
-    return both.mapInArrow(run, f"key {kind}, leaf string, rank long, subroot string, root string, proof string, folded string{extra}")
+    return both.mapInArrow(words.freed(run), f"key {kind}, leaf string, rank long, subroot string, root string, proof string, folded string{extra}")
 
 
 def manifest(

@@ -134,7 +134,7 @@ def _sketches(source: DataFrame, kind: str, banding: Banding, size: int) -> Data
                     ["key", "print", "n", "class", "bands", "sketch"],
                 )
 
-    return source.mapInArrow(run, f"key {kind}, print long, n int, class {CLASS}, bands array<long>, sketch array<long>")
+    return source.mapInArrow(words.freed(run), f"key {kind}, print long, n int, class {CLASS}, bands array<long>, sketch array<long>")
 
 
 def confirm(pairs: DataFrame, held: DataFrame, percent: int, size: int) -> DataFrame:
@@ -151,7 +151,7 @@ def confirm(pairs: DataFrame, held: DataFrame, percent: int, size: int) -> DataF
                 good = pa.array([similar(x, y, percent) for x, y in zip(*sets)], pa.bool_())
                 yield pa.RecordBatch.from_arrays([part.column("a").filter(good), part.column("b").filter(good)], ["a", "b"])
 
-    return both.mapInArrow(run, f"a {CLASS}, b {CLASS}")
+    return both.mapInArrow(words.freed(run), f"a {CLASS}, b {CLASS}")
 
 
 def _renamed(edges: DataFrame, labels: DataFrame) -> DataFrame:
@@ -213,7 +213,7 @@ def _unshared(held: DataFrame, size: int) -> DataFrame:
                 row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
                 yield pa.RecordBatch.from_arrays([part.column("class").take(pa.array(row)), texts.signed(np.concatenate(sets))], ["class", "shingle"])
 
-    shingles = held.mapInArrow(run, f"class {CLASS}, shingle long")
+    shingles = held.mapInArrow(words.freed(run), f"class {CLASS}, shingle long")
     once = shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("k"), F.min("class").alias("class")).filter("k = 1")
     return once.groupBy("class").agg(F.count(F.lit(1)).alias("alone"))
 

@@ -207,5 +207,5 @@ def periodic_runs(
                 )
 
     kind = source.schema["key"].dataType.simpleString()
-    found = source.mapInArrow(run, f"key {kind}, n_words long, runs {RUNS}, collapsed string")
+    found = source.mapInArrow(words.freed(run), f"key {kind}, n_words long, runs {RUNS}, collapsed string")
     return found.withColumnRenamed("key", key)

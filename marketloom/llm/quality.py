@@ -101,7 +101,7 @@ def statistics(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
                 )
 
     kind = source.schema["key"].dataType.simpleString()
-    return source.mapInArrow(run, f"key {kind}, stats array<double>").withColumnRenamed("key", key)
+    return source.mapInArrow(words.freed(run), f"key {kind}, stats array<double>").withColumnRenamed("key", key)
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -189,7 +189,7 @@ def fit(
             )
 
     source = labelled.select("stats", F.col("label").cast("double").alias("label"), F.col("fold").cast("int").alias("fold"))
-    lines = source.mapInArrow(sums, "fold int, line int, part array<double>")
+    lines = source.mapInArrow(words.freed(sums), "fold int, line int, part array<double>")
     added = lines.groupBy("fold", "line").agg(vector_to_array(Summarizer.sum(array_to_vector("part"))).alias("part"))
     normal = np.zeros((folds, features + 1, features + 2))
     for r in added.toLocalIterator():
@@ -212,7 +212,7 @@ def fit(
             step = np.round((np.clip(raw, -0.5, 1.5) + 0.5) * bins / 2).astype(np.int32)
             yield pa.RecordBatch.from_arrays([pa.array(step), batch.column("label")], ["step", "label"])
 
-    counted = source.mapInArrow(judged, "step int, label double").groupBy("step").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("positive"))
+    counted = source.mapInArrow(words.freed(judged), "step int, label double").groupBy("step").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("positive"))
     rows = sorted(tuple(r) for r in counted.collect())
     step, n, positive = (np.array(x, np.float64) for x in zip(*rows))
     return Model(space, weights, *isotonic(step * 2 / bins - 0.5, n, positive))
@@ -227,7 +227,7 @@ def score(stats: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(model.scores(_matrix(batch.column("stats"))))], ["key", "score"])
 
     kind = source.schema["key"].dataType.simpleString()
-    return source.mapInArrow(run, f"key {kind}, score double").withColumnRenamed("key", key)
+    return source.mapInArrow(words.freed(run), f"key {kind}, score double").withColumnRenamed("key", key)
 
 
 def classify(

@@ -101,7 +101,7 @@ def _blocks(source: DataFrame, length: int, kind: str) -> DataFrame:
                     ["key", "print", "start", "windows", "lead", "anchor", "content"],
                 )
 
-    return source.mapInArrow(run, f"key {kind}, print long, start int, windows smallint, lead smallint, anchor long, content long")
+    return source.mapInArrow(words.freed(run), f"key {kind}, print long, start int, windows smallint, lead smallint, anchor long, content long")
 
 
 def _edge_windows(asked: DataFrame, length: int) -> DataFrame:
@@ -134,7 +134,7 @@ def _edge_windows(asked: DataFrame, length: int) -> DataFrame:
                     ["anchor", "content", "copies", "step", "offset", "window"],
                 )
 
-    return asked.mapInArrow(run, "anchor long, content long, copies long, step smallint, offset smallint, window long")
+    return asked.mapInArrow(words.freed(run), "anchor long, content long, copies long, step smallint, offset smallint, window long")
 
 
 def _repeated_blocks(blocks: DataFrame, packed: DataFrame, length: int) -> DataFrame:
@@ -199,7 +199,7 @@ def _kept(joined: DataFrame, length: int, kind: str) -> DataFrame:
                     ["key", "n_words", "spans", "kept"],
                 )
 
-    return joined.mapInArrow(run, f"key {kind}, n_words long, spans array<struct<start:int,end:int>>, kept string")
+    return joined.mapInArrow(words.freed(run), f"key {kind}, n_words long, spans array<struct<start:int,end:int>>, kept string")
 
 
 def repeated_spans(df: DataFrame, key: str = "doc_id", text: str = "text", length: int = 35) -> DataFrame:

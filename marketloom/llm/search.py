@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketloom.llm import words
 from marketloom.session import materialise
 
 QUERIES_PER_PASS = 1_024
@@ -101,7 +102,7 @@ def _basis(vectors: DataFrame, dim: int) -> np.ndarray:
             total += v.T @ v
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(dim * dim, dtype=np.int32)), pa.array(total.ravel())], ["cell", "part"])
 
-    cells = vectors.select("v").mapInArrow(run, "cell int, part double").groupBy("cell").agg(F.sum("part").alias("s")).collect()
+    cells = vectors.select("v").mapInArrow(words.freed(run), "cell int, part double").groupBy("cell").agg(F.sum("part").alias("s")).collect()
     total = np.zeros(dim * dim)
     for cell, s in cells:
         total[cell] = s
@@ -160,6 +161,6 @@ def top_inner_products(
                     ["query_id", "spot", "vec_id", "score"],
                 )
 
-            out = out.unionByName(same.select("id", "v").mapInArrow(run, schema))
+            out = out.unionByName(same.select("id", "v").mapInArrow(words.freed(run), schema))
     order = Window.partitionBy("query_id", "spot").orderBy(F.col("score").desc(), "vec_id")
     return out.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketloom.llm import words
+
 # The base kinds, in the order in which spans of one start are listed.
 _ASSIGN = re.compile(
     r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])"""
@@ -149,7 +151,7 @@ def scan_secrets(df: DataFrame, key: str = "doc_id", text: str = "text", thresho
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(rows, _SPANS_ARROW)], ["key", "found"])
 
     kind = source.schema["key"].dataType.simpleString()
-    return source.mapInArrow(scan, f"key {kind}, found {SPANS}").withColumnRenamed("key", key)
+    return source.mapInArrow(words.freed(scan), f"key {kind}, found {SPANS}").withColumnRenamed("key", key)
 
 
 def spans_text(spans: Column) -> Column:

@@ -48,7 +48,7 @@ def packed(source: DataFrame, kind: str) -> DataFrame:
                     ["key", "print", "packed"],
                 )
 
-    return source.mapInArrow(run, f"key {kind}, print long, packed binary")
+    return source.mapInArrow(words.freed(run), f"key {kind}, print long, packed binary")
 
 
 def printed(df: DataFrame, text: str, name: str) -> DataFrame:
@@ -60,7 +60,7 @@ def printed(df: DataFrame, text: str, name: str) -> DataFrame:
             own = signed(np.concatenate(prints)) if prints else pa.array([], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns, own], [*batch.schema.names, name])
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(name, T.LongType())]))
+    return df.mapInArrow(words.freed(run), T.StructType([*df.schema.fields, T.StructField(name, T.LongType())]))
 
 
 def unpacked(batch: pa.RecordBatch, rows: int = 256) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:

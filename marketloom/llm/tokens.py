@@ -211,7 +211,7 @@ def write_token_files(
             os.replace(f"{stem}.{k}.{attempt}", f"{stem}.{k}")
         yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "rows": pa.array([rows], pa.int64()), "tokens": pa.array([tokens], pa.int64())})
 
-    counts = ranged.mapInArrow(run, "part int, rows long, tokens long").collect()  # one row a part
+    counts = ranged.mapInArrow(words.freed(run), "part int, rows long, tokens long").collect()  # one row a part
     manifest, rows, tokens = [], 0, 0
     for x in sorted(counts):
         manifest.append({"part": x.part, "rows": x.rows, "tokens": x.tokens, "rows_before": rows, "tokens_before": tokens})
@@ -253,7 +253,7 @@ def read_token_files(spark: SparkSession, folder: str, parts: int) -> DataFrame:
                     )
                     a = b
 
-    return spark.range(0, parts, 1, max(1, parts)).mapInArrow(run, "key long, start long, tokens array<long>")
+    return spark.range(0, parts, 1, max(1, parts)).mapInArrow(words.freed(run), "key long, start long, tokens array<long>")
 
 
 def crc_of_tokens(df: DataFrame) -> DataFrame:
@@ -270,7 +270,7 @@ def crc_of_tokens(df: DataFrame) -> DataFrame:
                 ["key", "start", "n_tokens", "ids_crc32"],
             )
 
-    return df.mapInArrow(run, "key long, start long, n_tokens long, ids_crc32 long")
+    return df.mapInArrow(words.freed(run), "key long, start long, n_tokens long, ids_crc32 long")
 
 
 def new_folder(spark: SparkSession) -> str:

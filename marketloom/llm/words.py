@@ -7,7 +7,9 @@ object is made per word. A word is a maximal run of bytes other than
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -15,7 +17,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Rows are taken together up to this many bytes of text; a longer text is a chunk of its own.
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
+_BLOCK_BITS = 16  # prefix sums and powers are computed in blocks of this many bits of places
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -27,7 +30,6 @@ _SYMBOL = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint
 _SYMBOL_AGAIN = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _PLACE = _rng.integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15 | 5  # odd, and not 1 modulo 8
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def symbols() -> np.ndarray:
@@ -54,18 +56,57 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def powers(n: int, base: int = _BASE) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i < n."""
-    have = _powers.get(base)
-    if have is None or len(have[0]) < n:
-        size = max(n, CHUNK_BYTES + 1)
-        made = []
-        for b in (base, pow(base, -1, 2**64)):
-            p = np.full(size, b, np.uint64)
-            p[0] = 1
-            made.append(np.multiply.accumulate(p))
-        have = _powers[base] = (made[0], made[1])
-    return have[0][:n], have[1][:n]
+@lru_cache(maxsize=4)
+def _powers(base: int) -> np.ndarray:
+    """base**i modulo 2**64 over a block."""
+    p = np.full(1 << _BLOCK_BITS, base % 2**64, np.uint64)
+    p[0] = 1
+    return np.multiply.accumulate(p)
+
+
+def prefix_sums(values: np.ndarray, table: np.ndarray | None = None, base: int = _BASE) -> np.ndarray:
+    """Sums of value times base**place before each place, modulo 2**64 (one more at the end); ``table`` maps the values."""
+    up, step = _powers(base), pow(base, 1 << _BLOCK_BITS, 2**64)
+    sums = np.empty(len(values) + 1, np.uint64)
+    sums[0], scale = 0, 1
+    for a in range(0, len(values), 1 << _BLOCK_BITS):
+        part = values[a : a + (1 << _BLOCK_BITS)]
+        own = (part if table is None else table[part]) * up[: len(part)]
+        own *= np.uint64(scale)
+        own[0] = (int(own[0]) + int(sums[a])) % 2**64
+        np.cumsum(own, out=sums[a + 1 : a + 1 + len(part)])
+        scale = scale * step % 2**64
+    return sums
+
+
+def down(at: np.ndarray, base: int = _BASE) -> np.ndarray:
+    """base**-place modulo 2**64."""
+    inverse = pow(base, -1, 2**64)
+    low = _powers(inverse)[at & ((1 << _BLOCK_BITS) - 1)]
+    block = at >> _BLOCK_BITS
+    if not len(at) or not block.any():
+        return low
+    high = np.full(int(block.max()) + 1, pow(inverse, 1 << _BLOCK_BITS, 2**64), np.uint64)
+    high[0] = 1
+    return low * np.multiply.accumulate(high)[block]
+
+
+def release() -> None:
+    """Give memory that is no longer used back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def freed(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` for ``mapInArrow``; workers live on after a task, and without what it freed."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        release()
+
+    return whole
 
 
 def chunks(column: pa.Array | pa.ChunkedArray, limit: int = CHUNK_BYTES) -> Iterator[Chunk]:
@@ -117,11 +158,8 @@ def lowered(chunk: Chunk) -> Chunk:
 
 def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, again: bool = False) -> np.ndarray:
     """A 64-bit hash of each byte span, from prefix sums of a polynomial; ``again`` gives a second one."""
-    n = len(data)
-    up, down = powers(n + 1)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((_SYMBOL_AGAIN if again else _SYMBOL)[data] * up[:n], out=sums[1:])
-    return mix((sums[end] - sums[start]) * down[start])
+    sums = prefix_sums(data, _SYMBOL_AGAIN if again else _SYMBOL)
+    return mix((sums[end] - sums[start]) * down(start))
 
 
 def gram_hashes(words: np.ndarray, size: int) -> np.ndarray:
@@ -137,11 +175,8 @@ def gram_hashes(words: np.ndarray, size: int) -> np.ndarray:
 
 def long_hashes(words: np.ndarray, start: np.ndarray, end: np.ndarray, base: int = 0xD1342543DE82EF95) -> np.ndarray:
     """Hash of the word runs ``start`` to ``end``, of any length, from prefix sums."""
-    n = len(words)
-    up, down = powers(n + 1, base)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(words * up[:n], out=sums[1:])
-    return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
+    sums = prefix_sums(words, base=base)
+    return mix((sums[end] - sums[start]) * down(start, base) + (end - start).astype(np.uint64))
 
 
 def shingle_sets(hashes: np.ndarray, first: np.ndarray, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
