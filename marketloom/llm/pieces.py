@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -13,7 +14,7 @@ from pyspark.sql import types as T
 
 from marketloom.llm import words
 
-_KEPT_SEGMENTS = 50_000  # distinct segments a task keeps the lattices of
+_KEPT_SEGMENTS = 100_000  # distinct segments a worker keeps the lattices of; beyond, those met in one chunk only go
 _CHUNK_BYTES = 250_000
 _LONGEST = 1_024  # bytes of a segment whose lattice is kept; longer ones are gone through in blocks
 _BLOCK = 65_536  # bytes of such a block
@@ -101,21 +102,41 @@ class Sampler:
         self.clear()
 
     def clear(self) -> None:
-        self.place: dict[tuple[int, int], int] = {}
-        self.last = np.empty(0, np.int32)  # end node of each segment
+        # Segments by their first hash; places are bytes of all kept segments, each of which is a node after it.
+        self.one, self.two = np.empty(0, np.uint64), np.empty(0, np.uint64)
+        self.first, self.last = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.met = np.empty(0, np.int32)  # chunks
+        self.bytes = np.empty(0, np.uint8)
         self.node_arc = np.zeros(1, np.int32)  # first arc of each node, one more at the end
-        self.arc_from = np.empty(0, np.int32)  # -1: the start of a segment
+        self.arc_size = np.empty(0, np.int32)  # bytes
         self.arc_sum = np.empty(0, np.float64)  # cumulative probability within the node
         self.arc_id = np.empty(0, np.int32)  # -n for a character of n bytes
-        self.arc_byte = np.empty(0, np.int32)  # where those bytes are
-        self.bytes = np.empty(0, np.uint8)
+
+    def _keep(self, which: np.ndarray) -> None:
+        """Forget all segments but these."""
+        size = self.last[which] - self.first[which] + 1
+        end = np.cumsum(size)
+        nodes = np.repeat(self.first[which] - (end - size), size) + np.arange(end[-1] if len(end) else 0)
+        count = np.diff(self.node_arc)[nodes]
+        done = np.cumsum(count)
+        arcs = np.repeat(self.node_arc[nodes] - (done - count), count) + np.arange(done[-1] if len(done) else 0)
+        self.one, self.two, self.met = self.one[which], self.two[which], self.met[which]
+        self.first, self.last = end - size, end - 1
+        self.bytes = self.bytes[nodes]
+        self.node_arc = np.concatenate([[0], done]).astype(np.int32)
+        self.arc_size, self.arc_sum, self.arc_id = self.arc_size[arcs], self.arc_sum[arcs], self.arc_id[arcs]
+
+    def _find(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """Number of each segment, -1 if it is not kept."""
+        if not len(self.one):
+            return np.full(len(one), -1)
+        at = np.minimum(np.searchsorted(self.one, one), len(self.one) - 1)
+        return np.where((self.one[at] == one) & (self.two[at] == two), at, -1)
 
     def _arcs(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
         """(from, to, piece, log weight) of all arcs; positions are bytes of ``data``."""
         n = len(data)
-        up, down = words.powers(n + 1)
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(words.symbols()[data] * up[:n], out=sums[1:])
+        sums, down = words.prefix_sums(data, words.symbols()), words.down(np.arange(n))
         limit = np.repeat(end, end - start)
         begins = (data & 0xC0) != 0x80
         live = np.flatnonzero(begins)
@@ -141,16 +162,15 @@ class Sampler:
         a, b, i = (np.concatenate(x) for x in zip(*found))
         return a, b, i, np.where(i >= 0, self.pieces.log_p[np.maximum(i, 0)], -i * self.pieces.byte_log_p)
 
-    def _add(self, keys: list[tuple[int, int]], segments: list[bytes]) -> None:
-        data = np.frombuffer(b"".join(segments), np.uint8)
-        size = np.array([len(x) for x in segments], np.int64)
+    def _add(self, one: np.ndarray, two: np.ndarray, data: np.ndarray, size: np.ndarray) -> None:
+        """Keep the segments of ``size`` bytes each that ``data`` holds one after another, none of which is kept yet."""
         end = np.cumsum(size)
         start = end - size
         a, b, piece, weight = self._arcs(data, start, end)
         segment_start = np.repeat(start, size)
         # Arcs by the distance of their end from the segment's start, then by node.
         depth = b - segment_start[b - 1]
-        order = np.lexsort((-weight, b, depth))
+        order = np.argsort((depth * (len(data) + 1) + b) * (_LONGEST + 8) + (b - a))
         a, b, piece, weight, depth = a[order], b[order], piece[order], weight[order], depth[order]
         alpha = np.full(len(data) + 1, -np.inf)  # of the node after byte j - 1, at j; starts are handled apart
         chance = np.empty(len(a))
@@ -167,28 +187,31 @@ class Sampler:
             alpha[y[group]] = total
             chance[lo:hi] = np.exp(value - np.repeat(total, np.diff(np.append(group, len(y)))))
         chance[np.isnan(chance)] = 0.0
-        order = np.lexsort((-chance, b))  # likely arcs first
+        rare = ((1.0 - chance) * 2**20).astype(np.int64)
+        order = np.argsort(((b << 21) + rare) * (_LONGEST + 8) + (b - a))  # likely arcs first
         a, b, piece, chance = a[order], b[order], piece[order], chance[order]
         per_node = np.bincount(b, minlength=len(data) + 1)[1:]
         first = np.cumsum(per_node) - per_node
         sums = np.cumsum(chance)
         sums -= np.repeat(np.where(first > 0, sums[np.maximum(first - 1, 0)], 0.0), per_node)
-        nodes, bytes_before = len(self.node_arc) - 1, len(self.bytes)
-        came = np.where(a == segment_start[b - 1], -1, a - 1 + nodes)
-        for i, k in enumerate(keys, len(self.last)):
-            self.place[k] = i
-        self.last = np.concatenate([self.last, (end - 1 + nodes).astype(np.int32)])
+        before = len(self.bytes)
         self.node_arc = np.concatenate([self.node_arc[:-1], first + len(self.arc_id), [len(self.arc_id) + len(a)]]).astype(np.int32)
-        self.arc_from = np.concatenate([self.arc_from, came.astype(np.int32)])
+        self.arc_size = np.concatenate([self.arc_size, (b - a).astype(np.int32)])
         self.arc_sum = np.concatenate([self.arc_sum, sums])
         self.arc_id = np.concatenate([self.arc_id, piece.astype(np.int32)])
-        self.arc_byte = np.concatenate([self.arc_byte, (a + bytes_before).astype(np.int32)])
         self.bytes = np.concatenate([self.bytes, data])
-
-    def _draw(self, node: np.ndarray, seed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For each occurrence of a segment, given its end node, its arcs from the end to the start."""
-        place, arcs = [], []
-        who = np.arange(len(node))
+        one, two = np.concatenate([self.one, one]), np.concatenate([self.two, two])
+        order = np.argsort(one)
+        self.one, self.two = one[order], two[order]
+        self.first = np.concatenate([self.first, start + before])[order]
+        self.last = np.concatenate([self.last, end - 1 + before])[order]
+        self.met = np.concatenate([self.met, np.zeros(len(size), np.int32)])[order]
+
+    def _draw(self, known: np.ndarray, seed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each occurrence, by number of its segment, the arcs drawn from the start to the end, and their nodes."""
+        place, arcs, nodes = [], [], []
+        who = np.arange(len(known))
+        node, first = self.last[known], self.first[known]
         step = 0
         while len(who):
             u = (words.mix(seed[who] + np.uint64(step * _GOLDEN % 2**64)) >> np.uint64(11)).astype(np.float64) * 2.0**-53
@@ -199,13 +222,21 @@ class Sampler:
                 todo = todo[(self.arc_sum[arc[todo]] <= u[todo]) & (arc[todo] < stop[todo])]
             place.append(who)
             arcs.append(arc)
-            node = self.arc_from[arc]
-            on = node >= 0
-            who, node = who[on], node[on]
+            nodes.append(node)
+            node = node - self.arc_size[arc]
+            on = node >= first
+            who, node, first = who[on], node[on], first[on]
             step += 1
-        place, arcs = np.concatenate(place), np.concatenate(arcs)
-        order = np.argsort(place[::-1], kind="stable")  # by occurrence, the last arc drawn first
-        return place[::-1][order], arcs[::-1][order]
+        # By occurrence, the last arc drawn first: each one's arcs go before those of the occurrences after it.
+        count = np.zeros(len(known) + 1, np.int64)
+        for who in place:
+            count[who + 1] += 1
+        end = np.cumsum(count)[1:]
+        whose, out, at = np.empty(end[-1], np.int64), np.empty(end[-1], np.int64), np.empty(end[-1], np.int64)
+        for k, (who, arc, node) in enumerate(zip(place, arcs, nodes), 1):
+            spot = end[who] - count[who + 1] + (count[who + 1] - k)
+            whose[spot], out[spot], at[spot] = who, arc, node
+        return whose, out, at
 
     def _blocks(self, data: np.ndarray) -> list[tuple[int, int]]:
         """Where blocks of a segment begin and end, between characters."""
@@ -288,8 +319,11 @@ class Sampler:
         row_of_byte = np.repeat(np.arange(rows), np.diff(offsets))
         data[np.arange(len(chunk.data)) + row_of_byte + 1] = chunk.data
         offsets = offsets + np.arange(rows + 1)
-        if len(self.last) > _KEPT_SEGMENTS:
-            self.clear()
+        if len(self.one) > _KEPT_SEGMENTS:
+            kept = np.flatnonzero(self.met > 1)
+            if len(kept) > _KEPT_SEGMENTS // 2:
+                kept = np.sort(np.argsort(-self.met, kind="stable")[: _KEPT_SEGMENTS // 2])
+            self._keep(kept)
         cut = np.zeros(len(data), bool)
         cut[:-1] = (data[:-1] == 0x20) & (data[1:] != 0x20)
         line = data == 0x0A
@@ -302,22 +336,27 @@ class Sampler:
         code, _ = pd.factorize(one)
         first = np.empty(code.max() + 1, np.int64)
         first[code[::-1]] = np.arange(len(code))[::-1]
-        if not np.array_equal(two, two[first][code]):  # two segments of one hash
-            code, first = np.arange(len(start)), np.arange(len(start))
-        keys = list(zip(one[first].tolist(), two[first].tolist()))
+        if not np.array_equal(two, two[first][code]):  # two segments of one hash: take both hashes for one
+            code, first = _both(one, two)
+        one, two = one[first], two[first]
         long = end - start > _LONGEST
-        new = [(k, i) for k, i in zip(keys, first.tolist()) if k not in self.place and not long[i]]
-        if new:
-            raw = data.tobytes()
-            self._add([k for k, _ in new], [raw[start[i] : end[i]] for _, i in new])
+        short = np.flatnonzero(~long[first])
+        new = short[self._find(one[short], two[short]) < 0]
+        if len(new):
+            at = first[new]
+            size = end[at] - start[at]
+            done = np.cumsum(size)
+            self._add(one[new], two[new], data[np.repeat(start[at] - (done - size), size) + np.arange(done[-1])], size)
+        known = self._find(one, two)
+        self.met[known[known >= 0]] += 1
+        long = known[code] < 0  # or, if ever, two segments of one hash
         row = np.searchsorted(offsets, start, "right") - 1
         nth = np.arange(len(start)) - np.searchsorted(start, offsets)[row]
         seed = words.mix(seeds[row] + nth.astype(np.uint64) * np.uint64(0xD1342543DE82EF95))
         short = np.flatnonzero(~long)
         out, owner = np.empty(0, np.int64), np.empty(0, np.int64)
         if len(short):
-            known = np.array([self.place.get(k, -1) for k in keys])[code[short]]
-            place, arcs = self._draw(self.last[known], seed[short])
+            place, arcs, nodes = self._draw(known[code[short]], seed[short])
             piece = self.arc_id[arcs]
             count = np.where(piece < 0, -piece, 1)
             total = np.concatenate([[0], np.cumsum(count)])
@@ -325,7 +364,7 @@ class Sampler:
             lone = np.flatnonzero(out < 0)
             if len(lone):
                 arc = np.repeat(np.arange(len(arcs)), count)[lone]
-                out[lone] = self.pieces.byte_id[self.bytes[self.arc_byte[arcs[arc]] + lone - total[arc]]]
+                out[lone] = self.pieces.byte_id[self.bytes[nodes[arc] + 1 - count[arc] + lone - total[arc]]]
         if len(short) < len(start):
             outs, owners = [out], [owner]
             which = np.flatnonzero(long)
@@ -340,6 +379,17 @@ class Sampler:
         return out, np.searchsorted(owner, np.searchsorted(start, offsets))
 
 
+def _both(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    _, first, code = np.unique(np.column_stack([one, two]), axis=0, return_index=True, return_inverse=True)
+    return code.ravel(), first
+
+
+@lru_cache(maxsize=1)
+def _sampler(model: str, temperature: float) -> Sampler:
+    """One for all tasks of a worker; what it keeps does not change what is drawn."""
+    return Sampler(Pieces(model, temperature))
+
+
 def row_seeds(keys: pa.Array, seed: int) -> np.ndarray:
     """A 64-bit seed of each row from its key's text; null is a key like others."""
     named = keys.cast(pa.string()).fill_null("null")
@@ -367,8 +417,8 @@ def encode(
         raise ValueError(f"the input has columns {sorted(clash)}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = Pieces(model, temperature)
-        sampler = Sampler(table)
+        sampler = _sampler(model, temperature)
+        table = sampler.pieces
         for batch in batches:
             seeds = row_seeds(batch.column(key), seed)
             for chunk in words.chunks(batch.column(text), _CHUNK_BYTES):
@@ -380,7 +430,7 @@ def encode(
                     columns.append(pa.array(_decodes(table, ids, begin, chunk)))
                 yield pa.RecordBatch.from_arrays(columns, [*part.schema.names, *(f.name for f in added)])
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, *added]))
+    return df.mapInArrow(words.freed(run), T.StructType([*df.schema.fields, *added]))
 
 
 def _decodes(table: Pieces, ids: np.ndarray, begin: np.ndarray, chunk: words.Chunk) -> np.ndarray:
@@ -399,7 +449,7 @@ def decode(df: DataFrame, model: str, pieces: str = "pieces", to: str = "decoded
     """The rows of ``df``, with all columns, and the text of their pieces; null pieces give null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = Pieces(model, 1.0)
+        table = _sampler(model, 1.0).pieces
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
@@ -411,4 +461,4 @@ def decode(df: DataFrame, model: str, pieces: str = "pieces", to: str = "decoded
                 out = [None if x else raw[a + 1 : b].tobytes().decode() for a, b, x in zip(ends, ends[1:], null)]  # without the space before
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.string())], [*part.schema.names, to])
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(to, T.StringType())]))
+    return df.mapInArrow(words.freed(run), T.StructType([*df.schema.fields, T.StructField(to, T.StringType())]))
