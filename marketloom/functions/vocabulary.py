@@ -127,7 +127,7 @@ FOLDS = 5
 TRAIN_SHARE = 0.8
 MIN_MODEL_ROWS = 30
 LR_GRID = {"C": [0.01, 0.1, 1.0, 10.0], "elastic": [0.0, 0.5]}
-RF_GRID = {"trees": [100, 200], "depth": [4, 8], "min_leaf": [1, 2]}
+RF_GRID = {"trees": [100, 200], "depth": [4, 8], "min_split": [2, 5], "min_leaf": [1, 2]}
 MLP_GRID = {"hidden": [8, 16], "step": [0.05, 0.1], "epochs": [200, 300]}
 
 # Segmentation.

@@ -5,22 +5,16 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping, Sequence
 from itertools import product
-from multiprocessing.pool import ThreadPool
-
-from pyspark import inheritable_thread_target
-from pyspark.ml.classification import (
-    LogisticRegression,
-    MultilayerPerceptronClassifier,
-    RandomForestClassifier,
-)
+
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
 from marketloom.functions import vocabulary as V
-from marketloom.operators import metrics
+from marketloom.operators import many, metrics
 from marketloom.operators.features import zscore_apply, zscore_fit
 from marketloom.operators.split import stratified_folds, stratified_holdout
 
@@ -35,38 +29,40 @@ def settings(grid: Mapping[str, Sequence]) -> list[Params]:
     return [dict(zip(grid, values)) for values in product(*grid.values())]
 
 
-def classifier(kind: str, params: Mapping[str, float], width: int, rows: int, seed: int = V.SEED):
-    """The estimator of one setting; inputs are ``features`` and ``label``.
+def train(kind: str, rows: DataFrame, grid: Sequence[Mapping[str, float]], folds: Sequence[int], width: int, seed: int = V.SEED):
+    """One model for each setting and fold, setting by setting, trained together (``operators.many``).
 
-    ``C`` is the inverse penalty of a summed loss, hence ``regParam = 1 / (C n)``
-    for Spark's mean loss. The network is Spark's one-hidden-layer perceptron
-    with plain gradient descent.
+    ``C`` is the inverse penalty of the summed logistic loss, ``elastic`` the
+    share of its L1 part. Forests draw rows by Poisson weights and try
+    sqrt(width) features a node. The network has one layer of tanh units and
+    plain gradient descent. Runs the passes.
     """
     if kind == LR:
-        return LogisticRegression(
-            regParam=1.0 / (params.get("C", 1.0) * max(rows, 1)),
-            elasticNetParam=params.get("elastic", 0.0),
-            standardization=False,
-            maxIter=1000,
-        )
+        penalties = [(p.get("elastic", 0.0) / p.get("C", 1.0), (1.0 - p.get("elastic", 0.0)) / p.get("C", 1.0)) for p in grid]
+        return many.fit_linear(rows, penalties, folds, width)
     if kind == RF:
-        return RandomForestClassifier(
-            numTrees=params.get("trees", 200),
-            maxDepth=params.get("depth", 6),
-            minInstancesPerNode=params.get("min_leaf", 1),
-            seed=seed,
-        )
+        return many.fit_forest(rows, [(p.get("trees", 200), p.get("depth", 6), p.get("min_leaf", 1), p.get("min_split", 2)) for p in grid], folds, width, seed)
     if kind == MLP:
-        return MultilayerPerceptronClassifier(
-            layers=[width, params.get("hidden", 8), 2],
-            solver="gd",
-            stepSize=params.get("step", 0.1),
-            maxIter=params.get("epochs", 300),
-            seed=seed,
-        )
+        return many.fit_networks(rows, [(p.get("hidden", 8), p.get("step", 0.1), p.get("epochs", 300)) for p in grid], folds, width, seed)
     raise ValueError(f"unknown classifier {kind!r}")
 
 
+def training_rows(df: DataFrame, fold_col: str | None = None) -> DataFrame:
+    """The rows that ``train`` takes, of ``features`` (vector or array), ``label`` and perhaps a fold.
+
+    ``row`` tells rows apart when a forest draws them; without such a column
+    their place in ``df`` does, which then has to be stored.
+    """
+    row = F.col("row") if "row" in df.columns else F.monotonically_increasing_id()
+    vector = not isinstance(df.schema["features"].dataType, T.ArrayType)
+    return df.select(
+        row.cast("long").alias("row"),
+        F.col("label").cast("double").alias("label"),
+        (F.col(fold_col) if fold_col else F.lit(0)).cast("int").alias("fold"),
+        (vector_to_array("features") if vector else F.col("features")).alias("features"),
+    )
+
+
 def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """``df`` with the dense inputs as one vector column ``features``."""
     metrics.check_names(features)
@@ -78,58 +74,40 @@ def compact(df: DataFrame, rows: int, rows_per_task: int = 50_000) -> DataFrame:
     return df.coalesce(max(1, -(-rows // rows_per_task)))
 
 
-def fit_predict(
-    kind: str, train: DataFrame, test: DataFrame, params: Mapping[str, float], width: int, rows: int, seed: int = V.SEED
-) -> DataFrame:
-    """``test`` with the probability of class 1 as ``score``. Runs the fit."""
-    model = classifier(kind, params, width, rows, seed).fit(train)
-    scored = model.transform(test)
-    return scored.select(*test.columns, vector_to_array("probability")[1].alias("score"))
+def fit_predict(kind: str, train_on: DataFrame, test: DataFrame, params: Mapping[str, float], width: int, seed: int = V.SEED) -> DataFrame:
+    """(label, score) of ``test``: the probability of class 1 by a model of all rows of ``train_on``. Runs the fit."""
+    model = train(kind, training_rows(train_on), [params], [many.ALL], width, seed)
+    return many.scored(training_rows(test), model).select("label", F.col("scores")[0].alias("score"))
 
 
-def grid_search(
-    df: DataFrame,
-    kind: str,
-    grid: Mapping[str, Sequence],
-    width: int,
-    fold_col: str = "fold",
-    seed: int = V.SEED,
-    parallelism: int = 8,
-) -> DataFrame:
+def grid_search(df: DataFrame, kind: str, grid: Mapping[str, Sequence], width: int, fold_col: str = "fold", seed: int = V.SEED) -> DataFrame:
     """One row per setting and fold: (model, setting, params, fold, auc, accuracy).
 
     ``df`` has ``features``, ``label`` and a fold column, and should be cached.
-    The fits run ``parallelism`` at a time; all predictions are then ranked
-    together, grouped by setting and fold, and not rounded, so that close settings
-    do not tie. A fold with one class has a NULL auc.
-    Runs jobs; what comes back to the driver is one row per setting and fold.
+    All settings and folds are trained in the same passes; each row then gets
+    its score from every setting's model that left its fold out. Figures are
+    not rounded, so that close settings do not tie. A fold with one class has
+    a NULL auc. Runs jobs; what comes back to the driver is models and one row
+    per setting and fold.
     """
-    sizes = dict(df.groupBy(fold_col).count().collect())
-    total = sum(sizes.values())
-
-    def run(task):
-        (position, params), fold = task
-        inside = F.col(fold_col) == fold
-        predicted = fit_predict(kind, df.filter(~inside), df.filter(inside), params, width, total - sizes[fold], seed)
-        return predicted.select(F.lit(position).alias("setting"), F.col(fold_col).alias("fold"), "score", "label")
-
-    tasks = list(product(enumerate(settings(grid)), sorted(sizes)))
-    with ThreadPool(min(parallelism, len(tasks))) as pool:
-        parts = pool.map(inheritable_thread_target(df.sparkSession)(run), tasks)
-    together = parts[0]
-    for part in parts[1:]:
-        together = together.unionByName(part)
-    named = together.withColumns({"model": F.col("setting").cast("string"), "fold": (F.col("fold") + 1).cast("string")})
+    rows = training_rows(df, fold_col)
+    folds = sorted(r[0] for r in rows.select("fold").distinct().collect())
+    listed = settings(grid)
+    model = train(kind, rows, listed, folds, width, seed)
+    own = F.array_position(F.array(*[F.lit(f) for f in folds]), F.col("fold")).cast("int") - 1
+    each = F.transform(F.sequence(F.lit(0), F.lit(len(listed) - 1)), lambda s: F.col("scores")[s * len(folds) + F.col("own")])
+    found = many.scored(rows, model).withColumn("own", own).select("label", "fold", F.posexplode(each).alias("setting", "score"))
+    named = found.select(F.col("setting").cast("string").alias("model"), (F.col("fold") + 1).cast("string").alias("fold"), "score", "label")
     # The metrics pass over the predictions several times; the models run once.
-    predictions = named.select("model", "fold", "score", "label").persist(StorageLevel.MEMORY_AND_DISK)
+    predictions = named.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         measured = metrics.model_table(predictions, digits=None).collect()
     finally:
         predictions.unpersist()
-    params = [json.dumps(p) for p in settings(grid)]
-    listed = [(kind, int(r["model"]), params[int(r["model"])], r["fold"], r["auc"], r["accuracy"]) for r in measured]
+    params = [json.dumps(p) for p in listed]
+    table = [(kind, int(r["model"]), params[int(r["model"])], r["fold"], r["auc"], r["accuracy"]) for r in measured]
     return df.sparkSession.createDataFrame(
-        listed, "model string, setting int, params string, fold string, auc double, accuracy double"
+        table, "model string, setting int, params string, fold string, auc double, accuracy double"
     )
 
 
@@ -144,22 +122,23 @@ def best_setting(results: DataFrame) -> tuple[Params, float | None]:
     return (json.loads(top[0]["params"]), top[0]["auc"]) if top else ({}, None)
 
 
-def feature_importance(train: DataFrame, features: Sequence[str], rows: int, seed: int = V.SEED) -> DataFrame:
+def feature_importance(train_on: DataFrame, features: Sequence[str], seed: int = V.SEED) -> DataFrame:
     """(model, feature, value, rank): coefficients and forest importances.
 
     Both models have fixed settings; ``rank`` is by absolute value within the
-    model, since the two scales do not compare. ``train`` holds the standardised
-    vector as ``scaled`` and the raw one as ``features``.
+    model, since the two scales do not compare. ``train_on`` holds the
+    standardised vector as ``scaled`` and the raw one as ``features``.
     """
     width = len(features)
-    linear = classifier(LR, {"C": 1.0}, width, rows, seed).setFeaturesCol("scaled").fit(train)
-    forest = classifier(RF, {"trees": 200, "depth": 8}, width, rows, seed).fit(train)
-    values = [("LR", f, float(v)) for f, v in zip(features, linear.coefficients.toArray())]
-    values += [("RF", f, float(v)) for f, v in zip(features, forest.featureImportances.toArray())]
+    raw = training_rows(train_on)
+    linear = train(LR, training_rows(train_on.drop("features").withColumnRenamed("scaled", "features")), [{"C": 1.0}], [many.ALL], width, seed)
+    forest = train(RF, raw, [{"trees": 200, "depth": 8}], [many.ALL], width, seed)
+    values = [("LR", f, float(v)) for f, v in zip(features, linear.weights[0])]
+    values += [("RF", f, float(v)) for f, v in zip(features, forest.importances(width))]
     ranked = [
         (m, f, v, sum(1 for n, g, w in values if n == m and (-abs(w), g) < (-abs(v), f)) + 1) for m, f, v in values
     ]
-    return train.sparkSession.createDataFrame(ranked, "model string, feature string, value double, rank int")
+    return train_on.sparkSession.createDataFrame(ranked, "model string, feature string, value double, rank int")
 
 
 def top_importances(importances: DataFrame, n: int = 10) -> DataFrame:
@@ -175,7 +154,6 @@ def run_models(
     grids: Mapping[str, Mapping[str, Sequence]] = GRIDS,
     k: int = V.FOLDS,
     seed: int = V.SEED,
-    parallelism: int = 8,
 ) -> tuple[DataFrame, DataFrame] | None:
     """Tuned cross-validation and hold-out results, and importances.
 
@@ -197,7 +175,7 @@ def run_models(
         def prepare(part: DataFrame, *keep: str) -> DataFrame:
             raw = assemble(part, features).withColumnRenamed("features", "raw")
             scaled = assemble(zscore_apply(raw, stats, features, eps=1e-9), features)
-            ready = scaled.select("label", *keep, "raw", F.col("features").alias("scaled"))
+            ready = scaled.select(F.xxhash64(id_col).alias("row"), "label", *keep, "raw", F.col("features").alias("scaled"))
             return compact(ready, rows).persist(StorageLevel.MEMORY_AND_DISK)
 
         folds = prepare(stratified_folds(train.drop("is_train"), id_col, "label", k, seed), "fold")
@@ -207,24 +185,24 @@ def run_models(
             for kind, grid in grids.items():
                 # Trees do not depend on the scale of their inputs.
                 vector = "raw" if kind == RF else "scaled"
-                inputs = folds.select("label", "fold", F.col(vector).alias("features"))
-                searched = grid_search(inputs, kind, grid, len(features), seed=seed, parallelism=parallelism)
+                inputs = folds.select("row", "label", "fold", F.col(vector).alias("features"))
+                searched = grid_search(inputs, kind, grid, len(features), seed=seed)
                 params, _ = best_setting(searched)
                 if not params:
                     # No fold has an AUC: report the folds at the defaults.
-                    searched = grid_search(inputs, kind, {}, len(features), seed=seed, parallelism=parallelism)
+                    searched = grid_search(inputs, kind, {}, len(features), seed=seed)
                 wanted = F.lit(json.dumps(params))
                 chosen = searched.filter(F.col("params") == wanted).select("model", "fold", "auc", "accuracy")
                 cv = metrics.rounded(chosen)
-                outside = held.select("label", F.col(vector).alias("features"))
-                predicted = fit_predict(kind, inputs, outside, params, len(features), rows, seed)
+                outside = held.select("row", "label", F.col(vector).alias("features"))
+                predicted = fit_predict(kind, inputs, outside, params, len(features), seed)
                 named = predicted.select(F.lit(kind).alias("model"), F.lit("holdout").alias("fold"), "score", "label")
                 part = cv.unionByName(metrics.model_table(named))
                 # The result is a handful of rows; fixing them here frees the caches.
                 fixed = df.sparkSession.createDataFrame(part.collect(), part.schema)
                 results = fixed if results is None else results.unionByName(fixed)
             importances = feature_importance(
-                folds.select("label", "scaled", F.col("raw").alias("features")), features, rows, seed
+                folds.select("row", "label", "scaled", F.col("raw").alias("features")), features, seed
             )
         finally:
             folds.unpersist()

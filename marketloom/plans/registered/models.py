@@ -316,18 +316,70 @@ def customer_labels(spark, sf_dir):
     return orders.join(customers, "custkey").select("custkey", *MODEL_FEATURES, label.alias("label"))
 
 
-@SET.add("model_cv")
-def model_cv(spark, sf_dir):
-    """No oracle: fitted models, every setting of the full grids."""
+def folded_customers(spark, sf_dir):
+    """Labelled customers in folds, standardised and cached, and the number of rows."""
     folded = SP.stratified_folds(customer_labels(spark, sf_dir), "custkey", "label")
     stats = FE.zscore_fit(folded, MODEL_FEATURES)
     scaled = FE.zscore_apply(folded, stats, MODEL_FEATURES, eps=1e-9)
-    inputs = ML.assemble(scaled, MODEL_FEATURES).select("features", F.col("label").cast("double"), "fold")
-    inputs = ML.compact(inputs, folded.count()).persist()
-    parts = [ML.grid_search(inputs, kind, grid, len(MODEL_FEATURES)) for kind, grid in ML.GRIDS.items()]
+    inputs = ML.assemble(scaled, MODEL_FEATURES).select(F.xxhash64("custkey").alias("row"), "features", F.col("label").cast("double"), "fold")
+    return ML.compact(inputs, folded.count()).persist()
+
+
+@SET.add("model_cv")
+def model_cv(spark, sf_dir):
+    """No oracle: fitted models, every setting of the full grids."""
+    inputs = folded_customers(spark, sf_dir)
+    try:
+        parts = [ML.grid_search(inputs, kind, grid, len(MODEL_FEATURES)) for kind, grid in ML.GRIDS.items()]
+    finally:
+        inputs.unpersist()
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+# Customers with orders, in folds as above.
+_FOLDED_SQL = """
+SELECT (row_number() OVER (PARTITION BY label ORDER BY md5('42|' || custkey), custkey) - 1) % 5 AS fold
+FROM (SELECT o_custkey AS custkey, CASE WHEN AVG(CASE WHEN o_orderstatus = 'F' THEN 1.0::DOUBLE ELSE 0 END) >= 0.35 THEN 1 ELSE 0 END AS label
+      FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY 1)
+"""
+
+
+@SET.add(
+    "logistic_optimality",
+    f"""
+    SELECT CAST(s AS INTEGER) AS setting, CAST(f AS INTEGER) AS fold, (SELECT COUNT(*) FROM ({_FOLDED_SQL}) WHERE fold <> f) AS n,
+           0.0::DOUBLE AS worst
+    FROM range({len(ML.settings(ML.GRIDS[ML.LR]))}) a(s), range(5) b(f)
+    """,
+)
+def logistic_optimality(spark, sf_dir):
+    """Per setting and fold, how far the fitted weights are from optimal, per row: by SQL over all rows, and 0 to six digits."""
+    width, grid = len(MODEL_FEATURES), ML.settings(ML.GRIDS[ML.LR])
+    inputs = folded_customers(spark, sf_dir)
+    rows = ML.training_rows(inputs, "fold")
+    folds = list(range(5))
+    try:
+        model = ML.train(ML.LR, rows, grid, folds, width)
+    finally:
+        inputs.unpersist()
+    stored = [(i // 5, i % 5, w.tolist(), float(a), float(b)) for i, (w, a, b) in enumerate(zip(model.weights, model.l1, model.l2))]
+    models = spark.createDataFrame(stored, "setting int, left int, w array<double>, l1 double, l2 double")
+    x = F.concat("features", F.array(F.lit(1.0)))
+    z = F.aggregate(F.zip_with("x", "w", lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
+    pairs = rows.withColumn("x", x).join(F.broadcast(models), F.col("fold") != F.col("left"))  # a row for each of the grid's models
+    off = pairs.withColumn("off", F.lit(1.0) / (F.lit(1.0) + F.exp(-z)) - F.col("label"))
+    sums = off.groupBy("setting", "left", "w", "l1", "l2").agg(F.count(F.lit(1)).alias("n"), *[F.sum(F.col("x")[j] * F.col("off")).alias(f"g{j}") for j in range(width + 1)])
+
+    def wrong(j: int):
+        w = F.col("w")[j]
+        slope = F.col(f"g{j}") + F.col("l2") * w
+        at_zero = F.greatest(F.abs(slope) - F.col("l1"), F.lit(0.0))
+        return F.abs(F.col(f"g{width}")) if j == width else F.when(w == 0, at_zero).otherwise(F.abs(slope + F.col("l1") * F.signum(w)))
+
+    worst = F.greatest(*[wrong(j) for j in range(width + 1)]) / F.col("n")
+    return sums.select("setting", F.col("left").alias("fold"), "n", F.round(worst, 6).alias("worst"))
+
+
 @SET.add("model_holdout")
 def model_holdout(spark, sf_dir):
     """No oracle: tuned on the training share, measured on the hold-out."""
@@ -337,12 +389,15 @@ def model_holdout(spark, sf_dir):
 
 @SET.add("feature_importance")
 def feature_importance(spark, sf_dir):
-    """No oracle: ranked coefficients and forest importances."""
-    rows = customer_labels(spark, sf_dir)
-    raw = ML.assemble(rows, MODEL_FEATURES)
-    scaled = FE.zscore_apply(raw.withColumnRenamed("features", "raw"), FE.zscore_fit(rows, MODEL_FEATURES), MODEL_FEATURES, eps=1e-9)
+    """No oracle: ranked coefficients and forest importances, on the training share of the hold-out split."""
+    split = SP.stratified_holdout(customer_labels(spark, sf_dir), "custkey", "label").filter("is_train")
+    raw = ML.assemble(split, MODEL_FEATURES)
+    scaled = FE.zscore_apply(raw.withColumnRenamed("features", "raw"), FE.zscore_fit(split, MODEL_FEATURES), MODEL_FEATURES, eps=1e-9)
     inputs = ML.assemble(scaled, MODEL_FEATURES).select(
-        F.col("label").cast("double"), F.col("features").alias("scaled"), F.col("raw").alias("features")
+        F.xxhash64("custkey").alias("row"), F.col("label").cast("double"), F.col("features").alias("scaled"), F.col("raw").alias("features")
     )
-    n = rows.count()
-    return ML.top_importances(ML.feature_importance(ML.compact(inputs, n).persist(), MODEL_FEATURES, n))
+    inputs = ML.compact(inputs, split.count()).persist()
+    try:
+        return ML.top_importances(ML.feature_importance(inputs, MODEL_FEATURES))
+    finally:
+        inputs.unpersist()
