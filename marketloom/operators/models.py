@@ -74,12 +74,6 @@ def compact(df: DataFrame, rows: int, rows_per_task: int = 50_000) -> DataFrame:
     return df.coalesce(max(1, -(-rows // rows_per_task)))
 
 
-def fit_predict(kind: str, train_on: DataFrame, test: DataFrame, params: Mapping[str, float], width: int, seed: int = V.SEED) -> DataFrame:
-    """(label, score) of ``test``: the probability of class 1 by a model of all rows of ``train_on``. Runs the fit."""
-    model = train(kind, training_rows(train_on), [params], [many.ALL], width, seed)
-    return many.scored(training_rows(test), model).select("label", F.col("scores")[0].alias("score"))
-
-
 def grid_search(df: DataFrame, kind: str, grid: Mapping[str, Sequence], width: int, fold_col: str = "fold", seed: int = V.SEED) -> DataFrame:
     """One row per setting and fold: (model, setting, params, fold, auc, accuracy).
 
@@ -90,12 +84,21 @@ def grid_search(df: DataFrame, kind: str, grid: Mapping[str, Sequence], width: i
     a NULL auc. Runs jobs; what comes back to the driver is models and one row
     per setting and fold.
     """
+    return searched(df, kind, grid, width, fold_col, seed)[0]
+
+
+def searched(df: DataFrame, kind: str, grid: Mapping[str, Sequence], width: int, fold_col: str = "fold", seed: int = V.SEED, whole: bool = False):
+    """The table of ``grid_search`` and, with ``whole``, a function that scores other rows.
+
+    The function takes (rows, setting) and gives (label, score) by that
+    setting's model of all rows of ``df``, which is trained along.
+    """
     rows = training_rows(df, fold_col)
     folds = sorted(r[0] for r in rows.select("fold").distinct().collect())
-    listed = settings(grid)
-    model = train(kind, rows, listed, folds, width, seed)
+    listed, trained = settings(grid), [*folds, *[many.ALL] * whole]
+    model = train(kind, rows, listed, trained, width, seed)
     own = F.array_position(F.array(*[F.lit(f) for f in folds]), F.col("fold")).cast("int") - 1
-    each = F.transform(F.sequence(F.lit(0), F.lit(len(listed) - 1)), lambda s: F.col("scores")[s * len(folds) + F.col("own")])
+    each = F.transform(F.sequence(F.lit(0), F.lit(len(listed) - 1)), lambda s: F.col("scores")[s * len(trained) + F.col("own")])
     found = many.scored(rows, model).withColumn("own", own).select("label", "fold", F.posexplode(each).alias("setting", "score"))
     named = found.select(F.col("setting").cast("string").alias("model"), (F.col("fold") + 1).cast("string").alias("fold"), "score", "label")
     # The metrics pass over the predictions several times; the models run once.
@@ -106,10 +109,16 @@ def grid_search(df: DataFrame, kind: str, grid: Mapping[str, Sequence], width: i
         predictions.unpersist()
     params = [json.dumps(p) for p in listed]
     table = [(kind, int(r["model"]), params[int(r["model"])], r["fold"], r["auc"], r["accuracy"]) for r in measured]
-    return df.sparkSession.createDataFrame(
+    results = df.sparkSession.createDataFrame(
         table, "model string, setting int, params string, fold string, auc double, accuracy double"
     )
 
+    def predict(test: DataFrame, params: Mapping[str, float]) -> DataFrame:
+        place = listed.index(dict(params)) * len(trained) + len(folds)
+        return many.scored(training_rows(test), model).select("label", F.col("scores")[place].alias("score"))
+
+    return results, predict if whole else None
+
 
 def best_setting(results: DataFrame) -> tuple[Params, float | None]:
     """Setting with the highest mean AUC over its folds; the first one wins ties.
@@ -186,17 +195,16 @@ def run_models(
                 # Trees do not depend on the scale of their inputs.
                 vector = "raw" if kind == RF else "scaled"
                 inputs = folds.select("row", "label", "fold", F.col(vector).alias("features"))
-                searched = grid_search(inputs, kind, grid, len(features), seed=seed)
-                params, _ = best_setting(searched)
+                found, predict = searched(inputs, kind, grid, len(features), seed=seed, whole=True)
+                params, _ = best_setting(found)
                 if not params:
                     # No fold has an AUC: report the folds at the defaults.
-                    searched = grid_search(inputs, kind, {}, len(features), seed=seed)
+                    found, predict = searched(inputs, kind, {}, len(features), seed=seed, whole=True)
                 wanted = F.lit(json.dumps(params))
-                chosen = searched.filter(F.col("params") == wanted).select("model", "fold", "auc", "accuracy")
+                chosen = found.filter(F.col("params") == wanted).select("model", "fold", "auc", "accuracy")
                 cv = metrics.rounded(chosen)
                 outside = held.select("row", "label", F.col(vector).alias("features"))
-                predicted = fit_predict(kind, inputs, outside, params, len(features), seed)
-                named = predicted.select(F.lit(kind).alias("model"), F.lit("holdout").alias("fold"), "score", "label")
+                named = predict(outside, params).select(F.lit(kind).alias("model"), F.lit("holdout").alias("fold"), "score", "label")
                 part = cv.unionByName(metrics.model_table(named))
                 # The result is a handful of rows; fixing them here frees the caches.
                 fixed = df.sparkSession.createDataFrame(part.collect(), part.schema)
