@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
@@ -57,30 +55,106 @@ def lloyd_step(df: DataFrame, vector: str, centres: DataFrame, digits: int | Non
     )
 
 
+def hash_uniform(*parts: Column | str | int) -> Column:
+    """A number between 0 and 1 from the first 52 bits of the MD5 of the parts joined by ``|``."""
+    text = F.concat_ws("|", *[x.cast("string") if isinstance(x, Column) else F.lit(str(x)) for x in parts])
+    return (F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") + 0.5) / 2.0**52
+
+
+Centres = dict[int, list[list[float]]]
+
+
+def _nearest(centres: Column, digits: int) -> Column:
+    """(distance, segment) of the centre nearest to ``_z``; the lowest segment of equal ones."""
+    return F.array_min(
+        F.transform(centres, lambda c, i: F.struct(F.round(squared_distance(F.col("_z"), c), digits).alias("distance"), i.alias("segment")))
+    )
+
+
+def _by_seed(points: DataFrame, centres: Centres) -> DataFrame:
+    """Each point once for every seed, with the seed's centres."""
+    line = lambda c: F.array(*[F.lit(float(x)) for x in c])
+    listed = F.array(*[F.struct(F.lit(s).alias("seed"), F.array(*[line(c) for c in cs]).alias("centres")) for s, cs in centres.items()])
+    return points.withColumn("_run", F.explode(listed)).select("_id", "_z", F.col("_run.seed").alias("seed"), F.col("_run.centres").alias("centres"))
+
+
+def _seeded(points: DataFrame, k: int, seeds: Sequence[int], digits: int) -> Centres:
+    """First centres of every seed, each point drawn in proportion to its squared distance from those before.
+
+    A draw is a race: every point has an exponential time, from a hash of
+    seed, step and id, over its weight, and the first one wins. A task keeps
+    one point a seed. Points on a centre win only if all are.
+    """
+    one = points.select("_id", "_z", F.explode(F.array(*[F.lit(s) for s in seeds])).alias("seed"))
+    centres: Centres = {}
+    for step in range(k):
+        time = -F.log(hash_uniform(F.col("seed"), step, F.col("_id")))
+        if step:
+            one = _by_seed(points, centres)
+            distance = _nearest(F.col("centres"), digits)["distance"]
+            race = F.struct((distance == 0).alias("on"), F.when(distance > 0, time / distance).otherwise(time).alias("time"), F.col("_id"))
+        else:
+            race = F.struct(F.lit(False).alias("on"), time.alias("time"), F.col("_id"))
+        won = dict(one.groupBy("seed").agg(F.min_by("_z", race)).collect())
+        centres = {s: [*centres.get(s, []), won[s]] for s in seeds if s in won}
+        if not centres:
+            break  # no rows
+    return centres
+
+
+def _moved(points: DataFrame, centres: Centres, digits: int) -> Centres:
+    """One Lloyd step for all seeds in one pass; a centre nobody is nearest to stays."""
+    width = len(next(iter(centres.values()))[0])
+    placed = _by_seed(points, centres).withColumn("segment", _nearest(F.col("centres"), digits)["segment"])
+    means = placed.groupBy("seed", "segment").agg(F.array(*[F.round(F.avg(F.col("_z")[j]), digits) for j in range(width)]).alias("mean"))
+    after = {s: list(cs) for s, cs in centres.items()}
+    for r in means.collect():
+        after[r.seed][r.segment] = r["mean"]
+    return after
+
+
 def kmeans_segments(
     df: DataFrame,
     columns: Sequence[str],
     k: int = V.SEGMENTS,
     seeds: Sequence[int] = tuple(range(V.SEED, V.SEED + V.SEGMENT_RESTARTS)),
     iterations: int = V.SEGMENT_ITERATIONS,
+    key: str | None = None,
+    digits: int = 9,
 ) -> DataFrame:
     """``df`` with ``segment`` by K-Means on standardised columns.
 
-    One run per seed, the cheapest clustering wins. The standardised vectors
-    are kept in memory or on disk while the runs share them. Runs jobs.
+    Every seed starts from centres drawn in proportion to squared distances
+    and goes through Lloyd steps until none changes, or ``iterations`` of
+    them; all seeds share the passes. The clustering of least cost wins, the
+    first one of equal ones. Draws depend on ``key`` (default: a hash of the
+    whole row) and seed alone, and coordinates, distances and centres are
+    rounded to ``digits``, so that the result does not depend on the order of
+    sums. A missing value counts as its column's mean. The driver holds the
+    centres. Runs a job a step.
     """
     # Standardise copies, so that the result keeps the raw columns.
     copies = [f"_z_{c}" for c in columns]
     wide = df.withColumns({z: F.col(c) for z, c in zip(copies, columns)})
     scaled = zscore_apply(wide, zscore_fit(wide, copies), copies)
-    ready = VectorAssembler(inputCols=copies, outputCol="_features").transform(scaled)
-    vectors = ready.select("_features").persist(StorageLevel.MEMORY_AND_DISK)
+    z = F.array(*[F.coalesce(F.round(F.nanvl(F.col(c), F.lit(0.0)), digits), F.lit(0.0)) for c in copies])
+    ident = F.col(key) if key else F.xxhash64(*df.columns)
+    ready = scaled.withColumns({"_id": ident.cast("string"), "_z": z})
+    points = ready.select("_id", "_z").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        runs = []
-        for seed in seeds:
-            estimator = KMeans(k=k, seed=seed, maxIter=iterations, featuresCol="_features", predictionCol="segment")
-            model = estimator.fit(vectors)
-            runs.append((model.summary.trainingCost, seed, model))
+        centres = _seeded(points, k, seeds, digits)
+        if not centres:
+            return df.withColumn("segment", F.lit(None).cast("int"))
+        moving = centres
+        for _ in range(iterations):
+            after = _moved(points, moving, digits)
+            moving = {s: cs for s, cs in after.items() if cs != moving[s]}
+            centres = centres | after
+            if not moving:
+                break
+        cost = _by_seed(points, centres).groupBy("seed").agg(F.round(F.sum(_nearest(F.col("centres"), digits)["distance"]), 6).alias("cost"))
+        best = min(cost.collect(), key=lambda r: (r.cost, r.seed)).seed
     finally:
-        vectors.unpersist()
-    return min(runs, key=lambda r: r[:2])[2].transform(ready).select(*df.columns, "segment")
+        points.unpersist()
+    chosen = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in centres[best]])
+    return ready.withColumn("segment", _nearest(chosen, digits)["segment"]).select(*df.columns, "segment")

@@ -291,11 +291,43 @@ def segment_profile(spark, sf_dir):
     return reshape.segment_profile(customers, "segment", ["c_acctbal", "c_nationkey"])
 
 
-@SET.add("kmeans_segments")
+def _kmeans_sql(k: int = 4, seeds: range = range(42, 52), iterations: int = 50) -> str:
+    """The same draws and steps: centres by races, then Lloyd steps for all seeds, and the cheapest seed."""
+    uniform = lambda step: f"((('0x' || substr(md5(seed || '|{step}|' || c_custkey), 1, 13))::BIGINT + 0.5) / 4503599627370496.0::DOUBLE)"
+    far = "list_transform(centres, lambda c: ROUND(pow(z[1] - c[1], 2) + pow(z[2] - c[2], 2), 9))"
+    ctes = [
+        "s AS (SELECT AVG(c_acctbal) AS m1, STDDEV_POP(c_acctbal) AS s1, AVG(c_nationkey) AS m2, STDDEV_POP(c_nationkey) AS s2 FROM customer)",
+        "p AS (SELECT c_custkey, [ROUND((c_acctbal - m1) / s1, 9), ROUND((c_nationkey - m2) / s2, 9)] AS z FROM customer, s)",
+        f"d0 AS (SELECT seed, [z] AS centres FROM p, (SELECT unnest(range({seeds.start}, {seeds.stop})) AS seed) "
+        f"QUALIFY row_number() OVER (PARTITION BY seed ORDER BY -ln({uniform(0)}), c_custkey::VARCHAR) = 1)",
+    ]
+    for step in range(1, k):
+        time = f"-ln({uniform(step)})"
+        ctes.append(
+            f"d{step} AS (SELECT seed, list_append(centres, z) AS centres FROM (SELECT *, list_min({far}) AS d FROM p, d{step - 1}) "
+            f"QUALIFY row_number() OVER (PARTITION BY seed ORDER BY d = 0, CASE WHEN d > 0 THEN {time} / d ELSE {time} END, c_custkey::VARCHAR) = 1)"
+        )
+    mean = lambda i: (
+        f"CASE WHEN COUNT(*) FILTER (WHERE segment = {i}) > 0 THEN [ROUND(AVG(z[1]) FILTER (WHERE segment = {i}), 9), "
+        f"ROUND(AVG(z[2]) FILTER (WHERE segment = {i}), 9)] ELSE any_value(centres)[{i + 1}] END"
+    )
+    placed = f"SELECT *, list_position({far}, list_min({far})) - 1 AS segment, list_min({far}) AS d"
+    ctes.append(
+        f"lloyd AS (SELECT seed, 0 AS step, centres FROM d{k - 1} UNION ALL SELECT seed, step + 1, [{', '.join(map(mean, range(k)))}] "
+        f"FROM ({placed} FROM lloyd, p WHERE step < {iterations}) GROUP BY seed, step)"
+    )
+    ctes.append(f"ended AS (SELECT * FROM lloyd WHERE step = {iterations})")
+    ctes.append(f"best AS (SELECT seed FROM ({placed} FROM ended, p) GROUP BY seed ORDER BY ROUND(SUM(d), 6), seed LIMIT 1)")
+    return (
+        f"WITH RECURSIVE {', '.join(ctes)} SELECT c_custkey, c_acctbal, c_nationkey, CAST(segment AS INTEGER) AS segment "
+        f"FROM ({placed} FROM ended JOIN best USING (seed), p) JOIN customer USING (c_custkey)"
+    )
+
+
+@SET.add("kmeans_segments", _kmeans_sql())
 def kmeans_segments(spark, sf_dir):
-    """No oracle: iterative."""
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_nationkey")
-    return C.kmeans_segments(customers, ["c_acctbal", "c_nationkey"])
+    return C.kmeans_segments(customers, ["c_acctbal", "c_nationkey"], key="c_custkey")
 
 
 MODEL_FEATURES = ["log_total", "urgent", "year", "balance", "nation"]

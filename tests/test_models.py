@@ -91,6 +91,26 @@ def test_kmeans_separates_clusters(spark):
     assert all(len(g) == 1 for g in groups) and len(set.union(*groups)) == 3
 
 
+def test_kmeans_ends_at_a_fixed_point(spark):
+    """Every point is at its nearest mean, missing values and repeated points too; no rows give no rows."""
+    rng = random.Random(2)
+    rows = [(i, rng.gauss(i % 3 * 2, 1), rng.gauss(i % 2, 1)) for i in range(300)] + [(1000 + i, 0.5, 0.5) for i in range(100)]
+    df = spark.createDataFrame(rows, "id int, x double, y double")
+    got = C.kmeans_segments(df.repartition(5), ["x", "y"], k=5, seeds=(3, 4), key="id").collect()
+    again = C.kmeans_segments(df.coalesce(1), ["x", "y"], k=5, seeds=(3, 4), key="id").collect()
+    assert sorted(got) == sorted(again)
+    xs = [[r.x for r in got], [r.y for r in got]]
+    mean, sd = [sum(v) / 400 for v in xs], [(sum(a * a for a in v) / 400 - (sum(v) / 400) ** 2) ** 0.5 for v in xs]
+    z = [((r.x - mean[0]) / sd[0], (r.y - mean[1]) / sd[1]) for r in got]
+    groups = {s: [p for p, r in zip(z, got) if r.segment == s] for s in {r.segment for r in got}}
+    centre = {s: (sum(a for a, _ in g) / len(g), sum(b for _, b in g) / len(g)) for s, g in groups.items()}
+    far = lambda p, s: (p[0] - centre[s][0]) ** 2 + (p[1] - centre[s][1]) ** 2
+    assert all(far(p, r.segment) <= min(far(p, s) for s in centre) + 1e-6 for p, r in zip(z, got)) and len(centre) == 5
+    odd = spark.createDataFrame([(1, None, 1.0), (2, float("nan"), 1.0), (3, 1.0, 1.0)], "id int, x double, y double")
+    assert {r.segment for r in C.kmeans_segments(odd, ["x", "y"], k=4, seeds=(1,), key="id").collect()} <= set(range(4))
+    assert not C.kmeans_segments(odd.limit(0), ["x", "y"]).collect()
+
+
 def test_lloyd_steps_never_raise_the_cost(spark):
     rng = random.Random(5)
     rows = [(i, [rng.random(), rng.random(), rng.random()]) for i in range(80)]

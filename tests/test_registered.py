@@ -8,7 +8,7 @@ from tests import oracle
 
 SF = "/root/testdata/sf0.01"
 # Fitted models have no oracle and are tested on their own below.
-FITTED = {"model_cv", "model_holdout", "feature_importance", "kmeans_segments"}
+FITTED = {"model_cv", "model_holdout", "feature_importance"}
 
 
 @pytest.fixture(scope="module")
