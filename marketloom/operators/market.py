@@ -100,27 +100,36 @@ def base_vs_latest(
 
     The latest period is the last one with rows that satisfy ``real``; so are
     the base rows, while latest rows are taken whatever their provenance. Keys
-    missing in either period are dropped. One pass of conditional sums plus a
-    scalar subquery.
+    missing in either period are dropped.
+
+    ``df`` is read once if it ends in a shuffle, as ``period_totals`` does:
+    the latest period is a scalar subquery over the very same plan, whose
+    shuffle Spark reuses. So nothing is filtered before the sums, which
+    would make two plans of it; rows are few at this grain.
     """
-    known = df if real is None else df.filter(real)
-    latest = known.agg(F.max(period).alias("latest")).scalar()
     is_base = F.col(period) == F.lit(base)
     if real is not None:
         is_base = is_base & real
-    is_latest = F.col("_is_latest")
     return (
-        df.withColumn("_is_latest", F.col(period) == latest)
-        .filter(is_base | is_latest)
+        df.withColumn("_is_latest", F.col(period) == latest_period(df, period, value, keys, real))
         .groupBy(*keys)
         .agg(
             F.sum(F.when(is_base, F.col(value))).alias(base_as),
-            F.sum(F.when(is_latest, F.col(value))).alias(latest_as),
+            F.sum(F.when(F.col("_is_latest"), F.col(value))).alias(latest_as),
         )
         .filter(F.col(base_as).isNotNull() & F.col(latest_as).isNotNull())
     )
 
 
+def latest_period(df: DataFrame, period: str, value: str, keys: Sequence[str], real: Column | None = None) -> Column:
+    """The last period with rows that satisfy ``real``, as a scalar subquery that needs all columns of ``df``.
+
+    Column pruning would else give the subquery a plan, and scan, of its own.
+    """
+    wanted = F.col(period) if real is None else F.when(real, F.col(period))
+    return df.agg(F.struct(F.max(wanted).alias("latest"), F.max(F.struct(*keys, value)).alias("rest")).alias("s")).scalar()["latest"]
+
+
 def signal_rollup(
     df: DataFrame, keys: Sequence[str], reports: str, serious: str, limit: int | None = 20
 ) -> DataFrame:

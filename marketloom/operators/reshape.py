@@ -52,9 +52,15 @@ def top_per_group(df: DataFrame, group: str | Sequence[str], order: Sequence[Col
 
 
 def latest_top(df: DataFrame, period: str, value: str, n: int, ties: Sequence[str]) -> DataFrame:
-    """The ``n`` largest rows of the latest period."""
-    latest = df.agg(F.max(period).alias("latest")).scalar()
-    return df.filter(F.col(period) == latest).orderBy(F.desc(value), *ties).limit(n)
+    """The ``n`` largest rows of the latest period.
+
+    One pass: the first ``n`` rows by period and value, of which those of an
+    earlier period than the first are left out.
+    """
+    top = df.filter(F.col(period).isNotNull()).orderBy(F.desc(period), F.desc(value), *ties).limit(n)
+    latest = F.max(period).over(Window.partitionBy(F.lit(0)))  # over n rows
+    kept = top.withColumn("_latest", latest).filter(F.col(period) == F.col("_latest")).drop("_latest")
+    return kept.orderBy(F.desc(value), *ties)
 
 
 def segment_profile(df: DataFrame, segment: str, features: Sequence[str], digits: int = 4) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from marketloom import schemas
 from marketloom.functions import vocabulary as V
 from marketloom.functions.columns import text_or_empty
+from marketloom.sources.delimited import POSITION
 
 
 def time_dimension(sources: Sequence[DataFrame], period: str = "year") -> DataFrame:
@@ -71,27 +72,35 @@ def simulated_only(df: DataFrame) -> DataFrame:
 
 
 def sales_fact(sales: DataFrame, market: DataFrame) -> DataFrame:
-    """Brand sales plus the simulated market as a virtual brand, one row per key."""
+    """Brand sales plus the simulated market as a virtual brand, one row per key.
+
+    Of rows that agree in brand, region and period the first one in the input
+    stays if both sources carry ``POSITION``, as an insert that ignores known
+    keys would have it; without positions it is the one of smallest values.
+    """
     columns = schemas.FACT_SALES.fieldNames()
-    own = sales.withColumn("scripts_units", F.coalesce(F.col("scripts_units"), F.lit(0))).select(*columns, F.lit(0).alias("_source_rank"))
+    placed = [POSITION] if POSITION in sales.columns and POSITION in market.columns else []
+    own = sales.withColumn("scripts_units", F.coalesce(F.col("scripts_units"), F.lit(0)))
+    own = own.select(*columns, *placed, F.lit(0).alias("_source_rank"))
     virtual = conform(
         market,
         {"brand_id": V.MARKET_BRAND, "region_id": V.MARKET_REGION, "scripts_units": 0, "is_simulated": 1},
         {"revenue_usd_m": ("market_usd_bn", V.MARKET_SCALE)},
-        columns,
+        [*columns, *placed],
     ).withColumn("_source_rank", F.lit(1))
     both = own.unionByName(virtual)
-    order = ["_source_rank", "revenue_usd_m", "scripts_units", "is_simulated"]
-    return keep_first(both, ["brand_id", "region_id", "year"], order).drop("_source_rank")
+    order = ["_source_rank", *(placed or ["revenue_usd_m", "scripts_units", "is_simulated"])]
+    return keep_first(both, ["brand_id", "region_id", "year"], order).drop("_source_rank", *placed)
 
 
-def build_star(sources: Mapping[str, DataFrame], brand_order: Sequence[str] = ("year", "region_id")) -> dict[str, DataFrame]:
+def build_star(sources: Mapping[str, DataFrame], brand_order: Sequence[str] | None = None) -> dict[str, DataFrame]:
     """All star tables out of ``sales``, ``market``, ``trials`` and ``events``.
 
-    The raw files carry no row number, so "first row of a brand" is the one
-    with the smallest ``brand_order``.
+    A brand is described by its first row: in the input if the sales carry
+    ``POSITION``, else by ``brand_order`` (year and region).
     """
     sales, market = sources["sales"], sources["market"]
+    brand_order = brand_order or ([POSITION] if POSITION in sales.columns else ["year", "region_id"])
     trials, events = sources["trials"], sources["events"]
     brand_columns = schemas.DIM_BRAND.fieldNames()
     brands = keep_first(sales.select(*dict.fromkeys([*brand_columns, *brand_order])), ["brand_id"], list(brand_order))

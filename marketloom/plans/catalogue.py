@@ -88,20 +88,21 @@ def run_all(
     """Run the queries in order and write each result below ``out_dir``.
 
     A failing query is recorded and the others go on (``on_error="raise"``
-    stops instead). Returns one status row per query. Runs jobs.
+    stops instead). Returns one status row per query, with
+    the number of rows written. Runs jobs.
     """
     status = []
     for position, (name, query) in enumerate(catalogue.items(), start=1):
         start = time.monotonic()
         try:
-            state = "written" if write_result(query(tables), f"{out_dir}/{name}", format) else "empty"
-            message = ""
+            rows = write_result(query(tables), f"{out_dir}/{name}", format)
+            state, message = "written" if rows else "empty", ""
         except (PySparkException, Py4JJavaError, KeyError) as exc:
             if on_error == "raise":
                 raise
-            state, message = "failed", f"{type(exc).__name__}: {str(exc).splitlines()[0]}"
-        status.append((position, name, state, message, round(time.monotonic() - start, 3)))
-    return spark.createDataFrame(status, "position int, query string, state string, message string, seconds double")
+            rows, state, message = None, "failed", f"{type(exc).__name__}: {str(exc).splitlines()[0]}"
+        status.append((position, name, state, rows, message, round(time.monotonic() - start, 3)))
+    return spark.createDataFrame(status, "position int, query string, state string, rows long, message string, seconds double")
 
 
 def stored_results(

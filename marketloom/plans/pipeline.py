@@ -17,7 +17,7 @@ from marketloom.operators.split import stratified_holdout
 from marketloom.operators.text import top_keywords
 from marketloom.operators.warehouse import build_star, real_only, refresh
 from marketloom.plans.catalogue import run_all, stored_results
-from marketloom.sources.delimited import read_csv, scan_csv, write_result
+from marketloom.sources.delimited import POSITION, read_csv, scan_csv, write_result
 from marketloom.sources.landed import ingest_events, ingest_trials
 
 
@@ -70,8 +70,8 @@ def run(
     if taken is None or taken[0] == "fallback":
         write_result(read_csv(spark, inputs.trial_sample, schemas.FACT_TRIALS)[1], f"{out_dir}/quarantine/trials")
     sources = {
-        "sales": scan_csv(spark, inputs.sales, schemas.RAW_SALES),
-        "market": scan_csv(spark, inputs.market, schemas.RAW_MARKET),
+        "sales": scan_csv(spark, inputs.sales, schemas.RAW_SALES, position=POSITION),
+        "market": scan_csv(spark, inputs.market, schemas.RAW_MARKET, position=POSITION),
         "trials": trials,
         "events": ingest_events(spark, inputs.event_pages, inputs.event_sample),
     }

@@ -2,25 +2,44 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.storagelevel import StorageLevel
 
 CORRUPT = "_corrupt_record"
+POSITION = "_position"
 
 
-def scan_csv(spark: SparkSession, path: str, schema: T.StructType, mode: str = "FAILFAST") -> DataFrame:
+def scan_csv(
+    spark: SparkSession, path: str, schema: T.StructType, mode: str = "FAILFAST", position: str | None = None
+) -> DataFrame:
     """CSV with a header row, quoted fields and a fixed schema; bad rows raise.
 
-    An empty field is NULL, quoted or not.
+    An empty field is NULL, quoted or not. ``position`` names a further column
+    with each row's place in the input (``with_position``).
     """
-    return (
+    rows = (
         spark.read.schema(schema)
         .options(header=True, mode=mode, encoding="UTF-8", escape='"', enforceSchema=False)
         .csv(path)
     )
+    return with_position(rows, position) if position else rows
+
+
+def with_position(scan: DataFrame, name: str = POSITION) -> DataFrame:
+    """A plain scan of files with each row's place: its file, its block in the file, and its order in the task.
+
+    Positions compare as a reader that goes through the files by name would
+    meet the rows: a task reads a block from front to back, and ids rise
+    within a task. They are values like others, so they survive shuffles.
+    """
+    place = F.struct(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")
+    )
+    return scan.withColumn(name, place)
 
 
 def scan_text_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
@@ -73,23 +92,28 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         return spark.createDataFrame([], schema)
 
 
-def write_result(df: DataFrame, path: str, format: str = "csv", keep: bool = True) -> bool:
-    """Write a result table with a header row; an empty one writes nothing.
+def write_result(df: DataFrame, path: str, format: str = "csv") -> int:
+    """Write a result table with a header row and return its number of rows; an empty one leaves ``path`` as it is.
 
-    Runs a job, and returns whether there was anything to write. The table is
-    kept while it is tested and written, so its plan runs once; ``keep=False``
-    is for big tables whose first row is found at once, such as plain scans.
+    The rows are counted while they are written, so the plan runs once and
+    nothing is kept. They go to a folder beside ``path`` first, which then
+    takes its place. Runs a job.
     """
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK) if keep else df
-    try:
-        if kept.isEmpty():
-            return False
-        writer = kept.write.mode("overwrite")
-        if format == "csv":
-            writer.options(header=True, escape='"').csv(path)
-        else:
-            writer.format(format).save(path)
-        return True
-    finally:
-        if keep:
-            kept.unpersist()
+    counted = Observation()
+    partial = f"{path}.{uuid.uuid4().hex}"
+    writer = df.observe(counted, F.count(F.lit(1)).alias("rows")).write
+    if format == "csv":
+        writer.options(header=True, escape='"').csv(partial)
+    else:
+        writer.format(format).save(partial)
+    rows = counted.get["rows"]
+    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+    made, wanted = (jvm.org.apache.hadoop.fs.Path(p) for p in (partial, path))
+    files = wanted.getFileSystem(conf)
+    if not rows:
+        files.delete(made, True)
+        return 0
+    files.delete(wanted, True)
+    if not files.rename(made, wanted):
+        raise OSError(f"cannot rename {partial} to {path}")
+    return rows
