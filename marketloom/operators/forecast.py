@@ -174,6 +174,26 @@ def forecast(
     )
 
 
+def _sums(points: Column) -> Column:
+    """Regression sums (n, x, y, xx, xy) of (idx, v) points."""
+    start = F.struct(*[F.lit(0.0).alias(c) for c in ("n", "x", "y", "xx", "xy")])
+
+    def add(s: Column, p: Column) -> Column:
+        x, y = p["idx"].cast("double"), p["v"]
+        return F.struct(
+            (s["n"] + 1.0).alias("n"), (s["x"] + x).alias("x"), (s["y"] + y).alias("y"), (s["xx"] + x * x).alias("xx"), (s["xy"] + x * y).alias("xy")
+        )
+
+    return F.aggregate(points, start, add)
+
+
+def _fitted(s: Column) -> tuple[Column, Column]:
+    """Slope and intercept out of regression sums; a single point is a flat line."""
+    spread = s["n"] * s["xx"] - s["x"] * s["x"]
+    slope = F.when(s["n"] > 1, (s["n"] * s["xy"] - s["x"] * s["y"]) / F.nullif(spread, F.lit(0.0))).otherwise(F.lit(0.0))
+    return slope, (s["y"] - slope * s["x"]) / F.nullif(s["n"], F.lit(0.0))
+
+
 def forecast_table(
     df: DataFrame,
     keys: Sequence[str],
@@ -184,13 +204,53 @@ def forecast_table(
     damp: float = V.GROWTH_DAMPING,
     start: int | None = None,
 ) -> DataFrame:
-    """Actual rows followed by forecast rows that carry the back-test error."""
-    errors = backtest(df, keys, period, value, hold, damp).select(
-        *keys, F.round("mape_ensemble", 2).alias("mape_backtest_pct")
+    """Actual rows followed by forecast rows that carry the back-test error.
+
+    The figures are those of ``forecast`` and ``backtest``, from one aggregate
+    per series and so one scan of ``df``: a series, as long as there are
+    periods, is put in order once; the back-test's line takes the last
+    ``hold`` points off the regression sums of all.
+    """
+    point = F.struct(F.col(period).alias("t"), F.col(value).cast("double").alias("v"))
+    series = df.groupBy(*keys).agg(F.sort_array(F.collect_list(point)).alias("rows"))
+    known = F.filter("rows", lambda p: p["v"].isNotNull())
+    series = series.withColumn("pts", F.transform(known, lambda p, i: F.struct(i.alias("idx"), p["t"].alias("t"), p["v"].alias("v"))))
+    series = series.withColumn("n", F.size("pts"))
+    series = series.withColumn("h", F.least(F.lit(hold), F.greatest(F.col("n") - 2, F.lit(0))))
+    kept = (F.col("n") - F.col("h")).alias("kept")
+    series = series.select("*", kept, _sums(F.col("pts")).alias("whole"), F.slice("pts", F.col("n") - F.col("h") + 1, F.col("h")).alias("held"))
+    series = series.withColumn("off", _sums(F.col("held")))
+    series = series.withColumn("part", F.struct(*[(F.col(f"whole.{c}") - F.col(f"off.{c}")).alias(c) for c in ("n", "x", "y", "xx", "xy")]))
+    slope, intercept = _fitted(F.col("whole"))
+    part_slope, part_intercept = _fitted(F.col("part"))
+    at = lambda i: F.get("pts", i)["v"]
+    series = series.withColumns(
+        {
+            "slope": slope, "intercept": intercept, "part_slope": part_slope, "part_intercept": part_intercept, "last": at(F.col("n") - 1),
+            "rate": growth_rate(at(F.col("n") - 1), at(F.lit(0)), F.col("n") - 1),
+            "part_rate": growth_rate(at(F.col("kept") - 1), at(F.lit(0)), F.col("kept") - 1),
+        }
     )
-    ahead = forecast(df, keys, period, value, horizon, damp, start).join(errors, list(keys))
-    actual = df.select(*keys, period, F.col(value).cast("double").alias(value)).withColumn(
-        "mape_backtest_pct", F.lit(None).cast("double")
+
+    def error(p: Column) -> Column:
+        line = F.col("part_slope") * p["idx"] + F.col("part_intercept")
+        path = compounded(at(F.col("kept") - 1), F.col("part_rate"), (p["idx"] - F.col("kept")).cast("int"), damp)
+        return F.abs(p["v"] - (line + path) / 2.0) / F.abs(p["v"])
+
+    errors = F.transform(F.filter("held", lambda p: p["v"] != 0), error)
+    mean = F.lit(100.0) * F.aggregate(errors, F.lit(0.0), lambda s, e: s + e) / F.nullif(F.size(errors), F.lit(0))
+    base = F.get("pts", F.col("n") - 1)["t"] if start is None else F.lit(start - 1)
+
+    def ahead(k: Column) -> Column:
+        line = F.col("slope") * (F.col("n") + k - 1) + F.col("intercept")
+        damped = F.col("last") * (F.lit(1.0) + F.col("rate") * F.pow(F.lit(damp), k))
+        return F.struct(
+            (base + k).cast("int").alias("t"), F.greatest(F.lit(0.0), (line + damped) / 2.0).alias("v"), F.lit("forecast").alias("type"), F.col("mape").alias("mape")
+        )
+
+    actual = F.transform("rows", lambda p: F.struct(p["t"].cast("int").alias("t"), p["v"].alias("v"), F.lit("actual").alias("type"), F.lit(None).cast("double").alias("mape")))
+    steps = F.when(F.col("n") > 0, F.transform(F.sequence(F.lit(1), F.lit(horizon)), ahead))
+    both = series.withColumn("mape", F.round(mean, 2)).select(*keys, F.explode(F.concat(actual, F.coalesce(steps, F.slice(actual, 1, 0)))).alias("r"))
+    return both.select(
+        *keys, F.col("r.t").alias(period), F.round("r.v", 1).alias(value), F.col("r.type").alias("type"), F.col("r.mape").alias("mape_backtest_pct")
     )
-    both = actual.withColumn("type", F.lit("actual")).unionByName(ahead.withColumn("type", F.lit("forecast")))
-    return both.select(*keys, period, F.round(value, 1).alias(value), "type", "mape_backtest_pct")

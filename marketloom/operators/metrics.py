@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,10 +16,27 @@ from marketloom.functions.columns import flag, ratio
 SCORE_RANGES = 200
 
 
-def _score_cuts(df: DataFrame, score: str, buckets: int) -> list[float]:
-    probabilities = [i / buckets for i in range(1, buckets)]
-    found = df.approxQuantile(score, probabilities, 0.25 / buckets) if probabilities else []
-    return sorted({c for c in found if math.isfinite(c)})
+def _ranged(counts: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    """The counts with ``_range``, the number of their score's range at approximate quantiles of the distinct scores.
+
+    The cuts come from a mergeable quantile sketch over the counts, in a
+    scalar subquery that needs all their columns: so it is the same plan, and
+    the counts' shuffle is used for both. A row is compared with every
+    ``step``-th cut, then with those up to the next.
+    """
+    if buckets < 2:
+        return counts.withColumn("_range", F.lit(0))
+    step = math.isqrt(buckets)
+    finite = F.when(F.abs("_score") < float("inf"), F.col("_score"))
+    sketch = F.percentile_approx(finite, [i / buckets for i in range(1, buckets)], 20 * buckets)
+    found = counts.agg(sketch.alias("cuts"), F.max(F.struct(*keys, "_score", "_pos", "_neg")).alias("rest"))
+    cuts = F.coalesce("cuts", F.array().cast("array<double>"))
+    heads = F.filter(cuts, lambda c, i: i % step == step - 1)
+    both = found.select(F.struct(cuts.alias("cuts"), heads.alias("heads"), "rest").alias("s")).scalar()
+    below = lambda c: c <= F.col("_score")
+    placed = counts.withColumn("_cuts", both).withColumn("_head", F.size(F.filter("_cuts.heads", below)))
+    inside = F.size(F.filter(F.slice("_cuts.cuts", F.col("_head") * step + 1, F.lit(step)), below))
+    return placed.withColumn("_range", F.col("_head") * step + inside).drop("_cuts", "_head")
 
 
 def auc(
@@ -30,33 +46,34 @@ def auc(
     group: Sequence[str] = (),
     buckets: int = SCORE_RANGES,
     cut: float | None = None,
+    overall: str | None = None,
 ) -> DataFrame:
     """Area under the ROC curve, ties counted half; NULL with one class only.
 
     Rows without a score (NULL or NaN) take no part, here and in
     ``accuracy_at``; infinite scores do.
 
-    ``cut`` adds the accuracy of ``score >= cut`` from the same counts.
+    ``cut`` adds the accuracy of ``score >= cut`` from the same counts, and
+    ``overall``, for one text group, a row of that name over all groups.
 
-    Rows are counted per distinct score first. The scores are then cut into
-    ranges at approximate quantiles; each range ranks its own scores, and only
-    one row per range is put in order overall. Any cuts give the exact result,
-    they just balance the work. Finding them runs one pass over the scores.
+    Rows are counted per distinct score first, in one scan. The scores are
+    then cut into ranges at approximate quantiles; each range ranks its own
+    scores, and only one row per range is put in order overall. Any cuts give
+    the exact result, they just balance the work.
     """
     keys = list(group)
     scored = df.select(*keys, F.col(score).cast("double").alias("_score"), F.col(label).alias("_label")).filter(
         F.col("_score").isNotNull() & ~F.isnan("_score")
     )
-    cuts = _score_cuts(scored, "_score", buckets)
     counts = scored.groupBy(*keys, "_score").agg(
         F.count_if(F.col("_label") == 1).cast("double").alias("_pos"),
         F.count_if(F.col("_label") == 0).cast("double").alias("_neg"),
     )
-    if cuts:
-        splits = [float("-inf"), *cuts, float("inf")]
-        ranged = Bucketizer(splits=splits, inputCol="_score", outputCol="_range").transform(counts)
-    else:
-        ranged = counts.withColumn("_range", F.lit(0.0))
+    ranged = _ranged(counts, keys, buckets)
+    if overall is not None:
+        (name,) = keys
+        whole = ranged.groupBy("_score", "_range").agg(F.sum("_pos").alias("_pos"), F.sum("_neg").alias("_neg"))
+        ranged = ranged.unionByName(whole.withColumn(name, F.lit(overall)))
     inside = Window.partitionBy(*keys, "_range").orderBy("_score").rowsBetween(Window.unboundedPreceding, -1)
     below = F.coalesce(F.sum("_neg").over(inside), F.lit(0.0))
     per_range = (

@@ -58,9 +58,7 @@ GROUP BY lang
 )
 def mann_whitney_auc(spark, sf_dir):
     rows = scored(spark, sf_dir)
-    overall = M.auc(rows, "n_chars", "quality").select(F.lit("ALL").alias("lang"), "n_pos", "n_neg", "auc")
-    by_lang = M.auc(rows, "n_chars", "quality", ["lang"])
-    return overall.unionByName(by_lang).withColumn("auc", F.round("auc", 6))
+    return M.auc(rows, "n_chars", "quality", ["lang"], overall="ALL").withColumn("auc", F.round("auc", 6))
 
 
 @SET.add(

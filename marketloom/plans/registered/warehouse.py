@@ -447,9 +447,5 @@ def provenance_split(spark, sf_dir):
         F.when(F.col("l_linestatus") == "F", 0).otherwise(1).alias("is_simulated"), money("l_extendedprice").alias("price")
     )
 
-    def totals(df, provenance):
-        return df.agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("price").cast("double"), 2).alias("total")).select(
-            F.lit(provenance).alias("provenance"), "n", "total"
-        )
-
-    return totals(W.real_only(lines), "real").union(totals(W.simulated_only(lines), "simulated"))
+    provenance = F.when(F.col("is_simulated") == 0, "real").otherwise("simulated").alias("provenance")
+    return lines.groupBy(provenance).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("price").cast("double"), 2).alias("total"))

@@ -27,6 +27,12 @@ def test_latest_period_reports_scan_the_fact_once(spark, name):
     assert executed_scans(all_queries()[name](spark, SF), "l_") == 1
 
 
+@pytest.mark.parametrize("name, column", [("forecast_table", "l_"), ("mann_whitney_auc", "doc_id"), ("provenance_split", "l_")])
+def test_other_reports_scan_their_tables_once(spark, name, column):
+    # Documents and labels both have the column.
+    assert executed_scans(all_queries()[name](spark, SF), column) == (2 if column == "doc_id" else 1)
+
+
 def test_first_rows_are_those_of_a_sequential_read(spark, tmp_path):
     """Two files with repeated keys, each read in many blocks."""
     header, *lines = X.SALES.strip().splitlines()
