@@ -449,3 +449,48 @@ def provenance_split(spark, sf_dir):
 
     provenance = F.when(F.col("is_simulated") == 0, "real").otherwise("simulated").alias("provenance")
     return lines.groupBy(provenance).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("price").cast("double"), 2).alias("total"))
+
+
+FIRST_PART_SQL = "SELECT p_brand AS brand_id, arg_min('Maker ' || p_size % 5, p_partkey) AS company FROM part GROUP BY 1"
+
+
+@SET.add(
+    "catalogue_rows",
+    f"""
+    WITH s AS ({BRAND_SALES_SQL}), n AS (SELECT COUNT(*) AS n FROM s)
+    SELECT 1 AS position, 'brand_share' AS query, 'written' AS state, n AS rows FROM n
+    UNION ALL SELECT 2, 'brand_growth', 'written', n FROM n
+    UNION ALL SELECT 3, 'brand_launches', 'written', (SELECT COUNT(*) FROM s JOIN ({FIRST_PART_SQL}) USING (brand_id) WHERE company = 'Maker 1')
+    UNION ALL SELECT 4, 'brand_base_vs_latest', 'written', (SELECT COUNT(DISTINCT brand_id) FROM s WHERE year = 1996
+        AND brand_id IN (SELECT brand_id FROM s WHERE year = (SELECT MAX(year) FROM s)))
+    UNION ALL SELECT 5, 'safety_signals', 'written', (SELECT least(20, COUNT(*)) FROM (SELECT DISTINCT user_id % 10, event_type FROM events))
+    UNION ALL SELECT 6, 'trial_pipeline', 'written', (SELECT COUNT(*) FROM (SELECT DISTINCT o_orderstatus, o_orderpriority FROM orders))
+    UNION ALL SELECT 7, 'simulated_market', 'written', (SELECT COUNT(DISTINCT year(o_orderdate)) FROM orders)
+    """,
+)
+def catalogue_rows(spark, sf_dir):
+    """The seven named analyses over a star of the driver's tables, with the rows each has written."""
+    parts = table(spark, sf_dir, "part").select(
+        F.col("p_brand").alias("brand_id"), F.col("p_name").alias("brand_name"),
+        F.concat(F.lit("Maker "), F.col("p_size") % 5).alias("company"), F.col("p_type").alias("molecule"), F.col("p_type").alias("category"), F.lit(0).alias("is_simulated"), "p_partkey",
+    )
+    events = table(spark, sf_dir, "events").select(
+        F.year("ts").alias("year"), (F.col("user_id") % 10).cast("string").alias("molecule"), "event_type",
+        F.lit(1).alias("report_count"), F.when(F.col("value") > 90, 1).otherwise(0).alias("serious_count"), F.lit(0).alias("is_simulated"),
+    )
+    trials = table(spark, sf_dir, "orders").select(
+        F.col("o_orderstatus").alias("company"), F.col("o_orderpriority").alias("phase"), F.lit(1).alias("enrollment"), F.lit(0).alias("is_simulated")
+    )
+    star = {
+        "dim_brand": W.keep_first(parts, ["brand_id"], ["p_partkey"]).drop("p_partkey"),
+        "fact_brand_sales": conformed_sales(spark, sf_dir),
+        "fact_events": events,
+        "fact_trials": trials,
+    }
+    adapted = {
+        "brand_launches": lambda t: catalogue.brand_launches(t, "Maker 1"),
+        "brand_base_vs_latest": lambda t: catalogue.brand_base_vs_latest(t, 1996),
+    }
+    jobs = {name: adapted.get(name, query) for name, query in catalogue.CATALOGUE.items()}
+    status = catalogue.run_all(spark, star, scratch_path(spark, "results"), jobs, on_error="raise")
+    return status.select("position", "query", "state", "rows")
