@@ -3,23 +3,15 @@
 from __future__ import annotations
 
 import math
-import sys
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from marketloom.functions import vocabulary as V
 from marketloom.functions.columns import ratio
 from marketloom.functions.probability import normal_quantile, normal_two_sided, student_t_two_sided
 
-# Executors get the one UDF below by value; they need not have the package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 
 def _side_by_side(df: DataFrame, arm: str, values: Sequence[str], arms: Sequence, keys: Sequence[str] = ()) -> DataFrame:
     """One row with ``value_a``, ``value_b`` out of one row per arm."""
@@ -143,18 +135,62 @@ def bootstrap_ci(
     return _interval(means, arm, n_boot, level, arms)
 
 
-COUNT_DRAWS = 100
+# Attempts of a draw; one in a hundred thousand billion needs more, and gets the mean.
+ATTEMPTS = 16
+# Below this mean a draw inverts the distribution function, above it accepts or rejects.
+SMALL_MEAN = 10.0
 
 
-@F.pandas_udf(T.ArrayType(T.DoubleType()))
-def _poisson_counts(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    for count, key in batches:
-        yield pd.Series(
-            [
-                np.random.default_rng(k & (2**63 - 1)).poisson(float(n), COUNT_DRAWS).astype(float)
-                for n, k in zip(count, key)
-            ]
-        )
+def _log_factorial(k: Column) -> Column:
+    """ln k! by Stirling's series ten numbers further on."""
+    x = k + 10.0
+    series = x * F.log(x) - x + 0.5 * F.log(F.lit(2.0 * math.pi) * x) + 1.0 / (12.0 * x) - 1.0 / (360.0 * x * x * x) + 1.0 / (1260.0 * x * x * x * x * x)
+    product = k + 1.0
+    for i in range(2, 11):
+        product = product * (k + float(i))
+    return series - F.log(product)
+
+
+def poisson_draw(mean: Column, *key: Column) -> Column:
+    """A Poisson number of the given mean from MD5 hashes of the key, as a double: equal keys draw alike, in SQL too.
+
+    Small means invert the distribution function. Others take a transformed
+    uniform number that lies close to the distribution (Hoermann's PTRS) and
+    accept it by the exact ratio, which most attempts pass; each attempt has
+    two uniform numbers from a digest of its own.
+    """
+    text = F.concat_ws("|", *key)
+
+    def uniform(digest: Column, at: int) -> Column:
+        return (F.conv(F.substring(digest, at, 13), 16, 10).cast("double") + 0.5) / 2.0**52
+
+    def digest(t: Column) -> Column:
+        return F.md5(F.concat_ws("|", text, t.cast("string")))
+
+    root = F.sqrt(mean)
+    b = 0.931 + 2.53 * root
+    a = -0.059 + 0.02483 * b
+    inverse = 1.1239 + 1.1328 / (b - 3.4)
+    fast = 0.9277 - 3.6224 / (b - 2.0)
+
+    def attempt(state: Column, t: Column) -> Column:
+        u, v = uniform(digest(t), 1) - 0.5, uniform(digest(t), 14)
+        us = 0.5 - F.abs(u)
+        k = F.floor((2.0 * a / us + b) * u + mean + 0.43).cast("double")
+        ratio_of = F.log(v) + F.log(inverse) - F.log(a / (us * us) + b)
+        exact = ratio_of <= -mean + k * F.log(mean) - _log_factorial(F.greatest(k, F.lit(0.0)))
+        good = ((us >= 0.07) & (v <= fast)) | ((k >= 0) & ~((us < 0.013) & (v > us)) & exact)
+        return F.when(state.isNotNull(), state).when(good, k)
+
+    def below(state: Column, k: Column) -> Column:
+        # (number of values the uniform number is not below, probability of the next, sum so far)
+        found = F.when(state["u"] >= state["sum"] + state["p"], state["k"] + 1.0).otherwise(state["k"])
+        return F.struct(found.alias("k"), (state["p"] * mean / (k + 1)).alias("p"), (state["sum"] + state["p"]).alias("sum"), state["u"].alias("u"))
+
+    start = F.struct(F.lit(0.0).alias("k"), F.exp(-mean).alias("p"), F.lit(0.0).alias("sum"), uniform(digest(F.lit(0)), 1).alias("u"))
+    inverted = F.aggregate(F.sequence(F.lit(0), F.lit(79)), start, below)["k"]
+    tried = F.aggregate(F.sequence(F.lit(0), F.lit(ATTEMPTS - 1)), F.lit(None).cast("double"), attempt)
+    return F.when(mean < SMALL_MEAN, inverted).otherwise(F.coalesce(tried, F.floor(mean).cast("double")))
 
 
 def bootstrap_ci_counts(
@@ -169,23 +205,19 @@ def bootstrap_ci_counts(
     """The same interval for a value with few distinct levels, such as an outcome.
 
     Rows are first counted per (arm, value). ``n`` equal rows weigh a sum of n
-    Poisson(1) counts, which is one Poisson(n) count, so nothing is lost and the
-    cost no longer depends on the number of rows.
+    Poisson(1) counts, which is one Poisson(n) count (``poisson_draw``), so
+    nothing is lost and the cost no longer depends on the number of rows.
     """
-    blocks = math.ceil(n_boot / COUNT_DRAWS)
     counted = (
         df.filter(F.col(arm).isin(list(arms)) & F.col(value).isNotNull())
-        .groupBy(F.col(arm).alias("_arm"), F.col(value).cast("double").alias("_value"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select("*", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block"))
-    )
-    key = F.xxhash64(F.lit(seed), F.col("_arm").cast("string"), "_value", "_block")
-    drawn = counted.select("_arm", "_value", "_block", F.posexplode(_poisson_counts("_n", key)).alias("_j", "_w"))
-    means = (
-        drawn.groupBy(F.col("_arm").alias(arm), (F.col("_block") * COUNT_DRAWS + F.col("_j")).alias("rep"))
-        .agg(ratio(F.sum(F.col("_w") * F.col("_value")), F.sum("_w")).alias("mean"))
-        .filter(F.col("rep") < n_boot)
+        .groupBy(F.col(arm).alias("_arm"), F.col(value).alias("_value"))
+        .agg(F.count(F.lit(1)).cast("double").alias("_n"))
+        .select("*", F.explode(F.sequence(F.lit(0), F.lit(n_boot - 1))).alias("rep"))
     )
+    weight = poisson_draw(F.col("_n"), F.lit(str(seed)), *[F.col(c).cast("string") for c in ("_arm", "_value", "rep")])
+    # The alias must not be a column's name: within a lambda it would stand for the new column.
+    drawn = counted.select("_arm", F.col("_value").cast("double").alias("_number"), "rep", weight.alias("_w"))
+    means = drawn.groupBy(F.col("_arm").alias(arm), "rep").agg(ratio(F.sum(F.col("_w") * F.col("_number")), F.sum("_w")).alias("mean"))
     return _interval(means, arm, n_boot, level, arms)
 
 
@@ -263,7 +295,8 @@ def ab_summary(
     n_boot: int = V.BOOTSTRAP_REPLICATES,
     seed: int = V.SEED,
     base_rate: float | None = 0.052,
-    method: str = "rows",
+    method: str = "counts",
+    provenance: int | None = None,
 ) -> DataFrame:
     """One row with rates, lift, Welch test, interval and needed rows per arm.
 
@@ -291,4 +324,5 @@ def ab_summary(
         percent(F.col("ci.ci_low"), 2).alias("ci_low_pct"),
         percent(F.col("ci.ci_high"), 2).alias("ci_high_pct"),
         needed_per_arm(base, test - control).alias("needed_n"),
+        *([] if provenance is None else [F.lit(provenance).alias("is_simulated")]),
     )

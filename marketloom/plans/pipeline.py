@@ -97,7 +97,7 @@ def run(
         results["segment_profile"] = segment_profile(results["segments"], "segment", list(V.SEGMENT_FEATURES))
     if inputs.campaign:
         campaign = spark.read.parquet(inputs.campaign)
-        results["ab_summary"] = stats.ab_summary(campaign, "arm", "converted", ["user_id"])
+        results["ab_summary"] = stats.ab_summary(campaign, "arm", "converted", provenance=1)
     # The brief shows the penetration next to the market's size.
     brief = dict(results)
     if "simulated_market" in brief:

@@ -85,33 +85,37 @@ def bootstrap_ci(spark, sf_dir):
 BOUGHT = "CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END"
 
 
-@SET.add(
-    "bootstrap_ci_counts",
-    f"""
-    SELECT CAST(n_a AS BIGINT) AS n_a, CAST(n_b AS BIGINT) AS n_b, ROUND(mean_b - mean_a, 9) AS diff, 1 AS low_in_band, 1 AS high_in_band
-    FROM ({welch_sql(BOUGHT)})
-    """,
-)
-def bootstrap_ci_counts(spark, sf_dir):
-    """Difference of the arms, and whether each bound lies where the normal interval puts it.
-
-    The band of 0.3 standard errors is five times the spread that 2000
-    replicates leave to a bound.
-    """
-    rows = arms(spark, sf_dir)
-    interval = S.bootstrap_ci_counts(rows, "arm", "bought").select(F.struct("ci_low", "ci_high").alias("ci")).scalar()
-    diff = F.col("mean_b") - F.col("mean_a")
-    error = F.sqrt(F.col("var_a") / F.col("n_a") + F.col("var_b") / F.col("n_b"))
-    in_band = lambda bound, z: (F.abs((bound - diff) / error - F.lit(z)) <= 0.3).cast("int")
-    return S.welch(rows, "arm", "bought").withColumn("ci", interval).select(
-        "n_a",
-        "n_b",
-        F.round(diff, 9).alias("diff"),
-        in_band(F.col("ci.ci_low"), -1.96).alias("low_in_band"),
-        in_band(F.col("ci.ci_high"), 1.96).alias("high_in_band"),
+def counted_bootstrap_sql(value: str) -> str:
+    """2000 replicates of counted values; every count here is large enough for draws by acceptance."""
+    uniform = lambda at: f"((('0x' || substr(digest, {at}, 13))::BIGINT + 0.5) / 4503599627370496.0::DOUBLE)"
+    x = "(greatest(k, 0) + 10.0::DOUBLE)"
+    product = " * ".join(f"(greatest(k, 0) + {i}.0::DOUBLE)" for i in range(1, 11))
+    log_factorial = (
+        f"({x} * ln({x}) - {x} + 0.5 * ln(2 * pi() * {x}) + 1 / (12 * {x}) - 1 / (360 * pow({x}, 3)) + 1 / (1260 * pow({x}, 5)) - ln({product}))"
     )
+    return f"""
+    WITH n AS (SELECT user_id % 2 AS arm, {value} AS v, CAST(COUNT(*) AS DOUBLE) AS n FROM events GROUP BY 1, 2),
+    h AS (SELECT *, 0.931::DOUBLE + 2.53::DOUBLE * sqrt(n) AS b FROM n),
+    d AS (SELECT *, -0.059::DOUBLE + 0.02483::DOUBLE * b AS a, md5('42|' || arm || '|' || v || '|' || rep || '|' || t) AS digest
+          FROM h, range(2000) r(rep), range(16) s(t)),
+    u AS (SELECT *, {uniform(1)} - 0.5 AS u, {uniform(14)} AS w FROM d),
+    k AS (SELECT *, 0.5 - abs(u) AS us, floor((2 * a / (0.5 - abs(u)) + b) * u + n + 0.43::DOUBLE) AS k FROM u),
+    g AS (SELECT *, (us >= 0.07 AND w <= 0.9277::DOUBLE - 3.6224::DOUBLE / (b - 2)) OR (k >= 0 AND NOT (us < 0.013 AND w > us)
+              AND ln(w) + ln(1.1239::DOUBLE + 1.1328::DOUBLE / (b - 3.4::DOUBLE)) - ln(a / (us * us) + b) <= -n + k * ln(n) - {log_factorial}) AS good
+          FROM k),
+    c AS (SELECT arm, v, rep, arg_min(k, t) AS k FROM g WHERE good GROUP BY 1, 2, 3),
+    m AS (SELECT rep, arm, SUM(k * v) / SUM(k) AS mean FROM c GROUP BY 1, 2),
+    o AS (SELECT list_sort(list(diff)) AS diffs FROM (
+          SELECT MAX(mean) FILTER (WHERE arm = 1) - MAX(mean) FILTER (WHERE arm = 0) AS diff FROM m GROUP BY rep))
+    SELECT diffs[51] AS ci_low, diffs[1950] AS ci_high FROM o
+    """
 
 
+@SET.add("bootstrap_ci_counts", f"SELECT ROUND(ci_low, 9) AS ci_low, ROUND(ci_high, 9) AS ci_high FROM ({counted_bootstrap_sql(BOUGHT)})")
+def bootstrap_ci_counts(spark, sf_dir):
+    """Bounds from counted values: the same draws in SQL."""
+    interval = S.bootstrap_ci_counts(arms(spark, sf_dir), "arm", "bought")
+    return interval.select(F.round("ci_low", 9).alias("ci_low"), F.round("ci_high", 9).alias("ci_high"))
 
 
 @SET.add(
@@ -122,12 +126,12 @@ def bootstrap_ci_counts(spark, sf_dir):
            ROUND(t_stat, 3) AS t_stat, ROUND(p_value, 4) AS p_value,
            ROUND(100 * ci_low, 2) AS ci_low_pct, ROUND(100 * ci_high, 2) AS ci_high_pct,
            CAST(ceil((0.052 * 0.948 + (0.052 + mean_b - mean_a) * (1 - 0.052 - mean_b + mean_a))
-                * pow(1.6449 + 0.8416, 2) / pow(mean_b - mean_a, 2)) AS BIGINT) AS needed_n
-    FROM ({welch_sql(BOUGHT)}), ({bootstrap_sql(BOUGHT)})
+                * pow(1.6449 + 0.8416, 2) / pow(mean_b - mean_a, 2)) AS BIGINT) AS needed_n, 0 AS is_simulated
+    FROM ({welch_sql(BOUGHT)}), ({counted_bootstrap_sql(BOUGHT)})
     """,
 )
 def ab_summary(spark, sf_dir):
-    return S.ab_summary(arms(spark, sf_dir), "arm", "bought", ["event_id"])
+    return S.ab_summary(arms(spark, sf_dir), "arm", "bought", provenance=0)
 
 
 @SET.add(

@@ -108,6 +108,22 @@ def test_bootstrap_by_brute_force_and_partitioning(spark):
         assert (row.ci_low, row.ci_high) == (pytest.approx(diffs[1]), pytest.approx(diffs[41]))
 
 
+def test_poisson_draws(spark):
+    """Means, variances and whole distributions of small and large means; equal keys draw alike."""
+    n = 4000
+    for mean in (0.5, 3.0, 9.9, 10.0, 40.0, 1e6):
+        drawn = spark.range(n).select(S.poisson_draw(F.lit(mean), F.lit("a"), F.col("id").cast("string")).alias("k"))
+        got = [r.k for r in drawn.collect()]
+        assert got == [r.k for r in drawn.collect()] and all(k >= 0 and k == int(k) for k in got)
+        error = math.sqrt(mean / n)
+        assert abs(statistics.mean(got) - mean) < 4.5 * error
+        assert statistics.variance(got) == pytest.approx(mean, rel=0.12)
+        if mean <= 40:
+            for cut in (mean / 2, mean, 1.5 * mean):
+                p = sum(math.exp(-mean + k * math.log(mean) - math.lgamma(k + 1)) for k in range(int(cut) + 1))
+                assert abs(sum(k <= cut for k in got) / n - p) < 4.5 * math.sqrt(p * (1 - p) / n) + 1e-9
+
+
 def test_sample_sizes(spark):
     rates = spark.createDataFrame([(0.45, 0.55), (0.45, 0.60), (0.45, 0.65), (0.5, 0.5)], "p1 double, p2 double")
     n = [r.n_per_arm for r in S.sample_size(rates, "two_proportion").orderBy("p2").collect()]
