@@ -101,17 +101,20 @@ def write_result(df: DataFrame, path: str, format: str = "csv") -> int:
     """
     counted = Observation()
     partial = f"{path}.{uuid.uuid4().hex}"
+    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+    made, wanted = (jvm.org.apache.hadoop.fs.Path(p) for p in (partial, path))
+    files, folder = wanted.getFileSystem(conf), wanted.getParent()
+    had_folder = files.exists(folder)
     writer = df.observe(counted, F.count(F.lit(1)).alias("rows")).write
     if format == "csv":
         writer.options(header=True, escape='"').csv(partial)
     else:
         writer.format(format).save(partial)
     rows = counted.get["rows"]
-    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
-    made, wanted = (jvm.org.apache.hadoop.fs.Path(p) for p in (partial, path))
-    files = wanted.getFileSystem(conf)
     if not rows:
         files.delete(made, True)
+        if not had_folder and not files.listStatus(folder):
+            files.delete(folder, False)
         return 0
     files.delete(wanted, True)
     if not files.rename(made, wanted):
