@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from statistics import NormalDist
+
 from pyspark.sql import functions as F
 
 from marketloom.operators import stats as S
@@ -149,6 +151,34 @@ def power_by_group(spark, sf_dir):
     return sizes.withColumn("base_rate", F.round("base_rate", 6))
 
 
+PAIRS = ((0.05, 0.80), (0.01, 0.90), (0.10, 0.95))
+
+
+def _pairs_sql() -> str:
+    """The usual pair with its four-digit quantiles, the others with the real ones."""
+    inverse = NormalDist().inv_cdf
+    z = {(0.05, 0.80): 1.6449 + 0.8416}
+    rows = ", ".join(f"({a}::DOUBLE, {p}::DOUBLE, {z.get((a, p), inverse(1 - a) + inverse(p))!r}::DOUBLE)" for a, p in PAIRS)
+    return f"""
+    SELECT event_type, alpha, power, effect,
+           CAST(ceil((p * (1 - p) + (p + effect) * (1 - p - effect)) * z * z / (effect * effect)) AS BIGINT) AS n_per_arm
+    FROM (SELECT event_type, AVG(CASE WHEN value > 90 THEN 1.0 ELSE 0.0 END) AS p FROM events GROUP BY 1),
+         (VALUES (0.01::DOUBLE), (0.02), (0.05)) e(effect), (VALUES {rows}) t(alpha, power, z)
+    """
+
+
+@SET.add("power_pairs", _pairs_sql())
+def power_pairs(spark, sf_dir):
+    """Needed rows for three pairs of error and power."""
+    parts = [
+        S.power_by_group(arms(spark, sf_dir), "event_type", "high", [0.01, 0.02, 0.05], a, p).select(
+            "event_type", F.lit(a).alias("alpha"), F.lit(p).alias("power"), "effect", "n_per_arm"
+        )
+        for a, p in PAIRS
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @SET.add(
     "sample_size_grid",
     """
