@@ -62,54 +62,68 @@ def tfidf_fit(
     """Vocabulary (position, term, df, idf): the ``max_features`` most frequent terms.
 
     ``idf = ln(N / (1 + df))`` with N all rows, those without a term included.
-    Ties go to the alphabetically first term.
+    Ties go to the alphabetically first term. One scan and one shuffle: every
+    row also gives a null term, whose count is N.
     """
-    terms = df.select(F.explode(F.array_distinct(plain_tokens(F.col(text), stopwords))).alias("term"))
+    terms = F.concat(F.array(F.lit(None).cast("string")), F.array_distinct(plain_tokens(F.col(text), stopwords)))
+    counts = df.select(F.explode(terms).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    is_total = F.col("term").isNull()
     frequent = (
-        terms.groupBy("term")
-        .agg(F.count(F.lit(1)).alias("df"))
-        .filter(F.col("df") >= min_df)
-        .orderBy(F.desc("df"), "term")
-        .limit(max_features)
+        counts.filter(is_total | (F.col("df") >= min_df))
+        .orderBy(is_total.desc(), F.desc("df"), "term")
+        .limit(max_features + 1)
     )
-    n_docs = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    # The window sees the limited vocabulary only.
-    position = F.row_number().over(Window.orderBy(F.desc("df"), "term")) - 1
+    # The windows see the limited vocabulary and the total only.
+    position = F.row_number().over(Window.orderBy(is_total.desc(), F.desc("df"), "term")) - 2
+    n_docs = F.first(F.when(is_total, F.col("df")), ignorenulls=True).over(Window.partitionBy(F.lit(0)))
     idf = F.log(n_docs.cast("double") / (F.lit(1.0) + F.col("df")))
-    return frequent.select(position.alias("position"), "term", "df", idf.alias("idf"))
+    return frequent.select(position.alias("position"), "term", "df", idf.alias("idf")).filter("term is not null")
 
 
 def _vocabulary(vocab: DataFrame) -> Column:
-    """The vocabulary as one array; ``tfidf_fit`` bounds its size."""
-    entries = F.sort_array(F.collect_list(F.struct("position", "term", "idf")))
+    """The vocabulary as one array with a mark per term; ``tfidf_fit`` bounds its size.
+
+    A mark is the term, a blank and the position. Tokens are made of ``a-z0-9``
+    only, so a mark sorts right behind the tokens equal to its term.
+    """
+    mark = F.concat("term", F.lit(" "), F.col("position").cast("string"))
+    entries = F.sort_array(F.collect_list(F.struct("position", "term", "idf", mark.alias("mark"))))
     return vocab.agg(entries.alias("entries")).scalar()
 
 
-def _tokenised(df: DataFrame, text: str, stopwords: Sequence[str], vocab: DataFrame) -> DataFrame:
-    """``df`` with the word count, the words as ``|one||two|`` and the vocabulary.
+def _counted(df: DataFrame, text: str, stopwords: Sequence[str], vocab: DataFrame) -> DataFrame:
+    """``df`` with ``_entries``: (term, tfidf, present) of the vocabulary, in its order.
 
-    Counting a term is then one native substring pass over the row instead of a
-    lambda call per word.
+    A row's tokens are sorted together with the vocabulary's marks. Where runs
+    of equal words begin, the run before a mark holds the tokens of its term,
+    or else the term is absent: one sort counts all terms.
     """
-    tokens = plain_tokens(F.col(text), stopwords)
-    return df.withColumns({"_tokens": tokens, "_vocabulary": _vocabulary(vocab)}).withColumns(
-        {
-            "_n": F.size("_tokens"),
-            "_words": F.concat(F.lit("|"), F.array_join("_tokens", "||"), F.lit("|")),
-        }
+    keep = df.columns
+    tokens = df.select(*keep, plain_tokens(F.col(text), stopwords).alias("_tokens"), _vocabulary(vocab).alias("_vocabulary"))
+    merged = tokens.select(
+        *keep,
+        "_vocabulary",
+        F.greatest(F.size("_tokens"), F.lit(1)).alias("_n"),
+        F.sort_array(F.concat("_tokens", F.col("_vocabulary")["mark"])).alias("_words"),
     )
+    begins = F.transform("_words", lambda w, i: F.when(~w.eqNullSafe(F.get("_words", i - 1)), i))
+    runs = merged.withColumn("_begins", F.array_compact(begins))
 
+    def run(begin: Column, i: Column) -> Column:
+        before = F.get("_begins", i - 1)
+        parts = F.split(F.get("_words", begin), " ")
+        length = F.when(F.get("_words", before) == parts[0], begin - before).otherwise(0)
+        return F.struct(F.get(parts, F.lit(1)).cast("int").alias("position"), length.alias("length"))
 
-def _tfidf_entries(words: Column, n: Column, vocabulary: Column) -> Column:
-    """Array of (term, tfidf) over the whole vocabulary, in its order."""
+    is_mark = lambda begin: F.get("_words", begin).contains(" ")
+    places = F.transform("_begins", lambda begin, i: F.when(is_mark(begin), run(begin, i)))
+    terms = runs.select(*keep, "_vocabulary", "_n", F.sort_array(F.array_compact(places)).alias("_terms"))
 
-    def score(entry: Column) -> Column:
-        wrapped = F.concat(F.lit("|"), entry["term"], F.lit("|"))
-        removed = F.octet_length(words) - F.octet_length(F.replace(words, wrapped))
-        tf = removed / F.octet_length(wrapped) / F.greatest(n, F.lit(1))
-        return F.struct(entry["term"].alias("term"), (tf * entry["idf"]).alias("tfidf"), (removed > 0).alias("present"))
+    def score(entry: Column, found: Column) -> Column:
+        tf = found["length"].cast("double") / F.col("_n")
+        return F.struct(entry["term"].alias("term"), (tf * entry["idf"]).alias("tfidf"), (found["length"] > 0).alias("present"))
 
-    return F.transform(vocabulary, score)
+    return terms.select(*keep, F.zip_with("_vocabulary", "_terms", score).alias("_entries"))
 
 
 def tfidf_transform(
@@ -121,9 +135,8 @@ def tfidf_transform(
     within each row: the bounded vocabulary travels as one literal array, and
     no word is shuffled.
     """
-    tokens = _tokenised(df.select(*ids, text), text, stopwords, vocab)
-    entries = _tfidf_entries(F.col("_words"), F.col("_n"), F.col("_vocabulary"))
-    scored = tokens.select(*ids, F.explode(F.filter(entries, lambda e: e["present"])).alias("e"))
+    entries = _counted(df.select(*ids, text), text, stopwords, vocab)
+    scored = entries.select(*ids, F.explode(F.filter("_entries", lambda e: e["present"])).alias("e"))
     return scored.select(*ids, "e.term", "e.tfidf")
 
 
@@ -131,11 +144,9 @@ def tfidf_columns(
     df: DataFrame, text: str, vocab: DataFrame, width: int, stopwords: Sequence[str] = V.TFIDF_STOPWORDS, prefix: str = "tfidf_"
 ) -> DataFrame:
     """``df`` with ``width`` dense columns, 0 where a term or a position is absent."""
-    keep = df.columns
-    tokens = _tokenised(df, text, stopwords, vocab)
-    entries = tokens.withColumn("_entries", _tfidf_entries(F.col("_words"), F.col("_n"), F.col("_vocabulary")))
+    entries = _counted(df, text, stopwords, vocab)
     dense = [F.coalesce(F.get("_entries", F.lit(i))["tfidf"], F.lit(0.0)).alias(f"{prefix}{i}") for i in range(width)]
-    return entries.select(*keep, *dense)
+    return entries.select(*df.columns, *dense)
 
 
 COMPLEXITY_COLUMNS = (
@@ -215,14 +226,16 @@ def text_features(
     complexity: Mapping[str, object] | None = None,
     language: Mapping[str, object] | None = None,
     stopwords: Sequence[str] = V.TFIDF_STOPWORDS,
+    terms: str | None = None,
 ) -> DataFrame:
-    """TF-IDF of the title, complexity and language features side by side.
+    """TF-IDF, complexity and language features side by side.
 
-    ``fit_on`` limits the vocabulary to other rows, such as the training split.
+    TF-IDF is that of the column ``terms``, by default the title. ``fit_on`` limits the vocabulary to other rows, such as the training split.
     All features are computed in the row, so they need no join on the id.
     """
-    vocab = tfidf_fit(df if fit_on is None else fit_on, title, max_features, min_df, stopwords)
-    wide = tfidf_columns(df, title, vocab, max_features, stopwords)
+    terms = terms or title
+    vocab = tfidf_fit(df if fit_on is None else fit_on, terms, max_features, min_df, stopwords)
+    wide = tfidf_columns(df, terms, vocab, max_features, stopwords)
     wide = text_complexity(wide, title, design, endpoint, **(complexity or {}))
     wide = language_flags(wide, recruitment, **(language or {}))
     return wide.select(*ids, *text_feature_names(max_features))

@@ -159,11 +159,9 @@ DENSE_SQL = ", ".join(
     """,
 )
 def text_features(spark, sf_dir):
-    """The vocabulary is fitted on the document text, which is both title and recruitment text here."""
-    docs = documents(spark, sf_dir)
-    vocab = X.tfidf_fit(docs, "text", 10, 2)
-    wide = X.tfidf_columns(docs, "text", vocab, 10)
-    wide = X.text_complexity(wide, "source", "text", "lang", **COMPLEXITY)
-    wide = X.language_flags(wide, "text", **LANGUAGE)
+    """Terms are those of the document text, which is the recruitment text as well."""
+    wide = X.text_features(
+        documents(spark, sf_dir), ["doc_id"], "source", "text", "lang", "text", complexity=COMPLEXITY, language=LANGUAGE, terms="text"
+    )
     real = (*ROUNDED, *(f"tfidf_{i}" for i in range(10)))
     return wide.select("doc_id", *[F.round(c, 6).alias(c) if c in real else F.col(c) for c in X.text_feature_names()])

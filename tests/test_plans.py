@@ -82,3 +82,13 @@ def test_counted_writes(spark, tmp_path):
     assert delimited.write_result(df.filter("id < 0"), path) == 0 and spark.read.option("header", True).csv(path).count() == 100
     assert delimited.write_result(df.filter("id < 7"), path, "parquet") == 7 and spark.read.parquet(path).count() == 7
     assert [p.name for p in tmp_path.iterdir()] == ["r"] and not spark.sparkContext._jsc.getPersistentRDDs()
+
+
+@pytest.mark.parametrize("name", ["tfidf_scores", "text_features"])
+def test_text_scores_scan_the_corpus_twice(spark, name):
+    df = all_queries()[name](spark, SF)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("\n+- == Initial Plan ==")[0].splitlines()
+    scans = [b.split("FileScan parquet ")[1].split("]")[0] for a, b in zip(plan, plan[1:]) if "ColumnarToRow" in a and "FileScan" in b]
+    # Once for the vocabulary with its counts, once for the scores.
+    assert len(scans) == 2 and sum(s.startswith("[text#") for s in scans) == 1

@@ -1,4 +1,6 @@
 import math
+import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -135,3 +137,26 @@ def test_zscore(spark):
     assert [r.c for r in got] == [0.0, 0.0, 0.0]
     empty = df.limit(0)
     assert FE.zscore_apply(empty, FE.zscore_fit(empty, df.columns), df.columns).collect() == []
+
+
+def test_term_counts_by_one_sort_equal_plain_counting(spark):
+    """Terms that are prefixes of others, repeated words, empty and null texts, an empty table."""
+    rng = random.Random(3)
+    words = ["abc", "abcd", "abc0", "ab0", "abcabc", "000", "zzz", "the", "x"]
+    rows = [(i, " ".join(rng.choices(words, k=rng.randint(0, 60)))) for i in range(80)] + [(80, ""), (81, None), (82, "abc"), (82, "abc")]
+    df = spark.createDataFrame(rows, "id long, t string").repartition(5)
+    kept = [(i, [w for w in (t or "").split(" ") if len(w) > 2 and w != "the"]) for i, t in rows]
+    found = Counter(w for _, ws in kept for w in set(ws))
+    order = sorted(found, key=lambda w: (-found[w], w))
+    for width in (1, 4, 50):
+        vocab = T.tfidf_fit(df, "t", width, 2)
+        assert [(r.term, r.df) for r in vocab.orderBy("position").collect()] == [(w, found[w]) for w in order[:width]]
+        idf = {w: math.log(len(rows) / (1 + found[w])) for w in order[:width]}
+        wanted = Counter((i, w, round(ws.count(w) / len(ws) * idf[w], 9)) for i, ws in kept for w in set(ws) & set(idf))
+        got = T.tfidf_transform(df, ["id"], "t", vocab).collect()
+        assert Counter((r.id, r.term, round(r.tfidf, 9)) for r in got) == wanted
+        wide = T.tfidf_columns(df, "t", vocab, width).collect()
+        assert len(wide) == len(rows) and sum(sum(v != 0 for v in r[2:]) for r in wide) == sum(k[2] != 0 for k in wanted.elements())
+    none = df.filter("id < 0")
+    assert T.tfidf_fit(none, "t").count() == 0 and T.tfidf_fit(spark.createDataFrame([(None,)], "t string"), "t").count() == 0
+    assert T.tfidf_columns(df, "t", T.tfidf_fit(none, "t"), 2).agg({"tfidf_0": "max"}).first()[0] == 0.0
