@@ -73,8 +73,8 @@ def kpi_table(results: Mapping[str, DataFrame], company: str = "Eli Lilly") -> D
             parts.append(_line(share, "simulated_penetration_pct", F.col("year"), F.col("v")))
     if "ab_summary" in results:
         df = results["ab_summary"]
-        for c in df.columns:
-            parts.append(_line(df, "ab_test", F.lit(c), F.col(c)))
+        figures = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("figure")) for c in df.columns])
+        parts.append(_line(df.select(F.explode(figures).alias("f")), "ab_test", F.col("f.name"), F.col("f.figure")))
     if "model_summary" in results:
         df = results["model_summary"]
         parts.append(_line(df, "model_cv_auc", F.col("model"), F.round("cv_auc", 3)))

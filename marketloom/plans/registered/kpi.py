@@ -11,8 +11,11 @@ from marketloom.operators import stats as S
 from marketloom.operators import text as X
 
 from .base import BRAND_SALES_SQL, QuerySet, brand_sales, money, table
-from .market import pipeline_distribution, signal_rollup
+from .market import SET as MARKET
+from .market import base_vs_latest, pipeline_distribution, signal_rollup
 from .models import RESULTS_SQL, predictions
+from .stats import SET as STATS
+from .stats import ab_summary
 from .text import documents
 
 SET = QuerySet()
@@ -69,6 +72,10 @@ SELECT cohort || ' ' || event_type AS k, n, ROUND(100.0 * s / n, 1) AS rate FROM
   SELECT user_id % 10 AS cohort, event_type, COUNT(*) AS n, SUM(CASE WHEN value > 90 THEN 1 ELSE 0 END) AS s FROM events GROUP BY 1, 2)
 ORDER BY n DESC, cohort, event_type LIMIT 1
 """
+AB_FIGURES = (
+    "n_control", "n_test", "conv_control_pct", "conv_test_pct", "lift_pct", "t_stat", "p_value", "ci_low_pct", "ci_high_pct",
+    "needed_n", "is_simulated",
+)
 
 
 @SET.add(
@@ -84,6 +91,19 @@ ORDER BY n DESC, cohort, event_type LIMIT 1
                 "CAST(yoy_growth_pct AS VARCHAR)",
                 f"SELECT * FROM ({GROWTH_SQL}) ORDER BY brand_id DESC, year DESC LIMIT 6",
             ),
+            text_sql(
+                "revenue_since_1996",
+                "'house ' || brand_id",
+                "format('{:,.1f}', rev_1996) || ' -> ' || format('{:,.1f}', rev_latest)",
+                f"SELECT * FROM ({MARKET.oracles['base_vs_latest']}) ORDER BY rev_latest DESC, brand_id LIMIT 4",
+            ),
+            text_sql(
+                "ab_test",
+                "f.name",
+                "f.figure",
+                "SELECT unnest([" + ", ".join(f"{{'name': '{c}', 'figure': CAST({c} AS VARCHAR)}}" for c in AB_FIGURES) + "]) AS f "
+                f"FROM ({STATS.oracles['ab_summary']})",
+            ),
             text_sql("top_signal_reports", "k", "format('{:,}', n)", SIGNAL_SQL),
             text_sql("top_signal_serious_pct", "k", "CAST(rate AS VARCHAR)", SIGNAL_SQL),
             text_sql(
@@ -130,7 +150,7 @@ ORDER BY n DESC, cohort, event_type LIMIT 1
     ),
 )
 def kpi_table(spark, sf_dir):
-    """One table of key figures from ten result tables."""
+    """One table of key figures from ten result tables: all but the importances, whose fit has a query of its own."""
     yearly = table(spark, sf_dir, "orders").groupBy(F.year("o_orderdate").alias("year")).agg(
         F.round(F.sum(money("o_totalprice")).cast("double") / F.lit(1e6), 2).alias("market_usd_bn")
     )
@@ -142,6 +162,10 @@ def kpi_table(spark, sf_dir):
         "brand_growth": growth(spark, sf_dir).select(
             F.col("brand_id").alias("molecule"), F.col("brand_id").alias("brand_name"), "year", "yoy_growth_pct"
         ),
+        "brand_base_vs_latest": base_vs_latest(spark, sf_dir).select(
+            F.lit("house").alias("company"), F.col("brand_id").alias("brand_name"), "rev_1996", "rev_latest"
+        ),
+        "ab_summary": ab_summary(spark, sf_dir),
         "safety_signals": signal_rollup(spark, sf_dir),
         "trial_pipeline": pipeline_distribution(spark, sf_dir),
         "simulated_market": yearly,

@@ -100,6 +100,22 @@ def leakage_scan(spark, sf_dir):
     )
 
 
+BANNED = ("toxic", "n_chars")
+
+
+@SET.add(
+    "leakage_names",
+    "SELECT feature, CAST(feature IN ('toxic', 'n_chars') OR greatest(auc, 1 - auc) > 0.99 AS INTEGER) AS leaks FROM ("
+    + " UNION ALL ".join(f"SELECT '{n}' AS feature, auc FROM ({single_auc_sql(v)})" for n, v in LEAK_FEATURES.items())
+    + ")",
+)
+def leakage_names(spark, sf_dir):
+    """Features that leak by their name or by their separation."""
+    rows = scored(spark, sf_dir).withColumns({n: F.expr(v) for n, v in LEAK_FEATURES.items()})
+    scan = M.leakage_scan(rows, list(LEAK_FEATURES), "quality", banned=BANNED)
+    return scan.select("feature", F.col("leaks").cast("int").alias("leaks"))
+
+
 PREDICTIONS_SQL = f"""
 SELECT model, fold, score, quality FROM (
   SELECT 'length' AS model, CASE WHEN pos < floor(0.8::DOUBLE * n) THEN CAST(pos % 5 + 1 AS VARCHAR) ELSE 'holdout' END AS fold,

@@ -42,11 +42,6 @@ def with_position(scan: DataFrame, name: str = POSITION) -> DataFrame:
     return scan.withColumn(name, place)
 
 
-def scan_text_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """CSV with every column as text, for casts at the point of use."""
-    return scan_csv(spark, path, T.StructType([T.StructField(c, T.StringType()) for c in columns]))
-
-
 def read_csv(
     spark: SparkSession, path: str, schema: T.StructType, header: bool = True
 ) -> tuple[DataFrame, DataFrame]:
