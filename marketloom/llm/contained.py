@@ -154,6 +154,7 @@ def without_contained(
     df: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text", percent: int = 75, size: int = 5
 ) -> DataFrame:
     """The rows of ``df``, with all columns, whose text contains none of the items (as above)."""
+    names, (df, (text,)) = df.columns, texts.numbered(df, text)
     for _, raw in _passes(items, item_key, item_text):
 
         def run(batches: Iterator[pa.RecordBatch], raw=raw) -> Iterator[pa.RecordBatch]:
@@ -164,4 +165,4 @@ def without_contained(
                 yield batch.filter(pa.array(keep))
 
         df = df.mapInArrow(words.freed(run), df.schema)
-    return df
+    return df.toDF(*names)

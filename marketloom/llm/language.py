@@ -556,6 +556,9 @@ def identify(df: DataFrame, identifier: Identifier, key: str = "doc_id", text: s
 
 def without_rejected(df: DataFrame, identifier: Identifier, text: str = "text") -> DataFrame:
     """The rows of ``df``, with all columns, that ``identify`` does not reject."""
+    from marketloom.llm import texts
+
+    names, (df, (text,)) = df.columns, texts.numbered(df, text)
     sent = df.sparkSession.sparkContext.broadcast(identifier)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -563,7 +566,7 @@ def without_rejected(df: DataFrame, identifier: Identifier, text: str = "text")
             rejected = [sent.value.predict(chunk)[3] for chunk in words.chunks(batch.column(text))]
             yield batch.filter(pa.array(~np.concatenate(rejected))) if rejected else batch
 
-    return df.mapInArrow(words.freed(run), df.schema)
+    return df.mapInArrow(words.freed(run), df.schema).toDF(*names)
 
 
 def held_out(key: Column) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketloom.llm import texts
+
 
 def _windows(df: DataFrame, key: str, width: int) -> DataFrame:
     """Position and 128-bit hash of every window of ``width`` lines of each text."""
@@ -18,7 +20,9 @@ def _windows(df: DataFrame, key: str, width: int) -> DataFrame:
     return long_enough.select(F.col(key).alias("__key"), "__print", F.inline(windows))
 
 
-def without_repeated_lines(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3) -> DataFrame:
+def without_repeated_lines(
+    df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3, n_lines: str = "n_lines", n_removed: str = "n_removed"
+) -> DataFrame:
     """The rows with ``n_lines``, ``n_removed`` and the text without later copies of line windows.
 
     Lines are what ``\\n`` separates, compared as they are. Every ``width``
@@ -29,10 +33,11 @@ def without_repeated_lines(df: DataFrame, key: str = "doc_id", text: str = "text
     both a first and a later window goes. Texts of fewer lines stay whole; a
     null text has no lines and stays null; a text with all lines covered
     becomes empty. A null key comes before all others. Rows that agree in key
-    and text count as one text. All columns of ``df`` are kept, the text
-    replaced; it must not have columns ``n_lines`` and ``n_removed``.
+    and text count as one text. All columns of ``df`` are kept, whatever their
+    names, the text replaced; those called like the two counts give way to them.
     """
-    docs = df.withColumn("__print", F.xxhash64(text)).withColumn("__lines", F.split(F.col(text), "\n", -1))
+    names, (plain, (key, text)) = df.columns, texts.numbered(df, key, text)
+    docs = plain.withColumn("__print", F.xxhash64(text)).withColumn("__lines", F.split(F.col(text), "\n", -1))
     windows = _windows(docs.select(key, "__print", "__lines"), key, width)
     place = F.struct("__key", "__print", "__at")
     firsts = windows.groupBy("__h1", "__h2").agg(F.count(F.lit(1)).alias("__n"), F.min(place).alias("__first")).filter("__n > 1").drop("__n")
@@ -45,6 +50,10 @@ def without_repeated_lines(df: DataFrame, key: str = "doc_id", text: str = "text
     joined = joined.withColumn("__kept", F.when(F.col(text).isNotNull(), kept))
     count = F.when(F.col(text).isNull(), 0).otherwise(F.size("__lines"))
     left = F.array_join(F.transform("__kept", lambda i: F.col("__lines")[i]), "\n")
-    columns = [F.when(F.col("__covered").isNull(), F.col(text)).otherwise(left).alias(text) if c == text else F.col(f"`{c}`") for c in df.columns]
+    columns = [
+        F.when(F.col("__covered").isNull(), F.col(text)).otherwise(left).alias(n) if c == text else F.col(c).alias(n)
+        for c, n in zip(plain.columns, names)
+        if n.lower() not in (n_lines.lower(), n_removed.lower())
+    ]
     gone = F.when(F.col("__covered").isNull(), 0).otherwise(F.size("__lines") - F.size("__kept"))
-    return joined.select(*columns, count.cast("long").alias("n_lines"), gone.cast("long").alias("n_removed"))
+    return joined.select(*columns, count.cast("long").alias(n_lines), gone.cast("long").alias(n_removed))

@@ -260,16 +260,18 @@ def near_duplicates(
 def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = 75, size: int = 5, banding: Banding = Banding()) -> DataFrame:
     """The rows of ``df``, with all columns, of which ``near_duplicates`` keeps one a component.
 
-    Of rows that agree in key and text one stays, any of them.
+    Of rows that agree in key and text one stays, any of them. Columns may have
+    any names.
     """
+    names, (df, (key, text)) = df.columns, texts.numbered(df, key, text)
     kept = _placed(df, key, text, percent, size, banding).filter("kept")
     kept = kept.groupBy(F.col("key").alias("__key"), F.col("print").alias("__same")).agg(F.count(F.lit(1)).alias("__rows"))
     docs = texts.printed(df, text, "__print")
     docs = docs.join(kept, F.col(key).eqNullSafe(F.col("__key")) & (F.col("__print") == F.col("__same")))
     if kept.filter("__rows > 1").isEmpty():
-        return docs.select(*df.columns)
+        return docs.select(*df.columns).toDF(*names)
     again = docs.filter("__rows > 1").dropDuplicates([key, "__print"])
-    return docs.filter("__rows = 1").unionByName(again).select(*df.columns)
+    return docs.filter("__rows = 1").unionByName(again).select(*df.columns).toDF(*names)
 
 
 def _placed(df: DataFrame, key: str, text: str, percent: int, size: int, banding: Banding) -> DataFrame:

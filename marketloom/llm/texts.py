@@ -20,6 +20,27 @@ def keyed(df: DataFrame, key: str, text: str) -> tuple[DataFrame, str]:
     return source, source.schema["key"].dataType.simpleString()
 
 
+def numbered(df: DataFrame, *names: str) -> tuple[DataFrame, list[str]]:
+    """``df`` with its columns called c0, c1 and so on, and the new names of ``names``.
+
+    No name of a caller can then clash with one that an operator uses inside.
+    """
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    places = [df.columns.index(n) if n in df.columns else [c.lower() for c in df.columns].index(n.lower()) for n in names]
+    return plain, [f"c{i}" for i in places]
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each after as many underscores as it takes to be none of ``df``'s."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def documents(batch: pa.RecordBatch) -> Iterator[tuple[words.Chunk, words.Words, np.ndarray, np.ndarray]]:
     """Chunks with words, word hashes and a fingerprint of each text."""
     for chunk in words.chunks(batch.column("text")):
