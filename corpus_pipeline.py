@@ -1,7 +1,10 @@
 """The corpus pipeline: language, repeated lines, near duplicates, benchmark items, pieces.
 
 Each stage works on all documents that the one before kept. All stages but the
-last return the columns of ``documents``.
+last return the columns of ``documents``, further ones among them, whatever
+their names. Null texts have no letters, lines or words; very long texts are
+taken whole; an empty table stays empty. Rows that agree in id and text count as
+one text for lines, and one of them stays among near duplicates.
 """
 
 from __future__ import annotations
@@ -9,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import contained, language, lines, near, pieces
+from marketloom.llm import contained, language, lines, near, pieces, texts
 from marketloom.llm.queries import table, tokenizer_file
 from marketloom.session import scratch_path
 
@@ -25,9 +28,15 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def fresh_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without later copies of three consecutive lines; documents left without a line go."""
-    found = lines.without_repeated_lines(docs).filter("n_removed = 0 or n_removed < n_lines")
-    return found.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    """Without later copies of three consecutive lines; documents left without a line go.
+
+    The first copy in order of id stays; ``n_chars``, if there, is that of the text left.
+    """
+    total, gone = texts.unused(docs, "n_lines", "n_removed")
+    found = lines.without_repeated_lines(docs, n_lines=total, n_removed=gone).filter((F.col(gone) == 0) | (F.col(gone) < F.col(total)))
+    if "n_chars" in docs.columns:
+        found = found.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return found.drop(total, gone)
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
