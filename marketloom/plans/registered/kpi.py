@@ -14,8 +14,7 @@ from .base import BRAND_SALES_SQL, QuerySet, brand_sales, money, table
 from .market import SET as MARKET
 from .market import base_vs_latest, pipeline_distribution, signal_rollup
 from .models import RESULTS_SQL, predictions
-from .stats import SET as STATS
-from .stats import ab_summary
+from .stats import BOUGHT, ab_sql, counted_ab_summary, counted_bootstrap_sql
 from .text import documents
 
 SET = QuerySet()
@@ -102,7 +101,7 @@ AB_FIGURES = (
                 "f.name",
                 "f.figure",
                 "SELECT unnest([" + ", ".join(f"{{'name': '{c}', 'figure': CAST({c} AS VARCHAR)}}" for c in AB_FIGURES) + "]) AS f "
-                f"FROM ({STATS.oracles['ab_summary']})",
+                f"FROM ({ab_sql(counted_bootstrap_sql(BOUGHT))})",
             ),
             text_sql("top_signal_reports", "k", "format('{:,}', n)", SIGNAL_SQL),
             text_sql("top_signal_serious_pct", "k", "CAST(rate AS VARCHAR)", SIGNAL_SQL),
@@ -165,7 +164,7 @@ def kpi_table(spark, sf_dir):
         "brand_base_vs_latest": base_vs_latest(spark, sf_dir).select(
             F.lit("house").alias("company"), F.col("brand_id").alias("brand_name"), "rev_1996", "rev_latest"
         ),
-        "ab_summary": ab_summary(spark, sf_dir),
+        "ab_summary": counted_ab_summary(spark, sf_dir),
         "safety_signals": signal_rollup(spark, sf_dir),
         "trial_pipeline": pipeline_distribution(spark, sf_dir),
         "simulated_market": yearly,

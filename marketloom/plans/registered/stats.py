@@ -120,19 +120,26 @@ def bootstrap_ci_counts(spark, sf_dir):
     return interval.select(F.round("ci_low", 9).alias("ci_low"), F.round("ci_high", 9).alias("ci_high"))
 
 
-@SET.add(
-    "ab_summary",
-    f"""
+def ab_sql(interval: str) -> str:
+    return f"""
     SELECT CAST(n_a AS BIGINT) AS n_control, CAST(n_b AS BIGINT) AS n_test, ROUND(100 * mean_a, 2) AS conv_control_pct,
            ROUND(100 * mean_b, 2) AS conv_test_pct, ROUND(100 * ((mean_b - mean_a) / NULLIF(mean_a, 0)), 2) AS lift_pct,
            ROUND(t_stat, 3) AS t_stat, ROUND(p_value, 4) AS p_value,
            ROUND(100 * ci_low, 2) AS ci_low_pct, ROUND(100 * ci_high, 2) AS ci_high_pct,
            CAST(ceil((0.052 * 0.948 + (0.052 + mean_b - mean_a) * (1 - 0.052 - mean_b + mean_a))
                 * pow(1.6449 + 0.8416, 2) / pow(mean_b - mean_a, 2)) AS BIGINT) AS needed_n, 0 AS is_simulated
-    FROM ({welch_sql(BOUGHT)}), ({counted_bootstrap_sql(BOUGHT)})
-    """,
-)
+    FROM ({welch_sql(BOUGHT)}), ({interval})
+    """
+
+
+@SET.add("ab_summary", ab_sql(bootstrap_sql(BOUGHT)))
 def ab_summary(spark, sf_dir):
+    """Every event is drawn in every replicate."""
+    return S.ab_summary(arms(spark, sf_dir), "arm", "bought", ["event_id"], method="rows", provenance=0)
+
+
+def counted_ab_summary(spark, sf_dir):
+    """The same row with the interval of ``bootstrap_ci_counts``."""
     return S.ab_summary(arms(spark, sf_dir), "arm", "bought", provenance=0)
 
 
