@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+from pyspark import RDD
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
@@ -11,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from marketloom.functions import vocabulary as V
+from marketloom.operators import blocks
 from marketloom.operators.features import zscore_apply, zscore_fit
 
 
@@ -71,11 +75,24 @@ def _nearest(centres: Column, digits: int) -> Column:
     )
 
 
-def _by_seed(points: DataFrame, centres: Centres) -> DataFrame:
-    """Each point once for every seed, with the seed's centres."""
-    line = lambda c: F.array(*[F.lit(float(x)) for x in c])
-    listed = F.array(*[F.struct(F.lit(s).alias("seed"), F.array(*[line(c) for c in cs]).alias("centres")) for s, cs in centres.items()])
-    return points.withColumn("_run", F.explode(listed)).select("_id", "_z", F.col("_run.seed").alias("seed"), F.col("_run.centres").alias("centres"))
+def _places(batch: pa.RecordBatch) -> np.ndarray:
+    """The ``_z`` of a batch, rows x columns."""
+    return np.asarray(batch.column("_z").flatten(), np.float64).reshape(batch.num_rows, -1)
+
+
+def _rounded(x: np.ndarray, digits: int) -> np.ndarray:
+    """Half up, as SQL rounds numbers that are not negative; those too large to have such digits stay."""
+    scale = 10.0**digits
+    return np.where(x < 2.0**52 / scale, np.floor(x * scale + 0.5) / scale, x)
+
+
+def _far(z: np.ndarray, centres: list[list[float]], digits: int) -> np.ndarray:
+    """Rounded squared distances, rows x centres."""
+    out = np.zeros((len(z), len(centres)))
+    for i, c in enumerate(centres):
+        for j, x in enumerate(c):
+            out[:, i] += (z[:, j] - x) ** 2
+    return _rounded(out, digits)
 
 
 def _seeded(points: DataFrame, k: int, seeds: Sequence[int], digits: int) -> Centres:
@@ -85,34 +102,57 @@ def _seeded(points: DataFrame, k: int, seeds: Sequence[int], digits: int) -> Cen
     seed, step and id, over its weight, and the first one wins. A task keeps
     one point a seed. Points on a centre win only if all are.
     """
-    one = points.select("_id", "_z", F.explode(F.array(*[F.lit(s) for s in seeds])).alias("seed"))
     centres: Centres = {}
     for step in range(k):
-        time = -F.log(hash_uniform(F.col("seed"), step, F.col("_id")))
+        times = [-F.log(hash_uniform(s, step, F.col("_id"))) for s in seeds]
         if step:
-            one = _by_seed(points, centres)
-            distance = _nearest(F.col("centres"), digits)["distance"]
-            race = F.struct((distance == 0).alias("on"), F.when(distance > 0, time / distance).otherwise(time).alias("time"), F.col("_id"))
+            timed = points.withColumn("_times", F.array(*times))
+
+            def far(batches: Iterator[pa.RecordBatch], centres=centres) -> Iterator[pa.RecordBatch]:
+                for batch in batches:
+                    flat = np.column_stack([_far(_places(batch), centres[s], digits).min(axis=1) for s in seeds]).ravel()
+                    lists = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * len(seeds)), pa.array(flat))
+                    yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("_id", "_z", "_times")), lists], ["_id", "_z", "_times", "_far"])
+
+            raced = timed.mapInArrow(far, "_id string, _z array<double>, _times array<double>, _far array<double>")
+            race = lambda i: _race(F.col("_times")[i], F.col("_far")[i])
         else:
-            race = F.struct(F.lit(False).alias("on"), time.alias("time"), F.col("_id"))
-        won = dict(one.groupBy("seed").agg(F.min_by("_z", race)).collect())
-        centres = {s: [*centres.get(s, []), won[s]] for s in seeds if s in won}
-        if not centres:
+            raced = points
+            race = lambda i: F.struct(F.lit(False).alias("on"), times[i].alias("time"), F.col("_id"))
+        won = raced.agg(*[F.min_by("_z", race(i)) for i in range(len(seeds))]).first()
+        if won[0] is None:
             break  # no rows
+        centres = {s: [*centres.get(s, []), won[i]] for i, s in enumerate(seeds)}
     return centres
 
 
-def _moved(points: DataFrame, centres: Centres, digits: int) -> Centres:
+def _race(time: Column, distance: Column) -> Column:
+    return F.struct((distance == 0).alias("on"), F.when(distance > 0, time / distance).otherwise(time).alias("time"), F.col("_id"))
+
+
+def _moved(points: RDD[np.ndarray], centres: Centres, digits: int) -> Centres:
     """One Lloyd step for all seeds in one pass; a centre nobody is nearest to stays."""
-    width = len(next(iter(centres.values()))[0])
-    placed = _by_seed(points, centres).withColumn("segment", _nearest(F.col("centres"), digits)["segment"])
-    means = placed.groupBy("seed", "segment").agg(F.array(*[F.round(F.avg(F.col("_z")[j]), digits) for j in range(width)]).alias("mean"))
+
+    def add(z: np.ndarray) -> blocks.Sums:
+        out = {}
+        for seed, cs in centres.items():
+            segment = _far(z, cs, digits).argmin(axis=1)
+            out[seed] = np.array([np.bincount(segment, w, len(cs)) for w in (None, *z.T)])
+        return out
+
     after = {s: list(cs) for s, cs in centres.items()}
-    for r in means.collect():
-        after[r.seed][r.segment] = r["mean"]
+    for seed, (n, *sums) in blocks.summed(points, add).items():
+        for i in np.flatnonzero(n):
+            after[seed][i] = [round(float(x[i] / n[i]), digits) for x in sums]
     return after
 
 
+def _cheapest(points: RDD[np.ndarray], centres: Centres, digits: int) -> int:
+    """The seed of least cost, the first one of equal ones."""
+    cost = blocks.summed(points, lambda z: {s: _far(z, cs, digits).min(axis=1).sum() for s, cs in centres.items()})
+    return min(cost, key=lambda s: (round(float(cost[s]), 6), s))
+
+
 def kmeans_segments(
     df: DataFrame,
     columns: Sequence[str],
@@ -140,20 +180,20 @@ def kmeans_segments(
     z = F.array(*[F.coalesce(F.round(F.nanvl(F.col(c), F.lit(0.0)), digits), F.lit(0.0)) for c in copies])
     ident = F.col(key) if key else F.xxhash64(*df.columns)
     ready = scaled.withColumns({"_id": ident.cast("string"), "_z": z})
-    points = ready.select("_id", "_z").persist(StorageLevel.MEMORY_AND_DISK)
+    points = blocks.spread(ready.select("_id", "_z")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         centres = _seeded(points, k, seeds, digits)
         if not centres:
             return df.withColumn("segment", F.lit(None).cast("int"))
         moving = centres
-        for _ in range(iterations):
-            after = _moved(points, moving, digits)
-            moving = {s: cs for s, cs in after.items() if cs != moving[s]}
-            centres = centres | after
-            if not moving:
-                break
-        cost = _by_seed(points, centres).groupBy("seed").agg(F.round(F.sum(_nearest(F.col("centres"), digits)["distance"]), 6).alias("cost"))
-        best = min(cost.collect(), key=lambda r: (r.cost, r.seed)).seed
+        with blocks.stored(points, _places) as kept:
+            for _ in range(iterations):
+                after = _moved(kept, moving, digits)
+                moving = {s: cs for s, cs in after.items() if cs != moving[s]}
+                centres = centres | after
+                if not moving:
+                    break
+            best = _cheapest(kept, centres, digits)
     finally:
         points.unpersist()
     chosen = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in centres[best]])
