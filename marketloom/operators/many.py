@@ -8,15 +8,16 @@ the driver holds the models alone, whose size does not depend on the rows.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
+from pyspark import RDD
 from pyspark.sql import DataFrame
 
+from marketloom.operators import blocks
+
 ALL = -1
 _HASH = np.uint64(0x9E3779B97F4A7C15)
 
@@ -39,36 +40,6 @@ class Rows(NamedTuple):
         return (self.fold[:, None] != folds[None, :]).astype(np.float64)
 
 
-def summed(rows: DataFrame, add: Callable[[Rows], dict[int, np.ndarray]], few: bool = False) -> dict[int, np.ndarray]:
-    """The sums over all rows of what ``add`` gives for a batch: vectors by number. Runs a job.
-
-    ``few`` tells that the rows lie in few partitions (``few_parts``), whose
-    sums can be added without a shuffle.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
-        for batch in batches:
-            if batch.num_rows:
-                for k, v in add(Rows.of(batch)).items():
-                    total[k] = total[k] + v if k in total else v
-        for k, v in total.items():
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), pa.array(v, pa.float64()))], ["k", "v"])
-
-    parts = rows.mapInArrow(run, "k int, v array<double>")
-    if few:
-        out: dict[int, np.ndarray] = {}
-        for r in parts.collect():
-            out[r.k] = out[r.k] + np.array(r.v) if r.k in out else np.array(r.v)
-        return out
-    added = parts.groupBy("k").agg(vector_to_array(Summarizer.sum(array_to_vector("v"))).alias("v"))
-    return {r.k: np.array(r.v) for r in added.collect()}
-
-
-def few_parts(rows: DataFrame, most: int = 4) -> bool:
-    return rows.rdd.getNumPartitions() <= most
-
-
 # Logistic regression
 
 
@@ -135,9 +106,14 @@ def fit_linear(rows: DataFrame, penalties: Sequence[tuple[float, float]], folds:
     left = np.array([f for _, f in pairs])
     at = np.zeros((len(pairs), width + 1))
     best, goal = at.copy(), np.full(len(pairs), np.inf)
-    todo = np.arange(len(pairs))
-    few = few_parts(rows)
+    with blocks.stored(rows, Rows.of) as kept:
+        _fit_linear(kept, at, best, goal, left, l1, l2, width, tolerance, passes)
+    return Linear(best, left, l1, l2)
 
+
+def _fit_linear(kept: RDD[Rows], at: np.ndarray, best: np.ndarray, goal: np.ndarray, left: np.ndarray, l1: np.ndarray, l2: np.ndarray, width: int, tolerance: float, passes: int) -> None:
+    """The passes of ``fit_linear``: ``best`` gets the weights."""
+    todo = np.arange(len(at))
     for _ in range(passes):
 
         def add(batch: Rows, at=at[todo], left=left[todo], todo=todo) -> dict[int, np.ndarray]:
@@ -150,7 +126,7 @@ def fit_linear(rows: DataFrame, penalties: Sequence[tuple[float, float]], folds:
             rows_of = inside.sum(axis=0)
             return {int(m): np.concatenate([[loss[i], rows_of[i]], gradient[i], (x.T @ (curve[:, i, None] * x)).ravel()]) for i, m in enumerate(todo)}
 
-        sums = summed(rows, add, few)
+        sums = blocks.summed(kept, add)
         going = []
         for m in todo.tolist():
             if m not in sums:
@@ -168,7 +144,6 @@ def fit_linear(rows: DataFrame, penalties: Sequence[tuple[float, float]], folds:
         todo = np.array(going, int)
         if not going:
             break
-    return Linear(best, left, l1, l2)
 
 
 # Networks of one hidden layer
@@ -206,8 +181,23 @@ def fit_networks(rows: DataFrame, settings: Sequence[tuple[int, float, int]], fo
     kept: dict[tuple[int, float, int, int], np.ndarray] = {}
     left = np.array([f for _, _, f in runs])
     stops = {e for _, _, e in settings}
-    few = few_parts(rows)
-    for epoch in range(1, max(stops) + 1):
+    with blocks.stored(rows, Rows.of) as kept_rows:
+        for epoch, total in _epochs(kept_rows, runs, left, weights, max(stops)):
+            done = 0
+            for m, (_, step, _) in enumerate(runs):
+                size = len(weights[m])
+                own, n = total[done : done + size], total[done + size]
+                weights[m] = weights[m] - step * own / max(n, 1.0)
+                done += size + 1
+            if epoch in stops:
+                kept |= {(h, s, epoch, f): weights[m] for m, (h, s, f) in enumerate(runs)}
+    asked = [(h, kept.get((h, s, e, f), weights[runs.index((h, s, f))])) for h, s, e in settings for f in folds]
+    return Networks([h for h, _ in asked], [w for _, w in asked])
+
+
+def _epochs(rows: RDD[Rows], runs: list[tuple[int, float, int]], left: np.ndarray, weights: list[np.ndarray], epochs: int) -> Iterator[tuple[int, np.ndarray]]:
+    """After each pass the gradients and numbers of rows of all networks, which stand in ``weights``."""
+    for epoch in range(1, epochs + 1):
 
         def add(batch: Rows, weights=tuple(weights)) -> dict[int, np.ndarray]:
             x, inside, out = _with_one(batch.features), batch.inside(left), {}
@@ -218,19 +208,10 @@ def fit_networks(rows: DataFrame, settings: Sequence[tuple[int, float, int]], fo
                 out[m] = np.concatenate([(x.T @ back).ravel(), act.T @ off, [off.sum(), inside[:, m].sum()]])
             return {0: np.concatenate(list(out.values()))}
 
-        total = summed(rows, add, few).get(0)
+        total = blocks.summed(rows, add).get(0)
         if total is None:
             break
-        done = 0
-        for m, (_, step, _) in enumerate(runs):
-            size = len(weights[m])
-            own, n = total[done : done + size], total[done + size]
-            weights[m] = weights[m] - step * own / max(n, 1.0)
-            done += size + 1
-        if epoch in stops:
-            kept |= {(h, s, epoch, f): weights[m] for m, (h, s, f) in enumerate(runs)}
-    asked = [(h, kept.get((h, s, e, f), weights[runs.index((h, s, f))])) for h, s, e in settings for f in folds]
-    return Networks([h for h, _ in asked], [w for _, w in asked])
+        yield epoch, total
 
 
 # Forests
@@ -324,8 +305,12 @@ def looked_at(tree: np.ndarray, node: np.ndarray, width: int, count: int, seed:
 
 
 def cuts_of(rows: DataFrame, width: int, bins: int) -> list[np.ndarray]:
-    """Up to ``bins`` - 1 cut points of each feature, at approximate quantiles of all rows. Runs a job."""
-    wide = rows.selectExpr(*[f"features[{j}] as f{j}" for j in range(width)])
+    """Up to ``bins`` - 1 cut points of each feature, at approximate quantiles of all rows. Runs jobs.
+
+    They are looked for in partitions of 50,000 rows, so that those of a small
+    table do not depend on how it lies.
+    """
+    wide = rows.coalesce(max(1, -(-rows.count() // 50_000))).selectExpr(*[f"features[{j}] as f{j}" for j in range(width)])
     found = wide.approxQuantile([f"f{j}" for j in range(width)], [i / bins for i in range(1, bins)], 0.1 / bins)
     return [np.unique(x) for x in found]
 
@@ -353,7 +338,6 @@ def fit_forest(
     shape = (len(leaf), nodes)
     trees = Trees(np.full(shape, -1, np.int16), np.zeros(shape), np.zeros(shape), np.zeros(shape), np.zeros(shape))
     cuts = cuts_of(rows, width, bins)
-    everything = np.arange(len(leaf))
     spark = rows.sparkSession
 
     for level in range(depth + 1):
@@ -362,42 +346,43 @@ def fit_forest(
 
         def count(batches: Iterator[pa.RecordBatch], level=level, sent=sent) -> Iterator[pa.RecordBatch]:
             above, left, number, cuts = sent.value
-            held: list[tuple[np.ndarray, np.ndarray]] = []
-
-            def merged() -> tuple[np.ndarray, np.ndarray]:
-                keys, back = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
-                both = np.concatenate([c for _, c in held])
-                return keys, np.column_stack([np.bincount(back, both[:, 0], len(keys)), np.bincount(back, both[:, 1], len(keys))])
-
-            for batch in batches:
-                whole = Rows.of(batch)
-                step = max(1, 2_000_000 // len(left))
-                for a in range(0, len(whole.label), step):
-                    own = Rows(*(x[a : a + step] for x in whole))
-                    *_, (_, node, on) = above.walk(own.features, everything, level)
-                    drawn = draws(own.row, np.arange(n_trees), seed)[:, number] * (own.fold[:, None] != left[None, :])
-                    i, t = np.nonzero(on & (drawn > 0) & (node >= 2**level - 1))
+            first, many_nodes = 2**level - 1, 2**level
+            used = 1 if level == depth else tries  # the last level only needs each node's sums
+            spots = np.repeat(np.arange(n_trees), many_nodes), np.tile(np.arange(first, first + many_nodes), n_trees)
+            features = looked_at(*spots, width, tries, seed)[:, :used].reshape(n_trees, many_nodes, used)
+
+            for own in _gathered(batches):
+                bin_of = np.column_stack([np.searchsorted(c, own.features[:, j], "left") for j, c in enumerate(cuts)]).astype(np.int64)
+                x, bin_of = own.features.ravel(), bin_of.ravel()
+                drawn = np.concatenate([draws(own.row[a : a + 10_000], np.arange(n_trees), seed).astype(np.uint8) for a in range(0, len(own.row), 10_000)]).T.copy()
+                outside = {f: own.fold != f for f in set(left.tolist())}
+                found: list[tuple[int, bytes, bytes]] = []
+                for t in range(len(left)):
+                    i = np.flatnonzero((drawn[number[t]] > 0) & outside[left[t]])
+                    node = np.zeros(len(i), np.int64)
+                    for _ in range(level):
+                        f = above.feature[t].take(node)
+                        if (f < 0).any():
+                            on = f >= 0
+                            i, node, f = i[on], node[on], f[on]
+                        node = 2 * node + 1 + (x.take(i * width + f) > above.cut[t].take(node))
                     if not len(i):
                         continue
-                    v, w = node[i, t], drawn[i, t].astype(np.float64)
-                    spot, back = np.unique(number[t].astype(np.int64) * nodes + v, return_inverse=True)
-                    features = looked_at(spot // nodes, spot % nodes, width, tries, seed)[back]
-                    bin_of = np.column_stack([np.searchsorted(c, own.features[:, j], "left") for j, c in enumerate(cuts)])
-                    for k in range(tries):
-                        f = features[:, k]
-                        key = ((t.astype(np.int64) * nodes + v) * width + f) * bins + bin_of[i, f]
-                        keys, back = np.unique(key, return_inverse=True)
-                        held.append((keys, np.column_stack([np.bincount(back, w), np.bincount(back, w * own.label[i])])))
-                    if sum(len(k) for k, _ in held) > 4_000_000:
-                        held[:] = [merged()]
-            if held:
-                keys, counts = merged()
-                tree = keys // (nodes * width * bins)
-                edges = np.flatnonzero(np.diff(tree, prepend=-1))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(tree[edges].astype(np.int32)), pa.array([keys[a:b].tobytes() for a, b in zip(edges, [*edges[1:], len(keys)])], pa.binary()), pa.array([counts[a:b].tobytes() for a, b in zip(edges, [*edges[1:], len(keys)])], pa.binary())],
-                    ["tree", "keys", "counts"],
-                )
+                    place = node - first
+                    w = drawn[number[t]].take(i).astype(np.float64)
+                    weighted = w * own.label.take(i)
+                    looked = features[number[t]]
+                    key = np.concatenate([(place * used + k) * bins + bin_of.take(i * width + looked[:, k].take(place)) for k in range(used)])
+                    counts = np.column_stack([np.bincount(key, np.tile(v, used), many_nodes * used * bins) for v in (w, weighted)])
+                    some = np.flatnonzero(counts[:, 0])
+                    place, k, b = some // (used * bins), some // bins % used, some % bins
+                    keys = ((t * nodes + first + place) * width + looked[place, k]) * bins + b
+                    found.append((t, keys.astype(np.int64).tobytes(), counts[some].tobytes()))
+                    if len(found) == 200 or t == len(left) - 1:
+                        yield _tree_counts(found)
+                        found = []
+                if found:
+                    yield _tree_counts(found)
 
         def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             now, parts = None, []
@@ -432,6 +417,24 @@ def fit_forest(
     return Forest(trees, leaf, left, [(s, f) for s in settings for f in folds])
 
 
+def _gathered(batches: Iterator[pa.RecordBatch], most: int = 50_000) -> Iterator[Rows]:
+    """The rows of a task together, or ``most`` and a batch of them at a time."""
+    held: list[Rows] = []
+    for batch in batches:
+        if batch.num_rows:
+            held.append(Rows.of(batch))
+        if sum(len(r.label) for r in held) >= most:
+            yield Rows(*map(np.concatenate, zip(*held)))
+            held = []
+    if held:
+        yield Rows(*map(np.concatenate, zip(*held)))
+
+
+def _tree_counts(found: list[tuple[int, bytes, bytes]]) -> pa.RecordBatch:
+    tree, keys, counts = zip(*found)
+    return pa.RecordBatch.from_arrays([pa.array(tree, pa.int32()), pa.array(keys, pa.binary()), pa.array(counts, pa.binary())], ["tree", "keys", "counts"])
+
+
 def _splits(tree: int, keys: np.ndarray, counts: np.ndarray, width: int, bins: int, least: int, nodes: int) -> pa.RecordBatch:
     """The best split of each node of a tree from its counts; feature -1 where none gains."""
     group, bin_of = keys // bins, keys % bins

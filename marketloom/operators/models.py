@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
 from marketloom.functions import vocabulary as V
-from marketloom.operators import many, metrics
+from marketloom.operators import blocks, many, metrics
 from marketloom.operators.features import zscore_apply, zscore_fit
 from marketloom.operators.split import stratified_folds, stratified_holdout
 
@@ -70,8 +70,8 @@ def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 
 def compact(df: DataFrame, rows: int, rows_per_task: int = 50_000) -> DataFrame:
-    """Fewer partitions for a small training table: each fit runs many short jobs."""
-    return df.coalesce(max(1, -(-rows // rows_per_task)))
+    """As many partitions as a training table of ``rows`` is worth: each fit runs many short jobs, on all cores."""
+    return blocks.spread(df, rows, rows_per_task)
 
 
 def grid_search(df: DataFrame, kind: str, grid: Mapping[str, Sequence], width: int, fold_col: str = "fold", seed: int = V.SEED) -> DataFrame:

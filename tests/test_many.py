@@ -137,3 +137,19 @@ def test_the_full_grids_end(spark):
     rows = all_queries()["model_cv"](spark, "/root/testdata/sf0.001").collect()
     count = sum(len(ML.settings(g)) for g in ML.GRIDS.values())
     assert len(rows) == 5 * count == 160 and all(0 <= r.auc <= 1 and 0 <= r.accuracy <= 1 for r in rows)
+
+
+def test_small_tables_train_on_all_cores_alike(spark):
+    """A small training table lies in more than one partition, and trees and weights do not depend on how it lies."""
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(3000, 3)).round(1)
+    data = [(i, float(v[0] + 0.5 * rng.normal() > 0), i % 3, v.tolist()) for i, v in enumerate(x)]
+    one = spark.createDataFrame(data, "row long, label double, fold int, features array<double>").coalesce(1)
+    dealt = ML.compact(one, len(data))
+    assert dealt.rdd.getNumPartitions() == min(3, spark.sparkContext.defaultParallelism)
+    a, b = (many.fit_forest(df, [(4, 3, 2, 2), (4, 3, 1, 2)], [0, 1, many.ALL], 3, 42) for df in (one, dealt))
+    assert all(np.array_equal(u, v) for u, v in zip(a.trees, b.trees))
+    assert a.trees.feature.max() >= 0 and (a.trees.weight[:, 0] > 1500).all()
+    c, d = (many.fit_networks(df, [(3, 0.1, 2), (3, 0.1, 4)], [0, many.ALL], 3, 42) for df in (one, dealt))
+    assert all(u == pytest.approx(v, abs=1e-12) for u, v in zip(c.weights, d.weights))
+    assert not np.allclose(c.weights[0], c.weights[2])
