@@ -109,6 +109,8 @@ def bootstrap_ci(
         F.col(value).cast("double").alias("_value"),
         F.concat_ws("|", F.lit(str(seed)), *[F.col(i).cast("string") for i in ids]).alias("_id"),
     )
+    # A small file is read by one task, and each row costs hundreds of digests.
+    rows = rows.repartition(df.sparkSession.sparkContext.defaultParallelism)
     # As bytes, a draw is cut out by position; text would be walked from its start.
     digest = F.sha2(F.concat_ws("|", "_id", F.col("_block").cast("string")), 256).cast("binary")
     exploded = rows.select("_arm", "_value", "_id", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block"))
