@@ -153,3 +153,13 @@ def test_small_tables_train_on_all_cores_alike(spark):
     c, d = (many.fit_networks(df, [(3, 0.1, 2), (3, 0.1, 4)], [0, many.ALL], 3, 42) for df in (one, dealt))
     assert all(u == pytest.approx(v, abs=1e-12) for u, v in zip(c.weights, d.weights))
     assert not np.allclose(c.weights[0], c.weights[2])
+
+
+def test_holdout_trains_on_all_cores(spark, monkeypatch):
+    """The hold-out's tuning passes over a small table use more than one task."""
+    df = spark.range(2500).selectExpr("id", "cast(id % 2 as double) label", "(id % 2) * 2 + sin(id) * 3 x", "cos(id) y").coalesce(1)
+    parts, fit = [], many.fit_networks
+    monkeypatch.setattr(many, "fit_networks", lambda rows, *rest: parts.append(rows.rdd.getNumPartitions()) or fit(rows, *rest))
+    results, _ = ML.run_models(df, "id", ["x", "y"], grids={ML.MLP: {"hidden": [2], "step": [0.1], "epochs": [2]}}, k=2)
+    assert parts == [min(2, spark.sparkContext.defaultParallelism)]
+    assert sorted(r.fold for r in results.collect()) == ["1", "2", "holdout"]
