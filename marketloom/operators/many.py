@@ -8,7 +8,7 @@ the driver holds the models alone, whose size does not depend on the rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -54,6 +54,9 @@ class Linear(NamedTuple):
     def scores(self, rows: Rows) -> np.ndarray:
         return _sigmoid(_with_one(rows.features) @ self.weights.T)
 
+    def only(self, places: Sequence[int]) -> Linear:
+        return Linear(*(x[list(places)] for x in self))
+
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 0.5 * (1.0 + np.tanh(0.5 * z))
@@ -159,6 +162,9 @@ class Networks(NamedTuple):
         x = _with_one(rows.features)
         return np.column_stack([_forward(x, h, w)[1] for h, w in zip(self.hidden, self.weights)])
 
+    def only(self, places: Sequence[int]) -> Networks:
+        return Networks([self.hidden[i] for i in places], [self.weights[i] for i in places])
+
 
 def _forward(x: np.ndarray, hidden: int, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     cut = x.shape[1] * hidden
@@ -200,13 +206,19 @@ def _epochs(rows: RDD[Rows], runs: list[tuple[int, float, int]], left: np.ndarra
     for epoch in range(1, epochs + 1):
 
         def add(batch: Rows, weights=tuple(weights)) -> dict[int, np.ndarray]:
-            x, inside, out = _with_one(batch.features), batch.inside(left), {}
-            for m, ((hidden, _, _), flat) in enumerate(zip(runs, weights)):
-                act, p = _forward(x, hidden, flat)
-                off = (p - batch.label) * inside[:, m]
-                back = off[:, None] * flat[x.shape[1] * hidden : -1] * (1 - act * act)
-                out[m] = np.concatenate([(x.T @ back).ravel(), act.T @ off, [off.sum(), inside[:, m].sum()]])
-            return {0: np.concatenate(list(out.values()))}
+            total: np.ndarray | float = 0.0
+            for a in range(0, len(batch.label), 2_000):  # so that what is between stays in the cache
+                own, out = Rows(*(v[a : a + 2_000] for v in batch)), []
+                x, inside = _with_one(own.features), own.inside(left)
+                for m, ((hidden, _, _), flat) in enumerate(zip(runs, weights)):
+                    act, p = _forward(x, hidden, flat)
+                    off = (p - own.label) * inside[:, m]
+                    out += [None, act.T @ off, [off.sum(), inside[:, m].sum()]]
+                    back = np.subtract(1.0, np.multiply(act, act, out=act), out=act)
+                    back *= off[:, None]
+                    out[-3] = ((x.T @ back) * flat[x.shape[1] * hidden : -1]).ravel()
+                total = total + np.concatenate(out)
+            return {0: total}
 
         total = blocks.summed(rows, add).get(0)
         if total is None:
@@ -229,17 +241,29 @@ class Trees(NamedTuple):
     share: np.ndarray
     gain: np.ndarray
 
-    def walk(self, x: np.ndarray, which: np.ndarray, levels: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """For each level down to ``levels`` the node of each row in each tree of ``which``, and where a row has come down so far."""
-        node, on = np.zeros((len(x), len(which)), np.int64), np.ones((len(x), len(which)), bool)
-        rows = np.arange(len(x))[:, None]
-        yield 0, node, on
-        for level in range(1, levels + 1):
-            f = self.feature[which[None, :], node]
-            on = on & (f >= 0)
-            right = x[rows, np.maximum(f, 0)] > self.cut[which[None, :], node]
-            node = np.where(on, 2 * node + 1 + right, 0)
-            yield level, node, on
+    def ends(self, x: np.ndarray, which: np.ndarray, levels: int) -> np.ndarray:
+        """The node in each tree of ``which`` where each row ends, at ``levels`` or where there is no split."""
+        feature, cut, flat = self.feature.ravel(), self.cut.ravel(), np.ascontiguousarray(x).ravel()
+        root = (which * self.feature.shape[1])[None, :]
+        row = (np.arange(len(x)) * x.shape[1])[:, None]
+        node = np.zeros((len(x), len(which)), np.int64)
+        for _ in range(levels):
+            at = root + node
+            f = feature.take(at)
+            node = np.where(f >= 0, 2 * node + 1 + (flat.take(row + np.maximum(f, 0)) > cut.take(at)), node)
+        return node
+
+    def shares(self, which: np.ndarray, depth: int, split: int) -> np.ndarray:
+        """For each node the share where its rows stop: there, or in a node above that is at the depth or too small to split."""
+        share = self.share[which]
+        on = (self.feature[which] >= 0) & (self.weight[which] >= split)  # rows go on from here
+        for level in range(1, share.shape[1].bit_length()):
+            own = np.arange(2**level - 1, 2 ** (level + 1) - 1)
+            above = (own - 1) // 2
+            come = on[:, above] & (level <= depth)
+            share[:, own] = np.where(come, share[:, own], share[:, above])
+            on[:, own] &= come
+        return share
 
 
 class Forest(NamedTuple):
@@ -257,20 +281,16 @@ class Forest(NamedTuple):
             which = np.flatnonzero((self.leaf == leaf) & (self.fold == fold))
             mine = [(i, s) for i, (s, f) in enumerate(self.asked) if (s[2], f) == (leaf, fold)]
             kinds = sorted({(s[1], s[3]) for _, s in mine})
-            value = {k: np.zeros((len(rows.label), len(which))) for k in kinds}
-            stopped = {k: np.zeros((len(rows.label), len(which)), bool) for k in kinds}
-            for level, node, on in self.trees.walk(rows.features, which, max(d for d, _ in kinds)):
-                share, weight = self.trees.share[which[None, :], node], self.trees.weight[which[None, :], node]
-                for depth, split in kinds:
-                    k = (depth, split)
-                    if level <= depth:
-                        now = on & ~stopped[k]
-                        value[k] = np.where(now, share, value[k])
-                        stopped[k] |= now & (weight < split)
+            node = self.trees.ends(rows.features, which, max(d for d, _ in kinds))
+            at = (np.arange(len(which)) * self.trees.share.shape[1])[None, :] + node
+            value = {k: self.trees.shares(which, *k).ravel().take(at) for k in kinds}
             for i, (n, depth, _, split) in mine:
                 out[:, i] = value[depth, split][:, :n].mean(axis=1)
         return out
 
+    def only(self, places: Sequence[int]) -> Forest:
+        return self._replace(asked=[self.asked[i] for i in places])
+
     def importances(self, width: int) -> np.ndarray:
         """Share of each feature in the trees' gains, each tree's adding up to one, averaged."""
         total = np.zeros((len(self.leaf), width))
@@ -326,6 +346,8 @@ def fit_forest(
     splits of largest Gini gain whose sides hold ``min_leaf`` drawn rows. Only
     leaf sizes and folds need trees of their own: fewer trees are the first
     ones, a smaller depth stops early, and so does a larger minimal split.
+    Trees that differ in leaf size alone are counted once until their splits
+    differ.
     Ties go to the first feature, then the lowest cut.
     """
     n_trees, depth = max(s[0] for s in settings), max(s[1] for s in settings)
@@ -341,68 +363,80 @@ def fit_forest(
     spark = rows.sparkSession
 
     for level in range(depth + 1):
+        first, many_nodes, last = 2**level - 1, 2**level, level == depth
+        used, cells = (1, 1) if last else (tries, bins)  # the last level only needs each node's sums
+        kind = np.min_scalar_type(many_nodes * used * cells)
+        alike = _alike(trees, left, number, first)
         # Only the splits above this level are needed.
-        sent = spark.sparkContext.broadcast((Trees(*(x[:, : 2**level] for x in trees[:2]), *[np.empty(0)] * 3), left, number, cuts))
+        sent = spark.sparkContext.broadcast((Trees(*(x[:, : 2**level] for x in trees[:2]), *[np.empty(0)] * 3), left, number, cuts, alike))
 
-        def count(batches: Iterator[pa.RecordBatch], level=level, sent=sent) -> Iterator[pa.RecordBatch]:
-            above, left, number, cuts = sent.value
-            first, many_nodes = 2**level - 1, 2**level
-            used = 1 if level == depth else tries  # the last level only needs each node's sums
+        def count(batches: Iterator[pa.RecordBatch], sent=sent, level=level, first=first, many_nodes=many_nodes, last=last, used=used, cells=cells, kind=kind) -> Iterator[pa.RecordBatch]:
+            above, left, number, cuts, alike = sent.value
             spots = np.repeat(np.arange(n_trees), many_nodes), np.tile(np.arange(first, first + many_nodes), n_trees)
-            features = looked_at(*spots, width, tries, seed)[:, :used].reshape(n_trees, many_nodes, used)
+            features = looked_at(*spots, width, tries, seed).reshape(n_trees, many_nodes, tries)
+            split_by = above.feature.astype(np.int64)
 
             for own in _gathered(batches):
                 bin_of = np.column_stack([np.searchsorted(c, own.features[:, j], "left") for j, c in enumerate(cuts)]).astype(np.int64)
                 x, bin_of = own.features.ravel(), bin_of.ravel()
                 drawn = np.concatenate([draws(own.row[a : a + 10_000], np.arange(n_trees), seed).astype(np.uint8) for a in range(0, len(own.row), 10_000)]).T.copy()
                 outside = {f: own.fold != f for f in set(left.tolist())}
-                found: list[tuple[int, bytes, bytes]] = []
-                for t in range(len(left)):
+                found: list[tuple[int, bytes, bytes, bytes]] = []
+                for t in alike:
                     i = np.flatnonzero((drawn[number[t]] > 0) & outside[left[t]])
-                    node = np.zeros(len(i), np.int64)
+                    node, at = np.zeros(len(i), np.int64), i * width
                     for _ in range(level):
-                        f = above.feature[t].take(node)
-                        if (f < 0).any():
+                        f = split_by[t].take(node)
+                        if f.min(initial=0) < 0:
                             on = f >= 0
-                            i, node, f = i[on], node[on], f[on]
-                        node = 2 * node + 1 + (x.take(i * width + f) > above.cut[t].take(node))
+                            i, node, at, f = i[on], node[on], at[on], f[on]
+                        f += at
+                        right = x.take(f) > above.cut[t].take(node)
+                        node += node
+                        node += 1
+                        node += right
                     if not len(i):
                         continue
                     place = node - first
                     w = drawn[number[t]].take(i).astype(np.float64)
                     weighted = w * own.label.take(i)
-                    looked = features[number[t]]
-                    key = np.concatenate([(place * used + k) * bins + bin_of.take(i * width + looked[:, k].take(place)) for k in range(used)])
-                    counts = np.column_stack([np.bincount(key, np.tile(v, used), many_nodes * used * bins) for v in (w, weighted)])
-                    some = np.flatnonzero(counts[:, 0])
-                    place, k, b = some // (used * bins), some // bins % used, some % bins
-                    keys = ((t * nodes + first + place) * width + looked[place, k]) * bins + b
-                    found.append((t, keys.astype(np.int64).tobytes(), counts[some].tobytes()))
-                    if len(found) == 200 or t == len(left) - 1:
+                    if not last:
+                        looked = features[number[t]]
+                        place = np.concatenate([(place * used + k) * bins + bin_of.take(at + looked[:, k].take(place)) for k in range(used)])
+                    counts = [np.bincount(place, np.tile(v, used), many_nodes * used * cells) for v in (w, weighted)]
+                    some = np.flatnonzero(counts[0])
+                    found.append((t, some.astype(kind).tobytes(), *(_packed(c[some]) for c in counts)))
+                    if len(found) == 200:
                         yield _tree_counts(found)
                         found = []
                 if found:
                     yield _tree_counts(found)
 
-        def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            now, parts = None, []
+        def pick(batches: Iterator[pa.RecordBatch], sent=sent, first=first, many_nodes=many_nodes, used=used, cells=cells, kind=kind) -> Iterator[pa.RecordBatch]:
+            number, alike = sent.value[2], sent.value[4]
+            now, found = None, []
+            sums = np.zeros((2, many_nodes * used * cells))
 
-            def done() -> Iterator[pa.RecordBatch]:
-                if parts:
-                    keys, back = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
-                    both = np.concatenate([c for _, c in parts])
-                    counts = np.column_stack([np.bincount(back, both[:, 0], len(keys)), np.bincount(back, both[:, 1], len(keys))])
-                    yield _splits(now, keys, counts, width, bins, int(leaf[now]), nodes)
+            def done() -> None:
+                if now is not None:
+                    node = np.arange(first, first + many_nodes)
+                    looked = looked_at(np.full(many_nodes, number[now]), node, width, tries, seed)[:, :used]
+                    found.extend(_splits(sums.reshape(2, -1, cells), first, looked, [(t, int(leaf[t])) for t in alike[now]]))
 
             for batch in batches:
-                for tree, keys, counts in zip(*(batch.column(c).to_pylist() for c in ("tree", "keys", "counts"))):
+                for tree, at, *counts in zip(*(c.to_pylist() for c in batch.columns)):
                     if tree != now:
-                        yield from done()
-                        now, parts = tree, []
-                    parts.append((np.frombuffer(keys, np.int64), np.frombuffer(counts, np.float64).reshape(-1, 2)))
-            yield from done()
-
-        counted = rows.mapInArrow(count, "tree int, keys binary, counts binary").repartition("tree").sortWithinPartitions("tree")
+                        done()
+                        now = tree
+                        sums[:] = 0.0
+                    at = np.frombuffer(at, kind)
+                    for total, c in zip(sums, counts):
+                        total[at] += _unpacked(c, len(at))
+            done()
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found)], ["tree", "node", "feature", "bin", "weight", "positive", "gain"])
+
+        counted = rows.mapInArrow(count, "tree int, cells binary, drawn binary, positive binary").repartition("tree").sortWithinPartitions("tree")
         best = counted.mapInArrow(pick, "tree int, node int, feature int, bin int, weight double, positive double, gain double").toPandas()
         sent.unpersist()
         t, v = best.tree.to_numpy(), best.node.to_numpy()
@@ -430,48 +464,81 @@ def _gathered(batches: Iterator[pa.RecordBatch], most: int = 50_000) -> Iterator
         yield Rows(*map(np.concatenate, zip(*held)))
 
 
-def _tree_counts(found: list[tuple[int, bytes, bytes]]) -> pa.RecordBatch:
-    tree, keys, counts = zip(*found)
-    return pa.RecordBatch.from_arrays([pa.array(tree, pa.int32()), pa.array(keys, pa.binary()), pa.array(counts, pa.binary())], ["tree", "keys", "counts"])
+def _alike(trees: Trees, left: np.ndarray, number: np.ndarray, nodes: int) -> dict[int, list[int]]:
+    """Trees by the first one that draws the same rows and has the same splits in the first ``nodes`` nodes."""
+    by: dict[tuple, list[int]] = {}
+    for t in range(len(left)):
+        by.setdefault((left[t], number[t], trees.feature[t, :nodes].tobytes(), trees.cut[t, :nodes].tobytes()), []).append(t)
+    return {ts[0]: ts for ts in by.values()}
+
+
+def _packed(sums: np.ndarray) -> bytes:
+    """In as few bytes as the largest number needs; as doubles if they are not all whole."""
+    with np.errstate(invalid="ignore"):
+        whole = sums.astype(np.uint32)
+    return (sums.astype(np.min_scalar_type(whole.max())) if (whole == sums).all() else sums).tobytes()
+
 
+def _unpacked(data: bytes, count: int) -> np.ndarray:
+    size = len(data) // count
+    return np.frombuffer(data, np.float64 if size == 8 else f"u{size}").astype(np.float64)
 
-def _splits(tree: int, keys: np.ndarray, counts: np.ndarray, width: int, bins: int, least: int, nodes: int) -> pa.RecordBatch:
-    """The best split of each node of a tree from its counts; feature -1 where none gains."""
-    group, bin_of = keys // bins, keys % bins
-    spots, back = np.unique(group, return_inverse=True)
-    dense = np.zeros((len(spots), bins, 2))
-    dense[back, bin_of] = counts
+
+def _tree_counts(found: list[tuple[int, bytes, bytes, bytes]]) -> pa.RecordBatch:
+    tree, *data = zip(*found)
+    return pa.RecordBatch.from_arrays([pa.array(tree, pa.int32()), *(pa.array(d, pa.binary()) for d in data)], ["tree", "cells", "drawn", "positive"])
+
+
+def _splits(sums: np.ndarray, first: int, looked: np.ndarray, trees: list[tuple[int, int]]) -> Iterator[tuple[np.ndarray, ...]]:
+    """For each tree with its least leaf the best split of each node; feature -1 where none gains.
+
+    ``sums`` has the drawn rows and those of label 1 by (node, place of the
+    looked-at feature) and bin.
+    """
+    some = np.flatnonzero(sums[0].any(axis=1))
+    if not len(some):
+        return
+    dense = np.moveaxis(sums[:, some], 0, -1)
+    place, k = some // looked.shape[1], some % looked.shape[1]
+    node, feature = first + place, looked[place, k]
     total = dense.sum(axis=1)
-    low = np.cumsum(dense, axis=1)[:, :-1]
+    low = np.cumsum(dense, axis=1)[:, : max(1, dense.shape[1] - 1)]
     high = total[:, None] - low
     impurity = lambda x: x[..., 1] * (x[..., 0] - x[..., 1]) / np.maximum(x[..., 0], 1e-300)
-    gain = impurity(total)[:, None] - impurity(low) - impurity(high)
-    gain[(low[..., 0] < least) | (high[..., 0] < least)] = -1.0
-    gain = np.round(gain, 9)  # so that the order of sums makes no difference
-    cut = gain.argmax(axis=1)
-    best = gain[np.arange(len(spots)), cut]
-    node = spots // width % nodes
-    order = np.lexsort((spots % width, -best, node))
-    first = order[np.flatnonzero(np.diff(node[order], prepend=-1))]
-    gains = best[first] > 0
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(np.full(len(first), tree, np.int32)), pa.array(node[first].astype(np.int32)), pa.array(np.where(gains, spots[first] % width, -1).astype(np.int32)),
-            pa.array(cut[first].astype(np.int32)), pa.array(total[first, 0]), pa.array(total[first, 1]), pa.array(best[first]),
-        ],
-        ["tree", "node", "feature", "bin", "weight", "positive", "gain"],
-    )
-
-
-def scored(rows: DataFrame, model: Linear | Networks | Forest) -> DataFrame:
-    """(fold, label, scores): of every row, the score of each model."""
-    sent = rows.sparkSession.sparkContext.broadcast(model)
+    # Rounded so that the order of sums makes no difference.
+    gains = np.round(impurity(total)[:, None] - impurity(low) - impurity(high), 9)
+    for tree, least in trees:
+        gain = np.where((low[..., 0] < least) | (high[..., 0] < least), -1.0, gains)
+        cut = gain.argmax(axis=1)
+        best = gain[np.arange(len(some)), cut]
+        order = np.lexsort((feature, -best, node))
+        top = order[np.flatnonzero(np.diff(node[order], prepend=-1))]
+        yield (
+            np.full(len(top), tree, np.int32), node[top].astype(np.int32), np.where(best[top] > 0, feature[top], -1).astype(np.int32),
+            cut[top].astype(np.int32), total[top, 0], total[top, 1], best[top],
+        )
+
+
+def scored(rows: DataFrame, model: Linear | Networks | Forest, places: Mapping[int, Sequence[int]] | None = None) -> DataFrame:
+    """(fold, label, scores): of every row, the score of each model; with ``places``, of those named for the row's fold alone."""
+    sent = rows.sparkSession.sparkContext.broadcast({f: model.only(p) for f, p in places.items()} if places else {None: model})
+
+    def of(own: Rows) -> np.ndarray:
+        if None in sent.value:
+            return sent.value[None].scores(own)
+        out = None
+        for fold in np.unique(own.fold).tolist():
+            here = np.flatnonzero(own.fold == fold)
+            scores = sent.value[fold].scores(Rows(*(v[here] for v in own)))
+            out = np.empty((len(own.label), scores.shape[1])) if out is None else out
+            out[here] = scores
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            found = [sent.value.scores(Rows.of(batch.slice(a, 1_000))) for a in range(0, batch.num_rows, 1_000)]
+            found = [of(Rows.of(batch.slice(a, 5_000))) for a in range(0, batch.num_rows, 5_000)]
             flat = np.concatenate(found)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(flat) + 1, dtype=np.int32) * flat.shape[1]), pa.array(flat.ravel()))
             yield pa.RecordBatch.from_arrays([batch.column("fold"), batch.column("label"), lists], ["fold", "label", "scores"])

@@ -97,9 +97,8 @@ def searched(df: DataFrame, kind: str, grid: Mapping[str, Sequence], width: int,
     folds = sorted(r[0] for r in rows.select("fold").distinct().collect())
     listed, trained = settings(grid), [*folds, *[many.ALL] * whole]
     model = train(kind, rows, listed, trained, width, seed)
-    own = F.array_position(F.array(*[F.lit(f) for f in folds]), F.col("fold")).cast("int") - 1
-    each = F.transform(F.sequence(F.lit(0), F.lit(len(listed) - 1)), lambda s: F.col("scores")[s * len(trained) + F.col("own")])
-    found = many.scored(rows, model).withColumn("own", own).select("label", "fold", F.posexplode(each).alias("setting", "score"))
+    outside = {f: [i * len(trained) + k for i in range(len(listed))] for k, f in enumerate(folds)}
+    found = many.scored(rows, model, outside).select("label", "fold", F.posexplode("scores").alias("setting", "score"))
     named = found.select(F.col("setting").cast("string").alias("model"), (F.col("fold") + 1).cast("string").alias("fold"), "score", "label")
     # The metrics pass over the predictions several times; the models run once.
     predictions = named.persist(StorageLevel.MEMORY_AND_DISK)
@@ -115,7 +114,7 @@ def searched(df: DataFrame, kind: str, grid: Mapping[str, Sequence], width: int,
 
     def predict(test: DataFrame, params: Mapping[str, float]) -> DataFrame:
         place = listed.index(dict(params)) * len(trained) + len(folds)
-        return many.scored(training_rows(test), model).select("label", F.col("scores")[place].alias("score"))
+        return many.scored(training_rows(test), model.only([place])).select("label", F.col("scores")[0].alias("score"))
 
     return results, predict if whole else None
 

@@ -163,3 +163,35 @@ def test_holdout_trains_on_all_cores(spark, monkeypatch):
     results, _ = ML.run_models(df, "id", ["x", "y"], grids={ML.MLP: {"hidden": [2], "step": [0.1], "epochs": [2]}}, k=2)
     assert parts == [min(2, spark.sparkContext.defaultParallelism)]
     assert sorted(r.fold for r in results.collect()) == ["1", "2", "holdout"]
+
+
+def test_rows_are_scored_by_the_models_of_their_fold_alone(spark, monkeypatch):
+    """A setting's score of a row comes from the model that left its fold out, and no other model is run for it."""
+    rng = np.random.default_rng(6)
+    data = [(i, float(i % 3 == 0), i % 2, rng.normal(size=2).tolist()) for i in range(200)]
+    df = spark.createDataFrame(data, "row long, label double, fold int, features array<double>")
+    asked = [(3, 2, 1, 2), (2, 3, 4, 30)]
+    for model in (many.fit_linear(df, [(0.0, 1.0), (5.0, 1.0)], [0, 1, many.ALL], 2), many.fit_networks(df, [(2, 0.1, 2), (3, 0.1, 2)], [0, 1, many.ALL], 2, 1), many.fit_forest(df, asked, [0, 1, many.ALL], 2, 1)):
+        batch = many.Rows(np.array([r[0] for r in data]), np.array([r[1] for r in data]), np.array([r[2] for r in data]), np.array([r[3] for r in data]))
+        every = model.scores(batch)
+        found = many.scored(df.coalesce(1), model, {0: [0, 3], 1: [1, 4]}).collect()
+        assert [r.fold for r in found] == [r[2] for r in data] and [len(r.scores) for r in found] == [2] * 200
+        assert np.allclose([r.scores for r in found], [every[i, [f, 3 + f]] for i, f in enumerate(batch.fold)], atol=1e-12)
+        assert np.allclose(model.only([5]).scores(batch)[:, 0], every[:, 5], atol=1e-12)
+
+    sizes, score = [], many.scored
+    monkeypatch.setattr(many, "scored", lambda rows, model, *places: sizes.append(len(model.folds)) or score(rows, model, *places))
+    _, predict = ML.searched(df, ML.LR, {"C": [0.1, 1.0]}, 2, whole=True)
+    assert predict(df, {"C": 1.0}).count() == 200 and sizes == [6, 1]
+
+
+def test_trees_alike_are_counted_once(spark):
+    """Trees of two leaf sizes share their counts as long as their splits are the same, and counts take few bytes."""
+    feature, cut = np.array([[0, 1, -1], [0, 2, -1], [0, 1, -1], [0, 1, -1]], np.int16), np.zeros((4, 3))
+    trees = many.Trees(feature, cut, cut, cut, cut)
+    left, number = np.array([0, 0, 0, 1]), np.array([0, 0, 0, 0])
+    assert many._alike(trees, left, number, 1) == {0: [0, 1, 2], 3: [3]}
+    assert many._alike(trees, left, number, 3) == {0: [0, 2], 1: [1], 3: [3]}
+    for sums, size in (([0.0, 255.0], 1), ([3.0, 256.0], 2), ([70_000.0, 1.0], 4), ([0.5, 1.0], 8), ([-1.0, 2.0], 8), ([float("nan"), 2.0], 8), ([2.0**32, 1.0], 8)):
+        data = many._packed(np.array(sums))
+        assert len(data) == 2 * size and np.array_equal(many._unpacked(data, 2), sums, equal_nan=True)
