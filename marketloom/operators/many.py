@@ -8,6 +8,8 @@ the driver holds the models alone, whose size does not depend on the rows.
 
 from __future__ import annotations
 
+import pickle
+import zlib
 from collections.abc import Iterator, Mapping, Sequence
 from typing import NamedTuple
 
@@ -289,7 +291,11 @@ class Forest(NamedTuple):
         return out
 
     def only(self, places: Sequence[int]) -> Forest:
-        return self._replace(asked=[self.asked[i] for i in places])
+        """For scores: with the trees that these settings read, without gains."""
+        asked = [self.asked[i] for i in places]
+        read = {(s[2], f) for s, f in asked}
+        which = [t for t, kind in enumerate(zip(self.leaf.tolist(), self.fold.tolist())) if kind in read]
+        return Forest(Trees(*(x[which] for x in self.trees[:4]), np.empty(0)), self.leaf[which], self.fold[which], asked)
 
     def importances(self, width: int) -> np.ndarray:
         """Share of each feature in the trees' gains, each tree's adding up to one, averaged."""
@@ -521,24 +527,27 @@ def _splits(sums: np.ndarray, first: int, looked: np.ndarray, trees: list[tuple[
 
 def scored(rows: DataFrame, model: Linear | Networks | Forest, places: Mapping[int, Sequence[int]] | None = None) -> DataFrame:
     """(fold, label, scores): of every row, the score of each model; with ``places``, of those named for the row's fold alone."""
-    sent = rows.sparkSession.sparkContext.broadcast({f: model.only(p) for f, p in places.items()} if places else {None: model})
+    models = {f: model.only(p) for f, p in places.items()} if places else {None: model}
+    # Each executor keeps a copy on its disk, and heaps of trees are mostly empty.
+    sent = rows.sparkSession.sparkContext.broadcast(zlib.compress(pickle.dumps(models, pickle.HIGHEST_PROTOCOL), 1))
 
-    def of(own: Rows) -> np.ndarray:
-        if None in sent.value:
-            return sent.value[None].scores(own)
+    def of(models: dict, own: Rows) -> np.ndarray:
+        if None in models:
+            return models[None].scores(own)
         out = None
         for fold in np.unique(own.fold).tolist():
             here = np.flatnonzero(own.fold == fold)
-            scores = sent.value[fold].scores(Rows(*(v[here] for v in own)))
+            scores = models[fold].scores(Rows(*(v[here] for v in own)))
             out = np.empty((len(own.label), scores.shape[1])) if out is None else out
             out[here] = scores
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        models = pickle.loads(zlib.decompress(sent.value))
         for batch in batches:
             if not batch.num_rows:
                 continue
-            found = [of(Rows.of(batch.slice(a, 5_000))) for a in range(0, batch.num_rows, 5_000)]
+            found = [of(models, Rows.of(batch.slice(a, 5_000))) for a in range(0, batch.num_rows, 5_000)]
             flat = np.concatenate(found)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(flat) + 1, dtype=np.int32) * flat.shape[1]), pa.array(flat.ravel()))
             yield pa.RecordBatch.from_arrays([batch.column("fold"), batch.column("label"), lists], ["fold", "label", "scores"])

@@ -178,6 +178,7 @@ def test_rows_are_scored_by_the_models_of_their_fold_alone(spark, monkeypatch):
         assert [r.fold for r in found] == [r[2] for r in data] and [len(r.scores) for r in found] == [2] * 200
         assert np.allclose([r.scores for r in found], [every[i, [f, 3 + f]] for i, f in enumerate(batch.fold)], atol=1e-12)
         assert np.allclose(model.only([5]).scores(batch)[:, 0], every[:, 5], atol=1e-12)
+    assert len(model.leaf) == 18 and len(model.only([5]).trees.share) == 3  # of two leaf sizes and three folds, one
 
     sizes, score = [], many.scored
     monkeypatch.setattr(many, "scored", lambda rows, model, *places: sizes.append(len(model.folds)) or score(rows, model, *places))
