@@ -527,9 +527,9 @@ def _splits(sums: np.ndarray, first: int, looked: np.ndarray, trees: list[tuple[
 
 def scored(rows: DataFrame, model: Linear | Networks | Forest, places: Mapping[int, Sequence[int]] | None = None) -> DataFrame:
     """(fold, label, scores): of every row, the score of each model; with ``places``, of those named for the row's fold alone."""
-    models = {f: model.only(p) for f, p in places.items()} if places else {None: model}
-    # Each executor keeps a copy on its disk, and heaps of trees are mostly empty.
-    sent = rows.sparkSession.sparkContext.broadcast(zlib.compress(pickle.dumps(models, pickle.HIGHEST_PROTOCOL), 1))
+    # Each executor keeps a copy on its disk, and heaps of trees are mostly empty. One fold's at a time, for the driver's memory.
+    packed = lambda part: zlib.compress(pickle.dumps(part, pickle.HIGHEST_PROTOCOL), 1)
+    sent = rows.sparkSession.sparkContext.broadcast({f: packed(model.only(p)) for f, p in places.items()} if places else {None: packed(model)})
 
     def of(models: dict, own: Rows) -> np.ndarray:
         if None in models:
@@ -543,7 +543,7 @@ def scored(rows: DataFrame, model: Linear | Networks | Forest, places: Mapping[i
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models = pickle.loads(zlib.decompress(sent.value))
+        models = {f: pickle.loads(zlib.decompress(m)) for f, m in sent.value.items()}
         for batch in batches:
             if not batch.num_rows:
                 continue
